@@ -168,6 +168,13 @@ def _cell_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
     return df.groupBy(*keys).agg(*measures).withColumn("__rank", F.lit(None).cast("int"))
 
 
+def latest_rows(df: DataFrame, key: str, order: str, n: int, ties: Sequence[str] = ()) -> DataFrame:
+    """The newest ``n`` dated rows of each key and all its undated rows, in no particular order."""
+    ranking = Window.partitionBy(as_column(key)).orderBy(as_column(order).desc(), *[as_column(t).asc() for t in ties])
+    dated = df.where(as_column(order).isNotNull()).withColumn("__rank", F.row_number().over(ranking))
+    return dated.where(F.col("__rank") <= n).drop("__rank").unionByName(df.where(as_column(order).isNull()))
+
+
 def _latest_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
     latest, key = plan.latest, as_column(plan.key)
     order = as_column(latest.order)

@@ -110,7 +110,7 @@ def previous_rollup(previous: DataFrame, sets: Collection[str] = ALL_SETS, epsil
             Split("NAME_CONTRACT_STATUS", value, value.upper(), detail) for value in ("Approved", "Refused", "Canceled")
         ) if "previous_interest" in sets else (),
         latest=Latest(
-            "DAYS_DECISION", fv.LAST_RECORDS, detail, ties=(fv.PREVIOUS, "AMT_CREDIT", "AMT_APPLICATION"),
+            "DAYS_DECISION", fv.LAST_RECORDS, detail, ties=(fv.PREVIOUS, "AMT_CREDIT", "AMT_APPLICATION", *_have(previous, "AMT_ANNUITY", "CNT_PAYMENT")),
         ) if "last_n_aggregations" in sets else None,
         prefix=fv.ROLLUP_PREFIXES["prev"],
     )
@@ -195,7 +195,7 @@ def card_rollup(card: DataFrame, sets: Collection[str] = ALL_SETS, epsilon: floa
         if "recency_windows" in sets else None,
         latest=Latest(
             "MONTHS_BALANCE", fv.LAST_RECORDS, detail,
-            ties=_have(card, fv.PREVIOUS, "AMT_BALANCE", "AMT_DRAWINGS_CURRENT", *extra),
+            ties=_have(card, fv.PREVIOUS, "AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL", "AMT_DRAWINGS_CURRENT", "SK_DPD", *extra),
         ) if "last_n_aggregations" in sets else None,
         prefix=fv.ROLLUP_PREFIXES["cc"],
     ))

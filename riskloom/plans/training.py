@@ -131,19 +131,21 @@ def raw_table_baseline(train: DataFrame, key: str, label: str, fraction: float =
     The number of trees of the refit is the best one seen on the holdout.
     """
     texts, numbers = string_columns(train, skip=[key, label]), numeric_columns(train, skip=[key, label])
+    lows = train.agg(*[F.min(as_column(c)).cast("double").alias(f"v{i}") for i, c in enumerate(numbers)]).first() if numbers else ()
+    # missing numbers become a value below all others, which a tree can split off
+    below = {c: (v if v is not None else 0.0) - 1.0 for c, v in zip(numbers, lows)}
 
     def ready(df: DataFrame) -> DataFrame:
         keep = [as_column(c).cast("double").alias(c) if c == label else as_column(c) for c in (key, label) if c in df.columns]
         filled = [F.coalesce(as_column(c), F.lit(missing_label)).alias(c) for c in texts]
-        return df.select(*keep, *[as_column(c).cast("double").alias(c) for c in numbers], *filled)
+        return df.select(*keep, *[F.coalesce(as_column(c).cast("double"), F.lit(below[c])).alias(c) for c in numbers], *filled)
 
     rows = mark_holdout(ready(train), label, key, fraction, seed)
     weights = class_weights({int(k): v for k, v in class_counts(train, label).items()})
     rows = settle(rows.withColumn(WEIGHT, weight_column(label, weights)), "baseline")
     indexed = [f"{c}__code" for c in texts]
     stages = [StringIndexer(inputCols=texts, outputCols=indexed, handleInvalid="keep")] if texts else []
-    # missing numbers stay missing for the reader: they take a value outside the data instead of a guess
-    assembler = VectorAssembler(inputCols=numbers + indexed, outputCol="features", handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=numbers + indexed, outputCol="features")
 
     def boosted(**extra):
         widest = max([100, *[r + 2 for r in _category_counts(rows, texts)]])
