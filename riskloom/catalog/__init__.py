@@ -1,6 +1,6 @@
 """Registered queries over the driver's tables, each with its check in SQL where SQL can express it."""
 
 from riskloom.catalog.registry import CATALOG
-from riskloom.catalog import rollups  # noqa: F401
+from riskloom.catalog import rollups, expressions, aggregates, encoding  # noqa: F401
 
 __all__ = ["CATALOG"]

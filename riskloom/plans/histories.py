@@ -81,18 +81,22 @@ def loan_status_rollup(balance: DataFrame) -> DataFrame:
     ))
 
 
-def previous_rollup(previous: DataFrame, sets: Collection[str] = ALL_SETS, epsilon: float = EPSILON) -> DataFrame:
+def interest_columns(previous: DataFrame, sets: Collection[str] = ALL_SETS, epsilon: float = EPSILON) -> DataFrame:
+    """Gap between wish and credit, total to pay back, interest and credit per annuity."""
     credit, annuity = as_column("AMT_CREDIT"), as_column("AMT_ANNUITY")
     added = {"APP_CREDIT_GAP": as_column("AMT_APPLICATION") - credit}
-    interest: tuple[str, ...] = ()
     if "previous_interest" in sets:
         if len(_have(previous, "AMT_ANNUITY", "CNT_PAYMENT")) == 2:
             total = annuity * as_column("CNT_PAYMENT")
             added |= {"PREV_TOTAL_PAYMENT": total, "PREV_SIMPLE_INTEREST": total - credit}
         if "AMT_ANNUITY" in previous.columns:
             added["PREV_CREDIT_TO_ANNUITY"] = ratio("AMT_CREDIT", "AMT_ANNUITY", epsilon)
-        interest = tuple(c for c in ("PREV_TOTAL_PAYMENT", "PREV_SIMPLE_INTEREST", "PREV_CREDIT_TO_ANNUITY") if c in added)
-    previous = previous.withColumns(added)
+    return previous.withColumns(added)
+
+
+def previous_rollup(previous: DataFrame, sets: Collection[str] = ALL_SETS, epsilon: float = EPSILON) -> DataFrame:
+    previous = interest_columns(previous, sets, epsilon)
+    interest = _have(previous, "PREV_TOTAL_PAYMENT", "PREV_SIMPLE_INTEREST", "PREV_CREDIT_TO_ANNUITY")
     counted = Stat("count", fv.PREVIOUS)
     detail = (counted, Stat("mean", "AMT_CREDIT"), Stat("mean", "APP_CREDIT_GAP"), *stats("mean", interest))
     plan = Rollup(
