@@ -131,26 +131,11 @@ def _importance(spark, folder):
 _IMP = "imp AS (SELECT p_brand AS feature, sum(p_retailprice) AS importance FROM part GROUP BY 1)"
 
 
-@query("t01_two_key_sort", f"""WITH {m.PREVIOUS_SQL} SELECT SK_ID_CURR, SK_ID_PREV, DAYS_DECISION, row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_DECISION DESC NULLS FIRST, SK_ID_PREV) AS position
- FROM previous_application""")
+@query("t01_two_key_sort", f"WITH {m.PREVIOUS_SQL} SELECT SK_ID_CURR, SK_ID_PREV, DAYS_DECISION FROM previous_application ORDER BY SK_ID_CURR, DAYS_DECISION DESC NULLS FIRST, SK_ID_PREV")
 def two_key_sort(spark, folder):
-    """Key ascending, order descending with nulls first: the position of each row in its group.
-
-    Groups are counted by (key, order) first; a position is the number of rows in
-    earlier order values plus the place among equal ones.
-    """
-    from pyspark.sql import Window
-
+    """A global sort: Spark cuts its ranges on the whole sort key, so one frequent key is spread over ranges."""
     df = m.previous_application(spark, folder).select(KEY, "SK_ID_PREV", "DAYS_DECISION")
-    order = F.col("DAYS_DECISION").desc_nulls_first()
-    counted = df.groupBy(KEY, "DAYS_DECISION").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy(KEY).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counted.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n").select(
-        F.col(KEY).alias("k"), F.col("DAYS_DECISION").alias("d"), "before")
-    inside = Window.partitionBy(KEY, "DAYS_DECISION").orderBy("SK_ID_PREV")
-    ranked = df.withColumn("place", F.row_number().over(inside))
-    joined = ranked.join(offsets, F.col(KEY).eqNullSafe(F.col("k")) & F.col("DAYS_DECISION").eqNullSafe(F.col("d")))
-    return joined.select(KEY, "SK_ID_PREV", "DAYS_DECISION", (F.col("before") + F.col("place")).alias("position"))
+    return df.orderBy(F.col(KEY).asc(), F.col("DAYS_DECISION").desc_nulls_first(), F.col("SK_ID_PREV").asc())
 
 
 @query("t02_top_importance", f"WITH {_IMP} SELECT feature, {r('importance')} AS importance FROM imp ORDER BY importance DESC, feature LIMIT 10")

@@ -93,13 +93,13 @@ def decision_columns(tp: Column, fp: Column, fn: Column, tn: Column) -> list[Col
     ]
 
 
-def threshold_table(scored: DataFrame, label: str, score: str, grid: Sequence[float] | None = None) -> DataFrame:
-    """(threshold, precision, recall, f1, accuracy) with the rule ``score > threshold``.
+def threshold_counts(scored: DataFrame, label: str, score: str, grid: Sequence[float]) -> DataFrame:
+    """(threshold, tp, seen, p, total): rows and positives above each cut, and in all.
 
     Each score falls once into the interval between two cuts; at most
     ``len(grid) + 1`` rows are left for the cumulative sums.
     """
-    grid = sorted(grid or threshold_grid())
+    grid = sorted(grid)
     # intervals are closed on the left, so binning the negated score puts a score equal to a cut below it
     edges = [-float("inf"), *[-t for t in reversed(grid)], float("inf")]
     counted = score_counts(scored, label, score).withColumn("__neg", -F.col("score"))
@@ -115,10 +115,15 @@ def threshold_table(scored: DataFrame, label: str, score: str, grid: Sequence[fl
     def summed(column, window):
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
-    tallied = bins.select(
+    return bins.select(
         "threshold", summed("pos", upto).alias("tp"), summed("n", upto).alias("seen"),
         summed("pos", everything).alias("p"), summed("n", everything).alias("total"),
     ).where(F.col("threshold").isNotNull())
+
+
+def threshold_table(scored: DataFrame, label: str, score: str, grid: Sequence[float] | None = None) -> DataFrame:
+    """(threshold, precision, recall, f1, accuracy) with the rule ``score > threshold``."""
+    tallied = threshold_counts(scored, label, score, grid or threshold_grid())
     tp, fp = F.col("tp"), F.col("seen") - F.col("tp")
     fn = F.col("p") - tp
     tn = F.col("total") - F.col("seen") - fn
