@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
+from riskloom.functions.text import name, text
 from riskloom.session import settle
 
 NULL_LABEL = "__NULL__"
@@ -27,23 +27,23 @@ class FrequencyTable:
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Replace the column by ``{column}_FREQ``; null and unseen get ``unseen``."""
-        name = f"{self.column}_FREQ"
+        frequency = f"{self.column}_FREQ"
         table = self.table.withColumnRenamed(self.column, "__category")
         if self.size <= BROADCAST_ROWS:
             table = F.broadcast(table)
-        kind = self.table.schema[name].dataType
+        kind = self.table.schema[frequency].dataType
         kept = [as_column(c) for c in df.columns if c != self.column]
         return df.join(table, as_column(self.column) == F.col("__category"), "left").select(
-            *kept, F.coalesce(as_column(name), F.lit(self.unseen).cast(kind)).alias(name)
+            *kept, F.coalesce(as_column(frequency), F.lit(self.unseen).cast(kind)).alias(frequency)
         )
 
 
 def fit_frequency(train: DataFrame, column: str, normalize: bool = False, unseen: float = 1) -> FrequencyTable:
-    name = f"{column}_FREQ"
-    counted = train.groupBy(as_column(column)).agg(F.count(F.lit(1)).alias(name))
+    frequency = f"{column}_FREQ"
+    counted = train.groupBy(as_column(column)).agg(F.count(F.lit(1)).alias(frequency))
     if normalize:
         rows = train.count()
-        counted = counted.withColumn(name, as_column(name) / F.lit(float(rows)))
+        counted = counted.withColumn(frequency, as_column(frequency) / F.lit(float(rows)))
     table = settle(counted.where(as_column(column).isNotNull()), "frequency")
     return FrequencyTable(column, table, table.count(), unseen)
 
@@ -62,27 +62,21 @@ class CategoryCodes:
         present, out, tail = set(df.columns), [], []
         for c in df.columns:
             if c in self.binary:
-                out.append(self._binary(c).alias(c))
+                out.append(f"{self._binary(c)} AS {name(c)}")
             elif c not in self.one_hot:
-                out.append(as_column(c))
+                out.append(name(c))
         for c in self.binary:
             if c not in present:
-                tail.append(F.lit(self.unknown).cast("byte").alias(c))
+                tail.append(f"CAST({self.unknown} AS TINYINT) AS {name(c)}")
         for c, values in self.one_hot.items():
             for v in values:
-                if c in present:
-                    hit = F.coalesce(as_column(c), F.lit(self.null_label)) == F.lit(v)
-                    tail.append(hit.cast("byte").alias(f"{c}_{v}"))
-                else:
-                    tail.append(F.lit(0).cast("byte").alias(f"{c}_{v}"))
-        return df.select(*out, *tail)
-
-    def _binary(self, column: str):
-        c = as_column(column)
-        pairs = list(self.binary[column].items())
-        start = F.when(c == pairs[0][0], F.lit(pairs[0][1]))
-        chain = reduce(lambda acc, p: acc.when(c == p[0], F.lit(p[1])), pairs[1:], start)
-        return chain.otherwise(F.lit(self.unknown)).cast("byte")
+                hit = f"coalesce({name(c)}, {text(self.null_label)}) = {text(v)}" if c in present else "false"
+                tail.append(f"CAST({hit} AS TINYINT) AS {name(f'{c}_{v}')}")
+        return df.selectExpr(*out, *tail)
+
+    def _binary(self, column: str) -> str:
+        cases = " ".join(f"WHEN {text(v)} THEN {int(code)}" for v, code in self.binary[column].items())
+        return f"CAST(CASE {name(column)} {cases} ELSE {self.unknown} END AS TINYINT)"
 
 
 def fit_codes(

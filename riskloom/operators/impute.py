@@ -6,9 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from riskloom.functions.columns import as_column, null_flag, numeric_columns
+from riskloom.functions.columns import numeric_columns
+from riskloom.functions.text import name, number
 from riskloom.operators.quantiles import exact_quantiles
 
 
@@ -17,7 +17,7 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str
     columns = list(df.columns if columns is None else columns)
     if not columns:
         return {}
-    row = df.agg(*[F.count_if(as_column(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    row = df.selectExpr(*[f"count_if({name(c)} IS NULL) AS n{i}" for i, c in enumerate(columns)]).first()
     return {c: row[f"n{i}"] for i, c in enumerate(columns)}
 
 
@@ -32,20 +32,20 @@ class Imputation:
 
     def apply(self, df: DataFrame) -> DataFrame:
         zero, flagged = set(self.zero_filled), set(self.flagged)
-        kinds = {f.name: f.dataType for f in df.schema.fields}
+        kinds = dict(df.dtypes)
         out = []
-        flags = {f"{c}_is_missing": null_flag(c, "int") for c in df.columns if c in flagged}
+        flags = {f"{c}_is_missing": f"CAST({name(c)} IS NULL AS INT)" for c in df.columns if c in flagged}
         for c in df.columns:
             if c in flags:
                 # a flag made earlier keeps its place and takes the new value
-                out.append(flags.pop(c).alias(c))
+                out.append(f"{flags.pop(c)} AS {name(c)}")
             elif c in zero:
-                out.append(F.coalesce(as_column(c), F.lit(self.zero).cast(kinds[c])).alias(c))
+                out.append(f"coalesce({name(c)}, CAST({number(self.zero)} AS {kinds[c]})) AS {name(c)}")
             elif c in self.medians:
-                out.append(F.coalesce(as_column(c).cast("double"), F.lit(float(self.medians[c]))).alias(c))
+                out.append(f"coalesce(CAST({name(c)} AS DOUBLE), {number(self.medians[c])}) AS {name(c)}")
             else:
-                out.append(as_column(c))
-        return df.select(*out, *[expr.alias(name) for name, expr in flags.items()])
+                out.append(name(c))
+        return df.selectExpr(*out, *[f"{e} AS {name(c)}" for c, e in flags.items()])
 
 
 def fit_imputation(

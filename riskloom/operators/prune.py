@@ -10,7 +10,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import as_column
+from riskloom.functions.text import name, number, text
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
@@ -19,7 +19,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     Dense vectors make Spark centre the data before multiplying, which matters
     for columns with a large mean.
     """
-    packed = df.select(array_to_vector(F.array(*[as_column(c).cast("double") for c in columns])).alias("v"))
+    values = ", ".join(f"CAST({name(c)} AS DOUBLE)" for c in columns)
+    packed = df.select(array_to_vector(F.expr(f"array({values})")).alias("v"))
     return Correlation.corr(packed, "v").first()[0].toArray()
 
 
@@ -38,8 +39,8 @@ def value_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Values are compared as text of their own type, so each column keeps its
     distinctions; the counts combine before the shuffle.
     """
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), as_column(c).cast("string").alias("value")) for c in columns])
-    counted = df.select(F.explode(entries).alias("e")).groupBy("e.column", "e.value").agg(F.count(F.lit(1)).alias("n"))
+    entries = ", ".join(f"named_struct('column', {text(c)}, 'value', CAST({name(c)} AS STRING))" for c in columns)
+    counted = df.selectExpr(f"explode(array({entries})) AS e").groupBy("e.column", "e.value").agg(F.count(F.lit(1)).alias("n"))
     return counted.groupBy("column").agg(
         F.max("n").alias("top_count"), F.sum("n").alias("rows"), (F.max("n") / F.sum("n")).alias("share")
     )
@@ -60,19 +61,32 @@ def near_constant_columns(df: DataFrame, columns: Sequence[str], threshold: floa
         dropped = {r[0] for r in rows}
         return [c for c in columns if c in dropped]
     kinds = dict(df.dtypes)
-    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    # the sketch works on doubles; types that do not fit one exactly go in as a 52-bit hash
+    exact = {"tinyint", "smallint", "int", "float", "double"}
 
     def comparable(c):
-        return as_column(c) if kinds[c] in numeric else F.xxhash64(as_column(c).cast("string"))
+        return name(c) if kinds[c] in exact else f"pmod(xxhash64({name(c)}), {1 << 52})"
 
-    middle = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.percentile_approx(F.when(as_column(c).isNotNull(), comparable(c)), 0.5, 100).alias(f"m{i}") for i, c in enumerate(columns)],
+    middle = df.selectExpr(
+        "count(1) AS rows",
+        *[f"percentile_approx(CASE WHEN {name(c)} IS NOT NULL THEN {comparable(c)} END, 0.5D, 100) AS m{i}" for i, c in enumerate(columns)],
     ).first()
-    counts = [F.count_if(as_column(c).isNull()).alias(f"z{i}") for i, c in enumerate(columns)]
+    counts = [f"count_if({name(c)} IS NULL) AS z{i}" for i, c in enumerate(columns)]
     for i, c in enumerate(columns):
-        if middle[f"m{i}"] is not None:
-            counts.append(F.count_if(as_column(c).isNotNull() & (comparable(c) == F.lit(middle[f"m{i}"]))).alias(f"c{i}"))
-    row = df.agg(*counts).first().asDict()
-    total = middle["rows"]
-    return [c for i, c in enumerate(columns) if total and max(row[f"z{i}"], row.get(f"c{i}", 0)) / total > threshold]
+        found = middle[f"m{i}"]
+        if found is not None:
+            value = number(found) if isinstance(found, float) else str(int(found))
+            hit = f"{name(c)} IS NOT NULL AND {comparable(c)} = {value}"
+            counts.append(f"count_if({hit}) AS c{i}")
+            if kinds[c] not in exact:
+                one = f"CASE WHEN {hit} THEN {name(c)} END"
+                counts.append(f"min({one}) <=> max({one}) AS same{i}")
+    row, total = df.selectExpr(*counts).first().asDict(), middle["rows"]
+    if not total:
+        return []
+    # two values behind one hash are told apart by counting values, which practically never happens
+    mixed = [c for i, c in enumerate(columns) if row.get(f"same{i}") is False]
+    shares = {r["column"]: r["share"] for r in value_shares(df, mixed).collect()} if mixed else {}
+    for i, c in enumerate(columns):
+        shares.setdefault(c, max(row[f"z{i}"], row.get(f"c{i}", 0)) / total)
+    return [c for c in columns if shares[c] > threshold]

@@ -9,8 +9,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import as_column, is_invalid_number, numeric_columns
-from riskloom.operators.impute import null_counts
+from riskloom.functions.columns import as_column, numeric_columns
+from riskloom.functions.text import invalid_text, name as quoted
 
 CHECK_SCHEMA = "section string, name string, passed boolean, detail string"
 
@@ -81,16 +81,22 @@ def invalid_numbers(df: DataFrame) -> dict[str, int]:
     columns = [c for c in numeric_columns(df) if kinds[c].simpleString() in ("double", "float")]
     if not columns:
         return {}
-    row = df.agg(*[F.count_if(is_invalid_number(c, kinds[c])).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    row = df.selectExpr(*[f"count_if({invalid_text(c, kinds[c])}) AS n{i}" for i, c in enumerate(columns)]).first()
     return {c: row[f"n{i}"] for i, c in enumerate(columns)}
 
 
 def completeness(name: str, df: DataFrame, section: str = "schema") -> list[Check]:
-    nulls = {c: n for c, n in null_counts(df).items() if n}
-    invalid = {c: n for c, n in invalid_numbers(df).items() if n}
+    """No nulls and no unusable numbers anywhere; both counted in the same pass."""
+    fields = df.schema.fields
+    row = df.selectExpr(
+        *[f"count_if({quoted(f.name)} IS NULL) AS n{i}" for i, f in enumerate(fields)],
+        *[f"count_if({invalid_text(f.name, f.dataType)}) AS v{i}" for i, f in enumerate(fields) if f.dataType.simpleString() in ("double", "float")],
+    ).first().asDict()
+    nulls = sorted(f.name for i, f in enumerate(fields) if row[f"n{i}"])
+    invalid = sorted(f.name for i, f in enumerate(fields) if row.get(f"v{i}"))
     return [
-        Check(section, f"no_nulls.{name}", not nulls, {"columns": sorted(nulls)}),
-        Check(section, f"no_invalid_numeric.{name}", not invalid, {"columns": sorted(invalid)}),
+        Check(section, f"no_nulls.{name}", not nulls, {"columns": nulls}),
+        Check(section, f"no_invalid_numeric.{name}", not invalid, {"columns": invalid}),
     ]
 
 
@@ -98,7 +104,7 @@ def sparse_columns(df: DataFrame, added: Sequence[str], limit: float) -> dict[st
     """Null share of joined columns above the warning limit."""
     if not added:
         return {}
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(as_column(c)).alias(f"v{i}") for i, c in enumerate(added)]).first()
+    row = df.selectExpr("count(1) AS n", *[f"count({quoted(c)}) AS v{i}" for i, c in enumerate(added)]).first()
     rates = {c: (1 - row[f"v{i}"] / row["n"]) if row["n"] else 0.0 for i, c in enumerate(added)}
     return {c: r for c, r in rates.items() if r > limit}
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
+from riskloom.functions.text import name, number
 
 DIRECT_ROWS = 2_000_000
 SKETCH = 2_000
@@ -59,12 +60,11 @@ def exact_quantiles(
 
 
 def _block(df, columns, points, direct_rows):
-    counted = df.agg(*[F.count(as_column(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    counted = df.selectExpr(*[f"count({name(c)}) AS n{i}" for i, c in enumerate(columns)]).first()
     counts = {c: counted[f"n{i}"] for i, c in enumerate(columns)}
     if max(counts.values()) <= direct_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in points])
-        asks = [F.percentile(as_column(c).cast("double"), wanted).alias(f"q{i}") for i, c in enumerate(columns)]
-        row = df.agg(*asks).first()
+        wanted = f"array({', '.join(number(p) for p in points)})"
+        row = df.selectExpr(*[f"percentile(CAST({name(c)} AS DOUBLE), {wanted}) AS q{i}" for i, c in enumerate(columns)]).first()
         return {c: list(row[f"q{i}"] or [None] * len(points)) for i, c in enumerate(columns)}
 
     searches: dict[tuple[str, int], _Search] = {}

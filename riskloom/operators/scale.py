@@ -6,9 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from riskloom.functions.columns import as_column
+from riskloom.functions.text import name, number
 from riskloom.operators.quantiles import exact_quantiles
 
 KINDS = ("standard", "robust", "minmax")
@@ -25,9 +24,8 @@ class Scaling:
     def apply(self, df: DataFrame) -> DataFrame:
         if not self.centre:
             return df
-        return df.select([
-            ((as_column(c).cast("double") - F.lit(self.centre[c])) / F.lit(self.width[c])).alias(c)
-            if c in self.centre else as_column(c)
+        return df.selectExpr(*[
+            f"(CAST({name(c)} AS DOUBLE) - {number(self.centre[c])}) / {number(self.width[c])} AS {name(c)}" if c in self.centre else name(c)
             for c in df.columns
         ])
 
@@ -43,10 +41,10 @@ def fit_scaling(train: DataFrame, columns: Sequence[str], kind: str | None = "ro
         centre = {c: (points[c][1] or 0.0) for c in columns}
         width = {c: ((points[c][2] - points[c][0]) if points[c][0] is not None else 0.0) for c in columns}
     else:
-        first, second = (F.avg, F.stddev_pop) if kind == "standard" else (F.min, F.max)
-        row = train.agg(
-            *[first(as_column(c).cast("double")).alias(f"a{i}") for i, c in enumerate(columns)],
-            *[second(as_column(c).cast("double")).alias(f"b{i}") for i, c in enumerate(columns)],
+        first, second = ("avg", "stddev_pop") if kind == "standard" else ("min", "max")
+        row = train.selectExpr(
+            *[f"{first}(CAST({name(c)} AS DOUBLE)) AS a{i}" for i, c in enumerate(columns)],
+            *[f"{second}(CAST({name(c)} AS DOUBLE)) AS b{i}" for i, c in enumerate(columns)],
         ).first()
         centre = {c: (row[f"a{i}"] or 0.0) for i, c in enumerate(columns)}
         width = {

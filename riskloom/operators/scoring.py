@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column, at_or_above
 from riskloom.functions.names import tidy_columns
+from riskloom.functions.text import name
 from riskloom.operators.training import Preprocessing, assemble, positive_probability
 from riskloom.sources.sinks import read_document, write_document
 
@@ -48,8 +49,8 @@ def align_features(df: DataFrame, expected: Sequence[str], key: str = "SK_ID_CUR
     if most_missing is not None and len(missing) > int(most_missing):
         raise ValueError(f"{len(missing)} features are missing, more than the {most_missing} that may be filled: {missing[:10]}")
     source = {clean: raw for raw, clean in names.items()}
-    columns = [as_column(source[c]).alias(c) if c in source else F.lit(fill).alias(c) for c in expected]
-    return df.select(as_column(key), *columns), Alignment(missing, extra)
+    columns = [f"{name(source[c])} AS {name(c)}" if c in source else f"{fill} AS {name(c)}" for c in expected]
+    return df.selectExpr(name(key), *columns), Alignment(missing, extra)
 
 
 @dataclass(frozen=True)
@@ -112,8 +113,8 @@ class LinearWeights:
             total = total + F.lit(float(w)) * as_column(c).cast("double")
         return total
 
-    def probability(self, df: DataFrame, name: str) -> DataFrame:
-        return df.withColumn(name, F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin())))
+    def probability(self, df: DataFrame, out: str) -> DataFrame:
+        return df.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin())))
 
     @staticmethod
     def of(model, features: Sequence[str]) -> "LinearWeights":
@@ -127,10 +128,10 @@ class FittedModel:
     model: object
     features: list[str]
 
-    def probability(self, df: DataFrame, name: str) -> DataFrame:
+    def probability(self, df: DataFrame, out: str) -> DataFrame:
         scored = self.model.transform(assemble(df.select(*df.columns), self.features))
         rest = [c for c in df.columns if c not in self.features]
-        return scored.select(*map(as_column, rest), positive_probability().alias(name))
+        return scored.select(*map(as_column, rest), positive_probability().alias(out))
 
 
 @dataclass(frozen=True)
@@ -146,14 +147,14 @@ class Scorer:
     def inputs(self) -> list[str]:
         return self.preprocessing.features if self.preprocessing else self.model.features
 
-    def predict(self, df: DataFrame, name: str = PROBABILITY) -> DataFrame:
+    def predict(self, df: DataFrame, out: str = PROBABILITY) -> DataFrame:
         """(key, probability): target dropped, names cleaned, any number of missing features filled."""
         aligned, _ = align_features(df, self.inputs, self.key, self.target, allow_target=True, most_missing=None)
-        return self.score_aligned(aligned, name)
+        return self.score_aligned(aligned, out)
 
-    def score_aligned(self, aligned: DataFrame, name: str = PROBABILITY) -> DataFrame:
+    def score_aligned(self, aligned: DataFrame, out: str = PROBABILITY) -> DataFrame:
         prepared = self.preprocessing.apply(aligned) if self.preprocessing else aligned
-        return self.model.probability(prepared, name).select(as_column(self.key), as_column(name))
+        return self.model.probability(prepared, out).select(as_column(self.key), as_column(out))
 
     def save(self, spark: SparkSession, folder: str) -> None:
         facts = {"key": self.key, "target": self.target, "features": self.model.features}

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
+from riskloom.functions.text import name
 from riskloom.operators.balance import class_weights, resample, weight_column
 from riskloom.operators.metrics import single_metric
 from riskloom.operators.ranking import class_counts, shuffled_rank, take_per_class
@@ -44,10 +45,10 @@ def stratified_sample(df: DataFrame, label: str, key: str, rate: float | None =
     return take_per_class(df, label, key, {c: math.ceil(rate * n) for c, n in counts.items()}, seed)
 
 
-def mark_holdout(df: DataFrame, label: str, key: str, fraction: float, seed: int = 42, name: str = HOLDOUT) -> DataFrame:
+def mark_holdout(df: DataFrame, label: str, key: str, fraction: float, seed: int = 42, mark: str = HOLDOUT) -> DataFrame:
     """The same stratified draw as a boolean column."""
     counts = class_counts(df, label)
-    return take_per_class(df, label, key, {c: math.ceil(fraction * n) for c, n in counts.items()}, seed, inside=name)
+    return take_per_class(df, label, key, {c: math.ceil(fraction * n) for c, n in counts.items()}, seed, inside=mark)
 
 
 def assign_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed: int = 42) -> DataFrame:
@@ -76,9 +77,8 @@ class Preprocessing:
         missing = [c for c in self.output if c not in df.columns]
         if missing:
             raise ValueError(f"columns needed by the fitted preprocessing are missing: {missing[:10]}")
-        passed = [c for c in df.columns if c not in self.features]
-        narrow = df.select(*map(as_column, passed), *map(as_column, self.output))
-        kept = set(self.output)
+        inputs, kept = set(self.features), set(self.output)
+        narrow = df.selectExpr(*[name(c) for c in df.columns if c not in inputs], *map(name, self.output))
         scaling = Scaling(
             self.scaling.kind, {c: v for c, v in self.scaling.centre.items() if c in kept},
             {c: v for c, v in self.scaling.width.items() if c in kept},
@@ -166,8 +166,10 @@ def fit_preprocessing(train: DataFrame, features: Sequence[str], options: Traini
 
 def assemble(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
     """Feature columns as one dense vector; the label as a double."""
-    vector = array_to_vector(F.array(*[as_column(c).cast("double") for c in features])).alias(VECTOR)
-    rest = [as_column(c).cast("double").alias(c) if c == label else as_column(c) for c in df.columns if c not in features]
+    values = ", ".join(f"CAST({name(c)} AS DOUBLE)" for c in features)
+    vector = array_to_vector(F.expr(f"array({values})")).alias(VECTOR)
+    inside = set(features)
+    rest = [as_column(c).cast("double").alias(c) if c == label else as_column(c) for c in df.columns if c not in inside]
     return df.select(*rest, vector)
 
 
@@ -252,19 +254,19 @@ def sample_candidates(space: Mapping[str, Mapping], trials: int, seed: int = 42)
     source, out = random.Random(seed), []
     for _ in range(trials):
         candidate = {}
-        for name, spec in space.items():
+        for field_name, spec in space.items():
             kind = spec["type"]
             if kind == "categorical":
-                candidate[name] = source.choice(list(spec["choices"]))
+                candidate[field_name] = source.choice(list(spec["choices"]))
             elif kind in ("int", "float"):
                 low, high = spec["low"], spec["high"]
                 if spec.get("log", False):
                     value = math.exp(source.uniform(math.log(low), math.log(high)))
                 else:
                     value = source.uniform(low, high) if kind == "float" else source.randint(low, high)
-                candidate[name] = int(min(max(round(value), low), high)) if kind == "int" else value
+                candidate[field_name] = int(min(max(round(value), low), high)) if kind == "int" else value
             else:
-                raise ValueError(f"unknown search space type for {name}: {kind!r}")
+                raise ValueError(f"unknown search space type for {field_name}: {kind!r}")
         out.append(candidate)
     return out
 

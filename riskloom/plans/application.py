@@ -6,10 +6,9 @@ from collections.abc import Collection, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from riskloom.functions import columns as fx
-from riskloom.functions.columns import as_column
+from riskloom.functions.text import finite_text, name
 from riskloom.operators.encode import CategoryCodes, FrequencyTable, fit_codes, fit_frequency
 from riskloom.operators.prune import correlated_columns, near_constant_columns
 from riskloom.plans import fixed_values as fv
@@ -106,13 +105,11 @@ def add_row_statistics(df: DataFrame, options: BaseOptions = BaseOptions(), fill
     if set(enquiries) <= present:
         lenient += enquiries
         added["AMT_REQ_CREDIT_BUREAU_TOTAL"] = fx.row_sum(enquiries)
-    df = df.select(
-        *[as_column(c).try_cast("double").alias(c) if c in lenient else as_column(c) for c in df.columns if c not in added],
-        *[expr.alias(n) for n, expr in added.items()],
-    )
+    df = df.selectExpr(*[f"try_cast({name(c)} AS DOUBLE) AS {name(c)}" if c in lenient else name(c) for c in df.columns if c not in added]
+                       + [name(c) for c in added if c in present]).withColumns(added)
     kinds = {f.name: f.dataType for f in df.schema.fields}
     numbers = set(fx.numeric_columns(df))
-    return df.select([fx.finite_or(c, kinds[c], fill).alias(c) if c in numbers else as_column(c) for c in df.columns])
+    return df.selectExpr(*[f"{finite_text(c, kinds[c], fill)} AS {name(c)}" if c in numbers else name(c) for c in df.columns])
 
 
 @dataclass(frozen=True)
@@ -125,8 +122,8 @@ class Pruning:
 
     def apply(self, df: DataFrame, fill: float = 0, without: Sequence[str] = ()) -> DataFrame:
         """Kept columns in training order; absent ones are filled."""
-        names = [c for c in self.kept if c not in without]
-        return df.select([as_column(c) if c in df.columns else F.lit(fill).alias(c) for c in names])
+        names, present = [c for c in self.kept if c not in without], set(df.columns)
+        return df.selectExpr(*[name(c) if c in present else f"{fill} AS {name(c)}" for c in names])
 
     def padded(self, df: DataFrame, without: Sequence[str] = ()) -> list[str]:
         return sorted(c for c in self.kept if c not in without and c not in df.columns)
