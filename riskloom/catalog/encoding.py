@@ -136,8 +136,17 @@ def global_features(spark, folder):
     return df.select(KEY, F.col("TARGET").cast("long").alias("TARGET"), *[shown(c, 2) for c in ratios], *[shown(c, 4) for c in stats])
 
 
-@query("e08_cleanup", BASE + f"""SELECT 'correlated' AS reason, 'DAYS_TWICE' AS name FROM train HAVING abs(corr(DAYS_BIRTH, DAYS_BIRTH * 2 + 1)) > 0.99
- UNION ALL SELECT 'near_constant', 'ALMOST_ALWAYS_0' FROM train HAVING count(*) FILTER (WHERE {KEY} % 401 <> 1) / count(*) > 0.995""")
+_CLEAN = ("DAYS_BIRTH", "DAYS_TWICE", "AMT_CREDIT", "EXT_SOURCE_2", "ALMOST_ALWAYS_0")
+
+
+def _tied(j: int) -> str:
+    pairs = [f"CASE WHEN isnan(corr({a}, {_CLEAN[j]})) THEN 0 ELSE abs(corr({a}, {_CLEAN[j]})) END" for a in _CLEAN[:j]]
+    return f"(SELECT greatest(0, {', '.join(pairs)}) > 0.99 FROM c)" if pairs else "FALSE"
+
+
+@query("e08_cleanup", BASE + f""", c AS (SELECT *, DAYS_BIRTH * 2 + 1 AS DAYS_TWICE, CAST({KEY} % 401 = 1 AS INT) AS ALMOST_ALWAYS_0 FROM train) """ + " UNION ALL ".join(
+    f"SELECT 'correlated' AS reason, '{c}' AS name WHERE {_tied(j)}" for j, c in enumerate(_CLEAN)) + " UNION ALL " + " UNION ALL ".join(
+    f"SELECT 'near_constant', '{c}' WHERE NOT {_tied(j)} AND (SELECT max(n) / sum(n) > 0.995 FROM (SELECT count(*) AS n FROM c GROUP BY {c}))" for j, c in enumerate(_CLEAN)))
 def cleanup(spark, folder):
     train, _ = _both(spark, folder)
     df = train.select(

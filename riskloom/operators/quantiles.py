@@ -1,7 +1,7 @@
 """Exact interpolated quantiles of many columns at any table size.
 
 Small inputs use Spark's exact ``percentile``, which keeps every distinct value
-of a column in one task. Beyond a row limit that task would grow with the data,
+of a column in one task. Beyond a size limit that task would grow with the data,
 so larger inputs close in on the wanted ranks instead: each pass asks the
 mergeable percentile sketch for a bracket around every rank and counts what lies
 below it; when a bracket holds few enough rows its values are counted and ranked.
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from riskloom.functions.columns import as_column
 from riskloom.functions.text import name, number
 
-DIRECT_ROWS = 2_000_000
+DIRECT_VALUES = 5_000_000
+"""Rows times columns that may meet in one task."""
 SKETCH = 2_000
 COLUMN_BLOCK = 50
 
@@ -50,12 +51,14 @@ class _Search:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], points: Sequence[float], direct_rows: int = DIRECT_ROWS
+    df: DataFrame, columns: Sequence[str], points: Sequence[float], direct_rows: int | None = None
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles per column; nulls are skipped, an empty column gives None."""
     columns, found = list(columns), {}
     for start in range(0, len(columns), COLUMN_BLOCK):
-        found.update(_block(df, columns[start:start + COLUMN_BLOCK], list(points), direct_rows))
+        block = columns[start:start + COLUMN_BLOCK]
+        limit = direct_rows if direct_rows is not None else DIRECT_VALUES // len(block)
+        found.update(_block(df, block, list(points), limit))
     return found
 
 

@@ -57,7 +57,7 @@ def test_smote_rows_lie_between_two_rare_rows(spark, classes):
         start = rare.loc[m.id].values
         near = [rare.loc[j].values for j in brute(rare.values, rare.index.values, m.id, 5)]
         step = np.array([m.a, m.b]) - start
-        on = [abs(np.cross(step, e - start)) < 1e-9 and -1e-9 <= step @ (e - start) <= (e - start) @ (e - start) + 1e-9 for e in near]
+        on = [abs(step[0] * (e - start)[1] - step[1] * (e - start)[0]) < 1e-9 and -1e-9 <= step @ (e - start) <= (e - start) @ (e - start) + 1e-9 for e in near]
         assert any(on)
 
 
