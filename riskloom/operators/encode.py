@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
 from riskloom.functions.text import name, text
-from riskloom.session import settle
+from riskloom.session import check_distinct_names, settle
 
 NULL_LABEL = "__NULL__"
 BROADCAST_ROWS = 200_000
@@ -116,4 +116,5 @@ def fit_codes(
         if None in seen[c] and null_label not in values:
             values.append(null_label)
         one_hot[c] = values[1:] if drop_first else values
+    check_distinct_names(train.sparkSession, [f"{c}_{v}" for c, values in one_hot.items() for v in values])
     return CategoryCodes(binary, one_hot, unknown, null_label)

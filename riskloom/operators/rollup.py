@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
 from riskloom.functions.text import name as _name, text as _text
+from riskloom.session import check_distinct_names
 
 STATS = ("rows", "count", "sum", "mean", "min", "max", "matches", "share")
 OTHER = "__other__"
@@ -275,6 +276,7 @@ def roll_up(df: DataFrame, plan: Rollup) -> DataFrame:
             inside = f"(__rank <= {n} OR (__undated AND __rank IS NULL))"
             out += [(f"LAST_{n}_{s.label}", _value(s, inside, dims, always=False)) for s in plan.latest.stats]
 
+    check_distinct_names(df.sparkSession, [n for n, _ in out])
     grouped = rows.groupBy(as_column(plan.key)).agg(*[F.expr(e).alias(n) for n, e in out])
     final = [f"{_name(plan.key)}"] + [f"{_name(n)} AS {_name(plan.prefix + n)}" for n, _ in out]
     final += [f"{_name(recent)} - {_name(overall)} AS {_name(plan.prefix + n)}" for recent, overall, n in trends]

@@ -12,6 +12,7 @@ from riskloom.operators.rollup import (
     Latest, Recency, Rollup, Split, Stat, categories, categories_by_recency, child_means, roll_up, share_stats, stats,
 )
 from riskloom.plans import fixed_values as fv
+from riskloom.session import settle
 
 ALL_SETS = frozenset(fv.FEATURE_SETS)
 
@@ -22,7 +23,8 @@ def _have(df: DataFrame, *columns: str) -> tuple[str, ...]:
 
 def bureau_rollup(bureau: DataFrame, balance: DataFrame, sets: Collection[str] = ALL_SETS, epsilon: float = EPSILON) -> DataFrame:
     """Two levels: monthly status per loan, then loans per customer."""
-    per_loan = loan_status_rollup(balance)
+    # written, so that the join below reads a plain table and adaptive execution can split a loan id held by many rows
+    per_loan = settle(loan_status_rollup(balance), "loans")
     if "bureau_extended" in sets and len(_have(bureau, "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM")) == 2:
         bureau = bureau.withColumn("DEBT_CREDIT_RATIO", ratio("AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM", epsilon))
     debt_share = _have(bureau, "DEBT_CREDIT_RATIO")

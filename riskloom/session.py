@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # category names become column names, and may differ only in case
+    "spark.sql.caseSensitive": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -56,6 +58,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def check_distinct_names(spark: SparkSession, names) -> None:
+    """Generated column names must stay apart under the session's case rule."""
+    if spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true":
+        return
+    seen: dict[str, str] = {}
+    for n in names:
+        other = seen.setdefault(n.lower(), n)
+        if other != n:
+            raise ValueError(f"columns {other!r} and {n!r} differ only in case; set spark.sql.caseSensitive=true")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused, never overwritten."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -100,3 +100,14 @@ def test_scalers(spark):
     with pytest.raises(ValueError):
         fit_scaling(df, ["x"], "log")
     assert fit_scaling(df, ["x"], None).apply(df).columns == ["x", "flat"]
+
+
+def test_categories_that_differ_in_case(spark):
+    train = spark.createDataFrame([(1, "Yes"), (2, "yes"), (3, "no")], "id int, c string")
+    assert values(fit_codes(train, ["c"]).apply(train))[2] == {"c_Yes": 0, "c_no": 0, "c_yes": 1}
+    spark.conf.set("spark.sql.caseSensitive", "false")
+    try:
+        with pytest.raises(ValueError, match="case"):
+            fit_codes(train, ["c"])
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "true")
