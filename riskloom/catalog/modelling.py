@@ -111,7 +111,7 @@ def _rare(spark, folder):
 
 
 def _wide(spark, folder, size=64):
-    return _rare(spark, folder).select("vec_id", "y", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(size)])
+    return _rare(spark, folder).selectExpr("vec_id", "y", *[f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(size)])
 
 
 FEATURES = [f"e{i}" for i in range(64)]

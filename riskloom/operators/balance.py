@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
+from riskloom.functions.text import name, text
 from riskloom.operators.neighbors import nearest
 from riskloom.operators.ranking import class_counts, shuffled_rank, take_per_class, unit_draw
 from riskloom.session import settle
@@ -59,12 +60,12 @@ def oversample(df: DataFrame, label: str, key: str, features: Sequence[str], str
     counts = class_counts(df, label)
     rare, needed = _minority(counts)
     features = list(features)
-    plain = df.select(as_column(key), as_column(label), *[as_column(c).cast("double").alias(c) for c in features])
+    plain = df.selectExpr(name(key), name(label), *[f"CAST({name(c)} AS DOUBLE) AS {name(c)}" for c in features])
     kept = plain.withColumn("is_synthetic", F.lit(False))
     if needed <= 0 or counts[rare] < 2:
         return kept
     vectors = settle(
-        plain.select(as_column(key).alias("id"), (as_column(label) == F.lit(rare)).alias("rare"), F.array(*map(as_column, features)).alias("vec")),
+        plain.select(as_column(key).alias("id"), (as_column(label) == F.lit(rare)).alias("rare"), F.expr(f"array({', '.join(map(name, features))})").alias("vec")),
         "rows",
     )
     rare_rows = vectors.where("rare")
@@ -124,11 +125,10 @@ def _synthesize(rare_rows, draws, key, label, rare, features, neighbors, seed, p
         .join(rare_rows.select("id", "vec"), "id")
         .join(rare_rows.select(F.col("id").alias("neighbor"), F.col("vec").alias("other")), "neighbor")
     )
-    values = [
-        (F.col("vec")[j] + F.col("u") * (F.col("other")[j] - F.col("vec")[j])).alias(c) for j, c in enumerate(features)
-    ]
-    kind = plain.schema[label].dataType
-    return picked.select(F.col("id").alias(key), F.lit(rare).cast(kind).alias(label), *values, F.lit(True).alias("is_synthetic"))
+    values = [f"vec[{j}] + u * (other[{j}] - vec[{j}]) AS {name(c)}" for j, c in enumerate(features)]
+    kind = plain.schema[label].dataType.simpleString()
+    value = text(rare) if isinstance(rare, str) else str(rare)
+    return picked.selectExpr(f"id AS {name(key)}", f"CAST({value} AS {kind}) AS {name(label)}", *values, "true AS is_synthetic")
 
 
 def resample(df: DataFrame, label: str, key: str, features: Sequence[str], strategy: str | None, seed: int = 42, **options) -> DataFrame:

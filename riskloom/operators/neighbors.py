@@ -149,8 +149,8 @@ def _compare(asked: DataFrame, cells: DataFrame, sizes: dict[int, int], want: in
     load = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def parts(counts):
-        pairs = [x for c, n in sorted(counts.items()) for x in (F.lit(c), F.lit(max(1, -(-n // BLOCK_ROWS))))]
-        return F.create_map(*pairs)
+        pairs = [f"{c}, {max(1, -(-n // BLOCK_ROWS))}" for c, n in sorted(counts.items())]
+        return F.expr(f"map({', '.join(pairs)})")
 
     def spread(counter):
         return F.explode(F.sequence(F.lit(0), counter - 1))

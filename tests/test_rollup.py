@@ -158,3 +158,30 @@ def test_feature_counts_of_the_five_tables(spark, folder):
         "prev_APPROVED_AMT_CREDIT_mean", "prev_NAME_CONTRACT_STATUS_Refused_prop", "bureau_STATUS_3M_A_prop_mean", "bureau_BUREAU_COUNT_730D",
         "bureau_ACTIVE_ACTIVE_LOANS_COUNT", "bureau_ACTIVE_LOANS_COUNT",
     } <= names
+
+
+def test_a_loan_id_held_by_many_rows_is_split(spark):
+    from riskloom.session import settle
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        parent = spark.range(200_000, numPartitions=8).selectExpr("id % 5000 AS k", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 20000 END AS loan")
+        child = settle(spark.range(20_000).selectExpr("id AS loan", "CAST(id AS DOUBLE) AS v"), "loans")
+        got = child_means(parent, child, "k", "loan")
+        total = got.selectExpr("count(1)", "sum(v_mean)").first()
+        plan = got._jdf.queryExecution()
+        joined = got.collect()
+        assert "skew=true" in plan.executedPlan().toString(), plan.executedPlan().toString()
+        expected = parent.toPandas().groupby("k").loan.mean()
+        assert total[0] == 5000 and len(joined) == 5000
+        assert sum(r.v_mean for r in joined) == pytest.approx(expected.sum())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
