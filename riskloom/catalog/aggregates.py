@@ -8,7 +8,6 @@ from riskloom.catalog import mapping as m
 from riskloom.catalog.expressions import DIRTY_SQL, _dirty
 from riskloom.catalog.registry import query, r, rounded, rounded_table, table
 from riskloom.catalog.rollups import plan_sql
-from riskloom.functions import columns as fx
 from riskloom.operators.impute import null_counts
 from riskloom.operators.prune import correlated_columns, correlation_matrix, near_constant_columns, value_shares
 from riskloom.operators.quality import invalid_numbers

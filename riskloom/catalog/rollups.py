@@ -298,8 +298,6 @@ FLAG_PLAN = Rollup(
 
 
 def flagship_columns() -> list[tuple[str, bool]]:
-    from riskloom.catalog.registry import CATALOG  # noqa: F401
-
     names = [(s.label, s.kind == "count") for s in FLAG_PLAN.overall]
     for w in fv.DAY_WINDOWS:
         names += [(f"{s.label}_{w}D", s.kind == "count") for s in FLAG_PLAN.recency.stats] + [(f"AMT_APPLICATION_mean_trend_{w}D", False)]
