@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -135,3 +136,50 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
         for c in columns:
             out[1:] |= c[1:] != c[:-1]
     return out
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id`` (long), ``text`` (null as empty) and, if there are more columns, all of them in one struct ``rest``."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *([F.struct(*others).alias("rest")] if others else []),
+    )
+
+
+def schema_with(df: DataFrame, **columns: str) -> str:
+    """DDL of doc_id, the given columns and, where ``df`` has it, ``rest``."""
+    rest = [f"rest {f.dataType.simpleString()}" for f in df.schema.fields if f.name == "rest"]
+    if rest:
+        inner = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in df.schema["rest"].dataType.fields)
+        rest = [f"rest struct<{inner}>"]
+    return ", ".join(["doc_id long", *(f"{k} {v}" for k, v in columns.items()), *rest])
+
+
+def carried(batch: pa.RecordBatch, start: int, size: int, **columns: pa.Array) -> pa.RecordBatch:
+    """Rows of a batch with doc_id, new columns and ``rest`` as it was."""
+    names = ["doc_id", *columns, *(["rest"] if "rest" in batch.schema.names else [])]
+    return pa.RecordBatch.from_arrays([columns[n] if n in columns else batch.column(n).slice(start, size) for n in names], names)
+
+
+
+def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id`` and the text as zstd frames, for a shuffle of whole texts."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for a, b in chunks(batch):
+            part = batch.slice(a, b - a)
+            packed = [press.compress(t.as_buffer()) for t in part.column("text")]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "zip"])
+
+
+def unzipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about a chunk each, with the text in place of its frame."""
+    press = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for a, b in chunks(batch, "zip"):
+            part = batch.slice(a, b - a)
+            texts = [press.decompress(z.as_buffer()) for z in part.column("zip")]
+            names = [n for n in part.schema.names if n != "zip"]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).cast(pa.string()), *(part.column(n) for n in names)], ["text", *names])

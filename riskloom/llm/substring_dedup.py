@@ -176,7 +176,7 @@ def _marked_rows(batch: pa.RecordBatch, window: int, anchor: int, period: int):
 
 def _open_windows(window: int, anchor: int, period: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.unzipped(batches):
             doc = np.asarray(batch.column("doc_id"), dtype=np.int64)
             found = []
             for i, _, mark, marked, windows in _marked_rows(batch, window, anchor, period):
@@ -191,7 +191,7 @@ def _open_windows(window: int, anchor: int, period: int):
 
 def _cut(window: int, anchor: int, period: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.unzipped(batches):
             n_words, n_removed, kept = [], [], []
             texts, owned = batch.column("text"), batch.column("owned")
             for i, n, mark, marked, windows in _marked_rows(batch, window, anchor, period):
@@ -238,7 +238,7 @@ def dedup_substrings(docs: DataFrame, window: int = 20, anchor: int = 8) -> Data
             F.collect_list(F.when(F.col("kind") == REPEATED, F.col("place"))).alias("repeated"),
             F.collect_list(F.when(F.col("kind") == OPEN, F.col("place"))).alias("opened"))
     )
-    marked = texts.join(marks, "doc_id", "left")
+    marked = texts.mapInArrow(C.zipped, "doc_id long, zip binary").join(marks, "doc_id", "left")
     owned = (
         marked.where(F.size("opened") > 0).mapInArrow(_open_windows(*shape), "one long, two long, doc_id long, place long")
         .groupBy("one", "two").agg(F.min(F.struct("doc_id", "place")).alias("first"))
