@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog.registry import Query, table
 from riskloom.llm import sql
+from riskloom.llm.chat import rotate_perspectives
+from riskloom.llm.decontaminate import find_contamination
+from riskloom.llm.line_dedup import dedup_lines
+from riskloom.llm.piece_tokens import encode_and_decode
+from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.substring_dedup import dedup_substrings
+from riskloom.llm.toxicity import score_toxicity
 
+PIECES = "piece_bpe_32k.model"
 QUERIES: dict[str, Query] = {}
 
 
@@ -20,6 +27,12 @@ def query(key: str, text: str | None = None):
     return register
 
 
+def tokenizer_path(name: str) -> str:
+    from public_tokenizers import path
+
+    return path(name)
+
+
 def digest(text: str | Column) -> Column:
     return F.sha2(F.col(text) if isinstance(text, str) else text, 256)
 
@@ -28,3 +41,40 @@ def digest(text: str | Column) -> Column:
 def substrings(spark: SparkSession, folder: str) -> DataFrame:
     out = dedup_substrings(table(spark, folder, "documents"))
     return out.select("doc_id", "n_words", "n_removed", digest("kept_text").alias("kept_sha256"))
+
+
+@query("op3_perspective_rotation", sql.PERSPECTIVES)
+def perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    return rotate_perspectives(table(spark, folder, "conversations"))
+
+
+@query("op5_decontamination", sql.CONTAMINATION)
+def contamination(spark: SparkSession, folder: str) -> DataFrame:
+    out = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        digest(F.array_join("item_ids", ",")).alias("items_sha256"), "contaminated")
+
+
+@query("op6_simhash")
+def simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op7_line_dedup", sql.LINES)
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    out = dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", digest("kept_text").alias("kept_sha256"))
+
+
+@query("op8_piece_tokens")
+def piece_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    out = encode_and_decode(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path(PIECES))
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(ids).alias("ids_sha256"), digest("decoded").alias("decoded_sha256"))
+
+
+@query("op9_toxicity")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return score_toxicity(docs, table(spark, folder, "labels")).select("doc_id", "held_out", "score", "predicted", "offending")

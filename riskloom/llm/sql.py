@@ -12,3 +12,46 @@ gone AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY ALL)
 SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(gone.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+LINES = r"""
+WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS p FROM parts),
+keyed AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM placed),
+repeated AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+judged AS (SELECT d.doc_id, d.line, d.p, r.k IS NOT NULL AND d.doc_id < r.keeper AS gone FROM keyed d LEFT JOIN repeated r ON d.k = r.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+CONTAMINATION = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+starts AS (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0),
+windows AS (SELECT DISTINCT item_id, array_to_string(list_slice(words, i, i + 9), ' ') AS w, least(len(words), 10) AS size FROM starts),
+places AS (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM windows)),
+keyed AS (SELECT doc_id, i, size, array_to_string(list_slice(words, i, i + size - 1), ' ') AS w FROM places),
+found AS (SELECT doc_id, i, k.size, item_id FROM keyed k JOIN windows USING (w)),
+hits AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM found GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(hits.n, 0) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+PERSPECTIVES = r"""
+WITH t AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+v AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+r AS (SELECT t.conv_id, perspective, turn, speaker, text,
+    CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS role
+  FROM t JOIN v ON t.conv_id IS NOT DISTINCT FROM v.conv_id),
+h AS (SELECT *, '<|' || role || '|>' || CASE WHEN role = 'user' THEN ' ' || speaker ELSE '' END || chr(10) AS head FROM r),
+s AS (SELECT *, head || text || chr(10) AS segment,
+    sum(length(head || text || chr(10))) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text ROWS UNBOUNDED PRECEDING) AS upto,
+    row_number() OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text) - 1 AS place FROM h)
+SELECT conv_id, perspective, turn, place, role, CASE WHEN role = 'user' THEN speaker END AS name, segment,
+  CAST(upto - length(segment) AS BIGINT) AS seg_start, CAST(upto AS BIGINT) AS seg_end,
+  CASE WHEN role = 'assistant' THEN CAST(upto - length(segment) + length(head) AS BIGINT) END AS mask_start,
+  CASE WHEN role = 'assistant' THEN CAST(upto - 1 AS BIGINT) END AS mask_end
+FROM s
+"""
