@@ -72,14 +72,17 @@ class PieceModel:
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
         self.known: dict[str, tuple[int, ...]] = {}
 
+    def _joined(self, left: np.ndarray, right: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and merged piece of pairs; NONE where no piece is the two together."""
+        key = np.where(allowed & (left >= 0) & (right >= 0), left * self.width + right, -1)
+        at = np.searchsorted(self.keys, key)
+        found = self.keys[at] == key
+        return np.where(found, self.ranks[at], NONE), np.where(found, self.merged[at], 0)
+
     def _pairs(self, symbol: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged piece of each symbol with the next one of its word."""
         rank, piece = np.full(len(symbol), NONE), np.zeros(len(symbol), np.int64)
-        if len(symbol) > 1:
-            key = np.where((word[1:] == word[:-1]) & (symbol[1:] >= 0) & (symbol[:-1] >= 0), symbol[:-1] * self.width + symbol[1:], -1)
-            at = np.searchsorted(self.keys, key)
-            found = self.keys[at] == key
-            rank[:-1][found], piece[:-1][found] = self.ranks[at[found]], self.merged[at[found]]
+        rank[:-1], piece[:-1] = self._joined(symbol[:-1], symbol[1:], word[1:] == word[:-1])
         return rank, piece
 
     @staticmethod
@@ -118,6 +121,10 @@ class PieceModel:
                 touched = new[3] | np.concatenate([new[3][1:], [False]])
                 hasty = np.zeros(int(word[-1]) + 1, bool)
                 hasty[new[1][touched & (after <= limit[new[1]])]] = True
+                # what a merged symbol would have met, had the pair after it not been merged as well
+                i = np.flatnonzero(chosen[:-2] & chosen[2:] & (word[:-2] == word[2:]))
+                met, _ = self._joined(piece[i], symbol[i + 2], np.ones(len(i), bool))
+                hasty[word[i[met <= best[i]]]] = True
                 if (redo := hasty[word] & several).any():
                     at = np.flatnonzero(chosen)
                     leading = np.zeros(len(chosen), bool)

@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,10 @@ from pyspark.sql import functions as F
 from riskloom.llm import common as C
 
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
+BEGINNINGS = (4, 5, 6, 7)
 WORD = re.compile(r"\w+")
+#: Words whose features a worker remembers.
+REMEMBERED = 300_000
 OFFENDING = "array<struct<start: long, end: long, probability: double>>"
 
 
@@ -29,25 +31,44 @@ def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def sentences(text: str) -> list[tuple[int, int, frozenset[str]]]:
-    """Start, end and distinct words of every sentence with a word."""
-    out = []
-    for m in SENTENCE.finditer(text):
-        if words := frozenset(WORD.findall(m.group().lower())):
-            out.append((m.start(), m.end(), words))
-    return out
+def features(word: str) -> tuple[str, ...]:
+    """The word, and its beginnings where it is longer (marked by a hyphen)."""
+    return (word, *(word[:k] + "-" for k in BEGINNINGS if len(word) > k))
 
 
-@dataclass(frozen=True)
-class NoisyOr:
-    """Weights of words and the bias of a sentence."""
+def sentences(text: str) -> list[tuple[int, int, list[str]]]:
+    """Start, end and words of every sentence with a word."""
+    found = ((m.start(), m.end(), WORD.findall(m.group().lower())) for m in SENTENCE.finditer(text))
+    return [x for x in found if x[2]]
 
-    weights: dict[str, float]
-    bias: float
 
-    def probabilities(self, bag: list[tuple[int, int, frozenset[str]]]) -> np.ndarray:
-        get = self.weights.get
-        z = np.array([sum(get(w, 0.0) for w in words) for _, _, words in bag]) + self.bias
+class NoisyOr:
+    """Weights of features and the bias of a sentence."""
+
+    def __init__(self, weights: dict[str, float], bias: float):
+        self.weights, self.bias = weights, bias
+        self._met: dict[str, tuple[str, ...]] = {}
+
+    def _weighted(self, word: str) -> tuple[str, ...]:
+        if len(self._met) >= REMEMBERED:
+            self._met.clear()
+        out = self._met[word] = tuple(f for f in features(word) if f in self.weights)
+        return out
+
+    def probabilities(self, bag: list[tuple[int, int, list[str]]]) -> np.ndarray:
+        """Probability of each sentence; a feature counts once in a sentence."""
+        met, weighted, weight = self._met.get, self._weighted, self.weights
+        z = np.full(len(bag), self.bias)
+        for i, (_, _, words) in enumerate(bag):
+            own = set()
+            for w in words:
+                known = met(w)
+                if known is None:
+                    known = weighted(w)
+                if known:
+                    own.update(known)
+            if own:
+                z[i] += sum(weight[f] for f in own)
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
     @staticmethod
@@ -55,18 +76,30 @@ class NoisyOr:
         return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())) if len(p) else 0.0
 
 
-def fit(texts: list[str], toxic: list[int], least_texts: int = 3, rounds: int = 300, rate: float = 0.1, decay: float = 1e-4) -> NoisyOr:
-    """Full-batch Adam on the log-likelihood of the document labels. Without positive labels every score is 0."""
+def fit(texts: list[str], toxic: list[int], least_texts: int = 3, least_score: float = 4.0, rounds: int = 150, rate: float = 0.1, decay: float = 3e-5, unexplained: float = 0.02) -> NoisyOr:
+    """Adam on the log-likelihood of the document labels, with weights held small.
+
+    ``unexplained`` is the share of toxic labels taken to have no sentence that accounts for them; it is no part of a score.
+    Without positive labels every score is 0.
+    """
     y = np.asarray(toxic, bool)
     if not y.any():
         return NoisyOr({}, -40.0)
-    bags = [sentences(t) for t in texts]
-    seen = Counter(w for bag in bags for w in frozenset().union(*(s[2] for s in bag)))
-    index = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= least_texts))}
+    bags = [[frozenset(f for w in words for f in features(w)) for _, _, words in sentences(t)] for t in texts]
+    seen, with_label = Counter(), Counter()
+    for bag, label in zip(bags, y):
+        own = frozenset().union(*bag)
+        seen.update(own)
+        if label:
+            with_label.update(own)
+    prior = y.mean()
+    # features that go with the label beyond chance; the rest could only explain single documents
+    index = {w: i for i, w in enumerate(sorted(
+        w for w, n in seen.items() if n >= least_texts and with_label[w] - n * prior >= least_score * np.sqrt(n * prior * (1 - prior) + 0.25)))}
     row, column, doc, n = [], [], [], 0
     for d, bag in enumerate(bags):
-        for _, _, words in bag:
-            own = [index[w] for w in words if w in index]
+        for found in bag:
+            own = [index[f] for f in found if f in index]
             row += [n] * len(own)
             column += own
             doc.append(d)
@@ -75,17 +108,17 @@ def fit(texts: list[str], toxic: list[int], least_texts: int = 3, rounds: int =
         return NoisyOr({}, -40.0)
     row, column, doc = np.array(row, np.int64), np.array(column, np.int64), np.array(doc)
     weights = np.zeros(len(index) + 1)
-    weights[-1] = np.log(max(y.mean(), 1e-3) / (n / len(y)))
+    weights[-1] = np.log(max(y.mean(), 1e-3) / (n / len(y))) - 1
     first, second = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, rounds + 1):
         z = np.bincount(row, weights[column], n) + weights[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        none = np.exp(np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(y)))
+        none = (1 - unexplained) * np.exp(np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(y)))
         pull = np.where(y, -none / np.maximum(1 - none, 1e-9), 1.0)[doc] * p / len(y)
         slope = np.append(np.bincount(column, pull[row], len(index)) + decay * weights[:-1], pull.sum())
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
-        weights -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        weights -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-6)
     return NoisyOr({w: float(weights[i]) for w, i in index.items() if abs(weights[i]) > 1e-3}, float(weights[-1]))
 
 
