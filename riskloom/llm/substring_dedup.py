@@ -238,7 +238,9 @@ def dedup_substrings(docs: DataFrame, window: int = 20, anchor: int = 8) -> Data
             F.collect_list(F.when(F.col("kind") == REPEATED, F.col("place"))).alias("repeated"),
             F.collect_list(F.when(F.col("kind") == OPEN, F.col("place"))).alias("opened"))
     )
-    marked = texts.mapInArrow(C.zipped, "doc_id long, zip binary").join(marks, "doc_id", "left")
+    # an id that cannot be null keeps both uses of the texts one plan, so that they share one shuffle
+    zipped = texts.mapInArrow(C.zipped, "doc_id long, zip binary").select(F.coalesce("doc_id", F.lit(C.NO_ID)).alias("doc_id"), "zip")
+    marked = zipped.join(marks, "doc_id", "left")
     owned = (
         marked.where(F.size("opened") > 0).mapInArrow(_open_windows(*shape), "one long, two long, doc_id long, place long")
         .groupBy("one", "two").agg(F.min(F.struct("doc_id", "place")).alias("first"))
