@@ -1,15 +1,79 @@
-"""The corpus pipeline: stages over documents, each applied to all that the one before it kept."""
+"""The corpus pipeline: stages over documents, each applied to all that the one before it kept.
+
+Every stage takes and returns the columns of documents (doc_id, text, lang, source, n_chars), the last returns the
+encoded texts. run() writes what a stage returns to the shared folder and reads it again for the next one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskloom.llm.decontaminate import find_contamination
+from riskloom.llm.line_dedup import dedup_lines
+from riskloom.llm.piece_tokens import encode_and_decode
+from riskloom.llm.queries import PIECES, tokenizer_path
+from riskloom.llm.simhash import near_duplicates
+from riskloom.llm.toxicity import score_toxicity
+from riskloom.session import settle
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS)
+
+
+def _but(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of documents without those of the ids; a missing id is an id too."""
+    return docs.join(ids.select(F.col("doc_id").alias("gone_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic."""
+    scored = score_toxicity(_documents(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"), keep_text=True)
+    return scored.where(F.col("predicted") == 0).select("doc_id", *(f"rest.{c}" for c in COLUMNS[1:]))
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that others repeat; their length is counted anew."""
+    out = dedup_lines(_documents(docs))
+    return out.select("doc_id", F.col("kept_text").alias("text"), "rest.lang", "rest.source", F.length("kept_text").cast("long").alias("n_chars"))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id."""
+    found = near_duplicates(_documents(docs))
+    return _but(_documents(docs), found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    found = find_contamination(_documents(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _but(_documents(docs), found.where("contaminated"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every remaining text, with the text that they decode to."""
+    out = encode_and_decode(_documents(docs), tokenizer_path(PIECES))
+    return out.select("doc_id", F.col("decoded").alias("text"), "rest.lang", "rest.source", "rest.n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("line_dedup", without_repeated_lines),
+    ("near_dedup", without_near_duplicates),
+    ("decontamination", without_benchmark),
+    ("piece_tokens", encoded),
+]
 
-STAGES: list = []
+#: The stages learn a classifier, hash with XXH64 and run a tokenizer, none of which SQL expresses; tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -138,9 +138,12 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """``doc_id`` (long), ``text`` (null as empty) and, if there are more columns, all of them in one struct ``rest``."""
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+def packed(docs: DataFrame, keep_text: bool = False) -> DataFrame:
+    """``doc_id`` (long), ``text`` (null as empty) and, if there are more columns, all of them in one struct ``rest``.
+
+    With ``keep_text`` the struct holds the text as it was given, too.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id" and (keep_text or c != "text")]
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

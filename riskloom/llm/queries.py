@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from riskloom.catalog.registry import Query, table
 from riskloom.llm import sql
 from riskloom.llm.chat import rotate_perspectives
+from riskloom.llm.class_ngrams import score_texts
 from riskloom.llm.decontaminate import find_contamination
 from riskloom.llm.line_dedup import dedup_lines
+from riskloom.llm.order_minhash import fingerprint_documents
 from riskloom.llm.piece_tokens import encode_and_decode
+from riskloom.llm.secrets import BASE, RULES, find_secrets
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.substring_dedup import dedup_substrings
 from riskloom.llm.toxicity import score_toxicity
@@ -43,11 +46,30 @@ def substrings(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", digest("kept_text").alias("kept_sha256"))
 
 
+@query("op2_order_minhash")
+def order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    out = fingerprint_documents(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_chars", digest("edited").alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 @query("op3_perspective_rotation", sql.PERSPECTIVES)
 def perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return rotate_perspectives(table(spark, folder, "conversations"))
 
 
+def _listed(spans: str | Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query("op4_secrets", sql.secrets(RULES, BASE))
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    out = find_secrets(table(spark, folder, "documents"))
+    base = [r.kind for r in RULES[:BASE]]
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    return out.select(
+        "doc_id", *counts, digest(_listed(F.filter("spans", lambda s: s["kind"].isin(*base)))).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
 @query("op5_decontamination", sql.CONTAMINATION)
 def contamination(spark: SparkSession, folder: str) -> DataFrame:
     out = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -78,3 +100,8 @@ def piece_tokens(spark: SparkSession, folder: str) -> DataFrame:
 def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return score_toxicity(docs, table(spark, folder, "labels")).select("doc_id", "held_out", "score", "predicted", "offending")
+
+
+@query("op10_class_ngrams")
+def class_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents"))

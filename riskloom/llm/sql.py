@@ -55,3 +55,26 @@ SELECT conv_id, perspective, turn, place, role, CASE WHEN role = 'user' THEN spe
   CASE WHEN role = 'assistant' THEN CAST(upto - 1 AS BIGINT) END AS mask_end
 FROM s
 """
+
+
+def secrets(rules, base: int) -> str:
+    """Places of all matches from the lengths of the gaps between them, rule by rule."""
+    parts = []
+    for number, rule in enumerate(rules):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"""
+  SELECT doc_id, {number} AS rule, '{rule.kind}' AS kind, {rule.least} AS least, unnest(string_split_regex(text, '{pattern}')) AS gap,
+    unnest(regexp_extract_all(text, '{pattern}', 0)) AS found, unnest(regexp_extract_all(text, '{pattern}', {rule.group})) AS tested,
+    generate_subscripts(string_split_regex(text, '{pattern}'), 1) AS nth FROM d""")
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in rules[:base])
+    item = "kind || ':' || start_at || ':' || end_at"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+pieces AS ({" UNION ALL ".join(parts)}),
+summed AS (SELECT *, sum(length(gap) + length(coalesce(found, ''))) OVER (PARTITION BY doc_id, rule ORDER BY nth ROWS UNBOUNDED PRECEDING) AS end_at FROM pieces),
+kept AS (SELECT doc_id, rule, kind, CAST(end_at - length(found) AS BIGINT) AS start_at, CAST(end_at AS BIGINT) AS end_at FROM summed WHERE found IS NOT NULL AND length(tested) >= least)
+SELECT d.doc_id, {counts},
+  sha256(coalesce(string_agg({item}, ',' ORDER BY start_at, rule) FILTER (WHERE rule < {base}), '')) AS base_sha256,
+  coalesce(string_agg({item}, ',' ORDER BY start_at, rule), '') AS spans
+FROM d LEFT JOIN kept USING (doc_id) GROUP BY d.doc_id
+"""

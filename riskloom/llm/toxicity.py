@@ -150,7 +150,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int, chars: int) -
     return texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id").select("text", "toxic")
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, sample_chars: int = 20_000, sentence_threshold: float = 0.5) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, sample_chars: int = 20_000, sentence_threshold: float = 0.5, keep_text: bool = False) -> DataFrame:
     """Probability that each whole text is toxic, and the sentences that make it so.
 
     Learns from ``labels.toxic`` of rows whose crc32(doc_id as text) mod 5 is not 0, on a bounded sample: at most
@@ -159,12 +159,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000,
 
     Result, one row per input row: doc_id, held_out, score (0 to 1), predicted (1 from 0.5), offending (start, end in
     code points and probability of each sentence at or above ``sentence_threshold``) and, if the input has more columns,
-    those in the struct ``rest``. Null and empty texts have no sentence and score 0. Of repeated labels the largest
+    those (with ``keep_text`` the text too) in the struct ``rest``. Null and empty texts have no sentence and score 0. Of repeated labels the largest
     counts, rows without label or id teach nothing, and without any positive label every score is 0.
     """
     sample = training_sample(docs, labels, sample_rows, sample_chars).collect()
     model = docs.sparkSession.sparkContext.broadcast(fit([r.text for r in sample], [r.toxic for r in sample]))
-    texts = C.packed(docs)
+    texts = C.packed(docs, keep_text)
     scored = texts.mapInArrow(_scores(model, sentence_threshold), C.schema_with(texts, score="double", offending=OFFENDING))
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
