@@ -55,17 +55,18 @@ def _window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
 
 
 def _document_shingles(words: DataFrame, sizes: list[int]) -> DataFrame:
-    """One row per word place and shingle size; ``at`` is the place, -1 in the one row that stands for the document."""
+    """One row per word place and shingle size; ``at`` is the place, -1 in the one row that stands for the document.
+
+    No higher-order function follows the explode, so that the rows stay in generated code up to the join and the words of
+    the document are not copied for each of them.
+    """
     placed = words.select("*", F.posexplode(F.concat(F.array(F.lit(None).cast("string")), F.col("words"))).alias("at", "word")).withColumn("at", F.col("at") - 1)
-    inside = lambda n: F.when((F.col("at") >= 0) & (F.col("at") + n <= F.size("words")), _hash(F.col("words"), F.col("at"), n))
+    inside = lambda n: F.when((F.col("at") >= 0) & (F.col("at") + n <= F.col("n_words")), _hash(F.col("words"), F.col("at"), n))
     if len(sizes) == 1:
         return placed.withColumn("hash", inside(sizes[0]))
-    hashes = F.filter(F.array(*(inside(n) for n in sizes)), lambda h: h.isNotNull())
-    return placed.withColumn("hash", F.explode_outer(hashes))
-
-
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    each = F.explode(F.array(*(F.struct(F.lit(n).alias("size"), inside(n).alias("hash")) for n in sizes)))
+    out = placed.withColumn("s", each).withColumn("hash", F.col("s.hash"))
+    return out.where(F.col("hash").isNotNull() | ((F.col("at") == -1) & (F.col("s.size") == sizes[0]))).drop("s")
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 3) -> DataFrame:
@@ -82,22 +83,25 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shin
     pairs = _windows(items, window)
     sizes = sorted(r.size for r in shingles.select("size").distinct().collect())
     texts = C.slim(docs)
-    words = texts.select("doc_id", F.xxhash64("text").alias("mark"), words_of(F.col("text")).alias("words"))
+    words = texts.select("doc_id", F.xxhash64("text").alias("mark"), words_of(F.col("text")).alias("words")).withColumn("n_words", F.size("words"))
+    placed = _document_shingles(words, sizes or [shingle])
     counted = shingles.select("hash").distinct()
-    seen = (
-        _document_shingles(words, sizes or [shingle]).where(F.col("hash").isNotNull())
-        .join(_small(counted, counted.count()), "hash", "left_semi").groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
-    )
+    asked = placed.select("hash").where(F.col("hash").isNotNull())
+    seen = asked.join(F.broadcast(counted) if counted.count() <= BROADCAST_ROWS else counted, "hash", "left_semi").groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
     rarest = Window.partitionBy("window").orderBy("n", "offset")
     known = shingles.join(seen, "hash", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("rank", F.row_number().over(rarest))
     prefix = settle(known.where((F.col("rank") == 1) & (F.col("n") > 0)).select("hash", "window", "length", "offset"), "prefix")
-    met = _document_shingles(words, sizes or [shingle]).join(_small(prefix, prefix.count()), "hash", "left")
+    if prefix.count() <= BROADCAST_ROWS:
+        met, first = placed.withColumn("near", F.col("words")).join(F.broadcast(prefix), "hash", "left"), F.lit(0)
+    else:  # rows that are shuffled take along the words around the place only
+        first = F.greatest(F.col("at") - window + 1, F.lit(0))
+        met = placed.withColumn("near", F.slice("words", first + 1, F.lit(2 * window))).drop("words", "word").join(prefix, "hash", "left")
     start = F.col("at") - F.col("offset")
-    fits = (start >= 0) & (start + F.col("length") <= F.size("words"))
-    same = F.array_join(F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("length")), " ") == F.col("window")
+    fits = (start >= 0) & (start + F.col("length") <= F.col("n_words"))
+    same = F.array_join(F.slice("near", F.greatest(start - first, F.lit(0)) + 1, F.col("length")), " ") == F.col("window")
     found = (
         met.where((F.col("at") == -1) | (fits & same))
-        .select("doc_id", "mark", "at", F.size("words").alias("n_words"), start.alias("start"), (start + F.col("length")).alias("end"), "window")
+        .select("doc_id", "mark", "at", "n_words", start.alias("start"), (start + F.col("length")).alias("end"), "window")
     )
     found = settle(found, "occurrences")
     by_doc = found.groupBy("doc_id", "mark").agg(

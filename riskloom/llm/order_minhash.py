@@ -29,8 +29,8 @@ def signature(text: Column, k: int = 5, sample: int = 48, components: int = 32)
     """
 
     def of_kmers(kmers: Column) -> Column:
-        share = F.least(F.lit(1.0), F.lit(3.0 * sample) / F.greatest(F.size(kmers), F.lit(1)))
-        below = (F.lit(LOWEST) + share * (2.0**64)).cast("long")
+        share = F.lit(3.0 * sample) / F.greatest(F.size(kmers), F.lit(1))
+        below = F.when(share >= 0.99, F.lit(2**63 - 1)).otherwise((F.lit(LOWEST) + share * (2.0**64)).cast("long"))
         element = lambda h, i: F.struct(h.alias("h"), i.alias("i"))
 
         def smallest(few: Column) -> Column:
@@ -56,7 +56,7 @@ def signature(text: Column, k: int = 5, sample: int = 48, components: int = 32)
 
                 return _with(F.array_min(order), both)
 
-            return _with(F.transform(elements, lambda x: F.xxhash64(x["h"], x["occurrence"], p)), pair).cast("int")
+            return _with(F.transform(elements, lambda x: F.xxhash64(x["h"], x["occurrence"], p)), pair).bitwiseAND(F.lit(2**31 - 1)).cast("int")
 
         return F.transform(F.sequence(F.lit(1), F.lit(components)), one)
 
@@ -68,7 +68,7 @@ def signature(text: Column, k: int = 5, sample: int = 48, components: int = 32)
 
 def fingerprint(signed: Column) -> Column:
     """Eight hexadecimal digits for each component."""
-    return F.lower(F.array_join(F.transform(signed, lambda c: F.lpad(F.hex(c.cast("long").bitwiseAND(F.lit(2**32 - 1))), 8, "0")), ""))
+    return F.lower(F.array_join(F.transform(signed, lambda c: F.lpad(F.hex(c), 8, "0")), ""))
 
 
 def likeness(one: Column, other: Column) -> Column:

@@ -151,13 +151,14 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     marked = texts.select("doc_id", F.xxhash64("text").alias("mark"), "text").join(candidates(texts, rules), ["doc_id", "mark"], "left")
     pieces = marked.select("doc_id", "mark", *(p for i, r in enumerate(rules) for p in _pieces(i, r)))
     kind = "array<struct<rule: int, nth: int, gap: int, size: int, tested: int>>"
-    found = [
-        F.coalesce(F.transform(
-            F.arrays_zip(f"gaps{i}", f"sizes{i}", f"tested{i}"),
-            lambda x, n, i=i: F.struct(F.lit(i).alias("rule"), n.alias("nth"), x[f"gaps{i}"].alias("gap"), x[f"sizes{i}"].alias("size"), x[f"tested{i}"].alias("tested"))
-        ).cast(kind), F.array().cast(kind))
-        for i in range(len(rules))
-    ]
+
+    def numbered(i: int) -> Column:
+        def match(x: Column, n: Column) -> Column:
+            return F.struct(F.lit(i).alias("rule"), n.alias("nth"), x[f"gaps{i}"].alias("gap"), x[f"sizes{i}"].alias("size"), x[f"tested{i}"].alias("tested"))
+
+        return F.coalesce(F.transform(F.arrays_zip(f"gaps{i}", f"sizes{i}", f"tested{i}"), match).cast(kind), F.array().cast(kind))
+
+    found = [numbered(i) for i in range(len(rules))]
     whole = F.array(F.struct(*(F.lit(v).alias(k) for k, v in (("rule", -1), ("nth", 0), ("gap", 0), ("size", 0), ("tested", 0))))).cast(kind)
     rows = pieces.select("doc_id", "mark", F.explode(F.concat(whole, *found)).alias("m")).select("doc_id", "mark", "m.*").where(F.col("size").isNotNull())
     key = ["doc_id", "mark", "rule"]
