@@ -65,9 +65,12 @@ def _listed(spans: str | Column) -> Column:
 def secrets(spark: SparkSession, folder: str) -> DataFrame:
     out = find_secrets(table(spark, folder, "documents"))
     base = [r.kind for r in RULES[:BASE]]
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return out.select(
-        "doc_id", *counts, digest(_listed(F.filter("spans", lambda s: s["kind"].isin(*base)))).alias("base_sha256"), _listed("spans").alias("spans"))
+        "doc_id", *map(of_kind, base), digest(_listed(F.filter("spans", lambda s: s["kind"].isin(*base)))).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
 @query("op5_decontamination", sql.CONTAMINATION)

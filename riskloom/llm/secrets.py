@@ -170,5 +170,5 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     by_doc = placed.groupBy("doc_id", "mark").agg(
         F.max(F.when(F.col("rule") < 0, F.col("copies"))).alias("copies"),
         F.array_sort(F.collect_list(F.when(F.col("rule") >= 0, F.struct("start", "rule", "end")))).alias("spans"))
-    named = F.transform("spans", lambda s: F.struct(F.get(kinds, s["rule"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    named = F.transform("spans", lambda s: F.struct(F.get(kinds, s["rule"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).cast("array<struct<kind: string, start: long, end: long>>")
     return by_doc.select(C.real_id(), named.alias("spans"), F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
