@@ -18,6 +18,20 @@ BASE = f"WITH {m.APPLICATION_SQL}, {m.SPLIT_SQL} "
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
+def _marked(split) -> str:
+    """Both tables with the split that a row is in."""
+    return f"(SELECT *, '{split[0]}' AS split FROM {split[0]} UNION ALL BY NAME SELECT *, '{split[1]}' AS split FROM {split[1]})"
+
+
+BOTH = _marked(("train", "test"))
+
+
+def both_parts(spark, folder, apply):
+    """``apply`` on train and on test rows, each marked by its split."""
+    train, test = _both(spark, folder)
+    return apply(train).withColumn("split", F.lit("train")).unionByName(apply(test).withColumn("split", F.lit("test")))
+
+
 def _both(spark, folder):
     df = m.application(spark, folder)
     return m.train_rows(df), m.test_rows(df)
@@ -31,18 +45,18 @@ def frequency(spark, folder):
     return fit_frequency(train, "OCCUPATION_TYPE").apply(m.application(spark, folder).select(KEY, "OCCUPATION_TYPE"))
 
 
-@query("j04_lookup_join", BASE + f"""SELECT {KEY}, {r('coalesce(n, 1)')} AS "ORGANIZATION_TYPE_FREQ" FROM test LEFT JOIN
+@query("j04_lookup_join", BASE + f"""SELECT {KEY}, {r('coalesce(n, 1)')} AS "ORGANIZATION_TYPE_FREQ" FROM application LEFT JOIN
  (SELECT ORGANIZATION_TYPE, count(*) / (SELECT count(*) FROM train) AS n FROM train GROUP BY 1) USING (ORGANIZATION_TYPE)""")
 def lookup(spark, folder):
-    """Training shares joined to rows they were not fitted on."""
-    train, test = _both(spark, folder)
-    return rounded_table(fit_frequency(train, "ORGANIZATION_TYPE", normalize=True).apply(test.select(KEY, "ORGANIZATION_TYPE")))
+    """Training shares joined to all rows, also to those they were not fitted on."""
+    train, _ = _both(spark, folder)
+    return rounded_table(fit_frequency(train, "ORGANIZATION_TYPE", normalize=True).apply(m.application(spark, folder).select(KEY, "ORGANIZATION_TYPE")))
 
 
-@query("e02_binary", BASE + f"SELECT {KEY}, CAST(CASE NAME_CONTRACT_TYPE WHEN 'Cash loans' THEN 0 WHEN 'Revolving loans' THEN 1 ELSE -1 END AS BIGINT) AS NAME_CONTRACT_TYPE FROM test")
+@query("e02_binary", BASE + f"SELECT {KEY}, CAST(CASE NAME_CONTRACT_TYPE WHEN 'Cash loans' THEN 0 WHEN 'Revolving loans' THEN 1 ELSE -1 END AS BIGINT) AS NAME_CONTRACT_TYPE, split FROM {BOTH}")
 def binary(spark, folder):
-    train, test = _both(spark, folder)
-    return rounded_table(fit_codes(train, ["NAME_CONTRACT_TYPE"]).apply(test.select(KEY, "NAME_CONTRACT_TYPE")))
+    codes = fit_codes(_both(spark, folder)[0], ["NAME_CONTRACT_TYPE"])
+    return rounded_table(both_parts(spark, folder, lambda df: codes.apply(df.select(KEY, "NAME_CONTRACT_TYPE"))))
 
 
 _HOT = ", ".join(f"""CAST(coalesce(NAME_SEGMENT, '__NULL__') = '{s}' AS BIGINT) AS "NAME_SEGMENT_{s}" """ for s in (*SEGMENTS, "__NULL__"))
@@ -60,12 +74,13 @@ _ORG = ", ".join(f"""CAST(ORGANIZATION_TYPE = '{s}' AS BIGINT) AS "ORGANIZATION_
 _BIN = "CAST(CASE NAME_CONTRACT_TYPE WHEN 'Cash loans' THEN 0 WHEN 'Revolving loans' THEN 1 ELSE -1 END AS BIGINT) AS NAME_CONTRACT_TYPE"
 
 
-@query("e04_all_categories", BASE + f"SELECT {KEY}, {_BIN}, {_HOT}, {_OCC}, {_ORG} FROM test")
+@query("e04_all_categories", BASE + f"SELECT {KEY}, {_BIN}, {_HOT}, {_OCC}, {_ORG}, split FROM {BOTH}")
 def all_categories(spark, folder):
-    """Every text column of the training rows, applied to the test rows."""
-    train, test = _both(spark, folder)
+    """Every text column of the training rows, applied to both tables."""
+    train, _ = _both(spark, folder)
     texts = fx.string_columns(train, skip=[KEY, "TARGET"])
-    return rounded_table(fit_codes(train, texts).apply(test.select(KEY, *texts)))
+    codes = fit_codes(train, texts)
+    return rounded_table(both_parts(spark, folder, lambda df: codes.apply(df.select(KEY, *texts))))
 
 
 _FILLED = ("AMT_ANNUITY", "AMT_GOODS_PRICE", "EXT_SOURCE_1", "EXT_SOURCE_3", "AMT_CREDIT")
@@ -86,8 +101,8 @@ _E06_COLS = ", ".join([
     *[ratio_sql(*f) for f in fv.EXTENDED_RATIOS],
     ratio_sql("DAYS_EMPLOYED_PERC", "CASE WHEN DAYS_EMPLOYED <> 365243 THEN DAYS_EMPLOYED END", "DAYS_BIRTH"), ratio_sql(*fv.BASE_RATIOS[1]),
     *[f'CAST({c} IS NULL AS BIGINT) AS "{c}_is_missing"' for c in fv.FLAGGED_WHEN_MISSING], "CAST(FLAG_DOCUMENT_2 + FLAG_DOCUMENT_3 AS DOUBLE) AS DOCUMENT_COUNT",
-    """coalesce((SELECT n FROM o WHERE o.ORGANIZATION_TYPE = test.ORGANIZATION_TYPE), 1) AS "ORGANIZATION_TYPE_FREQ" """,
-    """coalesce((SELECT n FROM c WHERE c.OCCUPATION_TYPE = test.OCCUPATION_TYPE), 1) AS "OCCUPATION_TYPE_FREQ" """, _BIN, _HOT,
+    """coalesce((SELECT n FROM o WHERE o.ORGANIZATION_TYPE = b.ORGANIZATION_TYPE), 1) AS "ORGANIZATION_TYPE_FREQ" """,
+    """coalesce((SELECT n FROM c WHERE c.OCCUPATION_TYPE = b.OCCUPATION_TYPE), 1) AS "OCCUPATION_TYPE_FREQ" """, _BIN, _HOT,
 ])
 E06_NAMES = ["DAYS_EMPLOYED", "AGE_YEARS", "DOWN_PAYMENT", "DOWN_PAYMENT_RATIO", *[f[0] for f in (*fv.EXTENDED_RATIOS, *fv.BASE_RATIOS)],
              *[f"{c}_is_missing" for c in fv.FLAGGED_WHEN_MISSING], "DOCUMENT_COUNT", "ORGANIZATION_TYPE_FREQ", "OCCUPATION_TYPE_FREQ", "NAME_CONTRACT_TYPE",
@@ -96,10 +111,10 @@ _TWO_DIGITS = {"DOWN_PAYMENT_RATIO", *[f[0] for f in (*fv.EXTENDED_RATIOS, *fv.B
 
 
 @query("e06_base_transform", BASE + f""", o AS (SELECT ORGANIZATION_TYPE, count(*) AS n FROM train GROUP BY 1), c AS (SELECT OCCUPATION_TYPE, count(*) AS n FROM train GROUP BY 1)
- SELECT {_E06_COLS} FROM test""")
+ SELECT {_E06_COLS}, split FROM {BOTH} b""")
 def base_transform(spark, folder):
-    train, test = _both(spark, folder)
-    df = ap.fit_base(train).apply(test)
+    base = ap.fit_base(_both(spark, folder)[0])
+    df = both_parts(spark, folder, lambda part: base.apply(part.drop("TARGET")))
     whole = {"DAYS_EMPLOYED", "DOCUMENT_COUNT"}
     out = [F.col(KEY)]
     for c in E06_NAMES:
@@ -110,22 +125,21 @@ def base_transform(spark, folder):
             out.append(F.col(c))
         else:
             out.append(rounded(c, 2 if c in _TWO_DIGITS else 4).alias(c))
-    return df.select(*out)
+    return df.select(*out, "split")
 
 
 def _filled(e: str, digits: int = 4) -> str:
     return f"coalesce({r(e, digits)}, 0)"
 
 
-@query("e07_global_features", BASE + f"""SELECT {KEY}, CAST(TARGET AS BIGINT) AS "TARGET", """ + ", ".join([
+@query("e07_global_features", BASE + f"""SELECT {KEY}, CASE WHEN split = 'train' THEN CAST(TARGET AS BIGINT) ELSE 0 END AS "TARGET", """ + ", ".join([
     *[f'{_filled(f"{a} / ({b} + {EPS})", 2)} AS "{n}"' for n, a, b in fv.GLOBAL_RATIOS], f"{_filled(_MEAN)} AS EXT_SOURCES_MEAN",
     f"{_filled('least(' + ', '.join(_E) + ')')} AS EXT_SOURCES_MIN", f"{_filled('greatest(' + ', '.join(_E) + ')')} AS EXT_SOURCES_MAX",
     f"{_filled('greatest(' + ', '.join(_E) + ') - least(' + ', '.join(_E) + ')')} AS EXT_SOURCES_RANGE", f"{_filled(' * '.join(_E))} AS EXT_SOURCES_PROD",
     f"{_filled(f'sqrt(({_SQUARES}) / {_N})')} AS EXT_SOURCES_STD", f"{_filled(' + '.join(f'coalesce({c}, 0)' for c in fv.ENQUIRY_COUNTS))} AS AMT_REQ_CREDIT_BUREAU_TOTAL",
-]) + " FROM train")
+]) + f", split FROM {BOTH}")
 def global_features(spark, folder):
-    train, _ = _both(spark, folder)
-    df = ap.add_row_statistics(train)
+    df = both_parts(spark, folder, lambda part: ap.add_row_statistics(part if "TARGET" in part.columns else part.withColumn("TARGET", F.lit(None).cast("int"))))
     ratios = [n for n, _, _ in fv.GLOBAL_RATIOS]
     stats = ["EXT_SOURCES_MEAN", "EXT_SOURCES_MIN", "EXT_SOURCES_MAX", "EXT_SOURCES_RANGE", "EXT_SOURCES_PROD", "EXT_SOURCES_STD", "AMT_REQ_CREDIT_BUREAU_TOTAL"]
 
@@ -133,7 +147,7 @@ def global_features(spark, folder):
         # the fill happens before rounding here and after it in the check
         return F.when(F.col(c) == 0, F.lit(0.0)).otherwise(rounded(c, digits)).alias(c)
 
-    return df.select(KEY, F.col("TARGET").cast("long").alias("TARGET"), *[shown(c, 2) for c in ratios], *[shown(c, 4) for c in stats])
+    return df.select(KEY, F.col("TARGET").cast("long").alias("TARGET"), *[shown(c, 2) for c in ratios], *[shown(c, 4) for c in stats], "split")
 
 
 _CLEAN = ("DAYS_BIRTH", "DAYS_TWICE", "AMT_CREDIT", "EXT_SOURCE_2", "ALMOST_ALWAYS_0")

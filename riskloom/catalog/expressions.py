@@ -98,12 +98,16 @@ def row_std(spark, folder):
     return m.application(spark, folder).select(KEY, rounded(fx.row_std(_E)).alias("EXT_SOURCES_STD"))
 
 
-@query("p12_cross_ratios", APP + f"""SELECT {KEY}, count(*) OVER () * 0 AS cross_columns FROM application""")
+_CROSSED = [(f"{n}_TO_{s}", f"{a} / ({b} + {EPS})", s) for n, a, b in fv.GLOBAL_RATIOS if n in fv.CROSS_RATIO_BASES for s in fv.EXTERNAL_SCORES]
+
+
+@query("p12_cross_ratios", APP + f"SELECT {KEY}, " + ", ".join(f"""coalesce({r(f'({a}) / ({s} + {EPS})', 2)}, 0) AS "{n}" """ for n, a, s in _CROSSED) + " FROM application")
 def cross_ratios(spark, folder):
-    """Off in the standard run: the statistics stage adds none of the cross ratios."""
-    df = ap.add_row_statistics(m.application(spark, folder))
-    crossed = [c for c in df.columns if "_TO_EXT_SOURCE_" in c]
-    return df.select(KEY, F.lit(len(crossed)).cast("long").alias("cross_columns"))
+    """Ratios made before, over the external scores; off unless asked for. Nulls are filled with 0 at the end."""
+    df = m.application(spark, folder)
+    assert not [c for c in ap.add_row_statistics(df).columns if "_TO_EXT_SOURCE_" in c]
+    df = ap.add_row_statistics(df, ap.BaseOptions(cross_ratios=True))
+    return df.select(KEY, *[F.when(F.col(n) == 0, F.lit(0.0)).otherwise(rounded(n, 2)).alias(n) for n, _, _ in _CROSSED])
 
 
 _USE = f"AMT_BALANCE / (AMT_CREDIT_LIMIT_ACTUAL + {EPS})"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from riskloom.catalog import mapping as m
@@ -23,16 +25,26 @@ _DRAWN = f"""WITH {m.APPLICATION_SQL}, drawn AS (SELECT SK_ID_CURR, TARGET, row_
  count(*) OVER (PARTITION BY TARGET) AS n FROM application)"""
 
 
+def taken(total: str) -> str:
+    """How many rows of each class make up ``total`` rows: shares rounded down, the largest remainders up."""
+    return f""", classes AS (SELECT TARGET, count(*) AS k FROM drawn GROUP BY 1), shares AS (SELECT TARGET, k, {total} AS wanted, {total} * k / (SELECT sum(k) FROM classes) AS exact FROM classes),
+ sizes AS (SELECT TARGET, floor(exact + 1e-9) + CASE WHEN row_number() OVER (ORDER BY floor(exact + 1e-9) - exact, -k, TARGET) <= wanted - sum(floor(exact + 1e-9)) OVER () THEN 1 ELSE 0 END AS take FROM shares) """
+
+
+def share_of_rows(rate: float) -> str:
+    return f"(SELECT ceil(CAST({rate} AS DOUBLE) * count(*) - 1e-9) FROM drawn)"
+
+
 def _people(spark, folder):
     return m.application(spark, folder).select(KEY, LABEL)
 
 
-@query("m01_stratified_sample", _DRAWN + " SELECT SK_ID_CURR, CAST(TARGET AS BIGINT) AS \"TARGET\" FROM drawn WHERE place <= ceil(CAST(0.15 AS DOUBLE) * n)")
+@query("m01_stratified_sample", _DRAWN + taken(share_of_rows(0.15)) + " SELECT SK_ID_CURR, CAST(TARGET AS BIGINT) AS \"TARGET\" FROM drawn JOIN sizes USING (TARGET) WHERE place <= take")
 def sample(spark, folder):
     return rounded_table(tr.stratified_sample(_people(spark, folder), LABEL, KEY, rate=0.15, seed=SEED))
 
 
-@query("m02_holdout", _DRAWN + " SELECT SK_ID_CURR, CAST(TARGET AS BIGINT) AS \"TARGET\", CAST(place <= ceil(CAST(0.1 AS DOUBLE) * n) AS BIGINT) AS held_out FROM drawn")
+@query("m02_holdout", _DRAWN + taken(share_of_rows(0.1)) + " SELECT SK_ID_CURR, CAST(TARGET AS BIGINT) AS \"TARGET\", CAST(place <= take AS BIGINT) AS held_out FROM drawn JOIN sizes USING (TARGET)")
 def holdout(spark, folder):
     marked = tr.mark_holdout(_people(spark, folder), LABEL, KEY, 0.1, SEED, "held_out")
     return rounded_table(marked.withColumn("held_out", F.col("held_out").cast("int")))
@@ -67,13 +79,19 @@ _CHAIN = ("AMT_CREDIT", "DAYS_BIRTH", "EXT_SOURCE_2")
 
 
 @query("m07_fit_transform_chain", _DRAWN + f""", a AS (SELECT application.*, (place - 1) % 5 AS fold FROM application JOIN drawn USING (SK_ID_CURR)),
- f AS (SELECT """ + ", ".join(f"median({c}) AS {c}_c, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}_w" for c in _CHAIN) + """ FROM a WHERE fold <> 0)
- SELECT SK_ID_CURR, """ + ", ".join(f"{r(f'({c} - {c}_c) / {c}_w', 6)} AS {c}" for c in _CHAIN) + " FROM a CROSS JOIN f WHERE fold = 0")
+ f AS (SELECT k.fold, """ + ", ".join(f"median({c}) AS {c}_c, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}_w" for c in _CHAIN) + """
+  FROM a JOIN (SELECT DISTINCT fold FROM a) k ON a.fold <> k.fold GROUP BY 1)
+ SELECT SK_ID_CURR, fold, """ + ", ".join(f"{r(f'({c} - {c}_c) / {c}_w', 6)} AS {c}" for c in _CHAIN) + " FROM a JOIN f USING (fold)")
 def chain(spark, folder):
-    """Fitted on four folds, applied to the fifth."""
+    """For each fold: fitted on the other four, applied to it."""
     df = tr.assign_folds(m.application(spark, folder).select(KEY, LABEL, *_CHAIN), LABEL, KEY, 5, SEED)
-    prep = tr.fit_preprocessing(df.where("fold <> 0"), _CHAIN, tr.TrainingOptions(selection=None))
-    return rounded_table(prep.apply(df.where("fold = 0").select(KEY, *_CHAIN)), 6)
+    df = settle(df, "folds")
+
+    def one(fold: int):
+        prep = tr.fit_preprocessing(df.where(F.col("fold") != fold), _CHAIN, tr.TrainingOptions(selection=None))
+        return prep.apply(df.where(F.col("fold") == fold).select(KEY, "fold", *_CHAIN))
+
+    return rounded_table(reduce(lambda a, b: a.unionByName(b), map(one, range(5))), 6)
 
 
 @query("m09_feature_pruning", f"""WITH i AS (SELECT p_brand AS feature, sum(p_retailprice) AS importance FROM part GROUP BY 1), k AS (SELECT feature, row_number() OVER (ORDER BY importance DESC, feature) AS place FROM i WHERE importance >= 5000),
@@ -81,9 +99,8 @@ def chain(spark, folder):
  SELECT feature, row_number() OVER (ORDER BY place) AS place FROM c""")
 def pruning(spark, folder):
     """Reserved features first, then the most important ones above a minimum."""
-    rows = table(spark, folder, "part").groupBy("p_brand").agg(F.sum("p_retailprice").alias("importance")).orderBy("p_brand").collect()  # one row per feature
-    kept = tr.prune_features({x[0]: x[1] for x in rows}, [x[0] for x in rows], minimum=5000.0, keep_top_n=6, always_keep=["Brand#1"])
-    return spark.createDataFrame([(c, i + 1) for i, c in enumerate(kept)], "feature string, place long")
+    importance = table(spark, folder, "part").groupBy(F.col("p_brand").alias("feature")).agg(F.sum("p_retailprice").alias("importance"))
+    return tr.prune_features(importance, minimum=5000.0, keep_top_n=6, always_keep=["Brand#1"])
 
 
 @query("m10_class_weights", f"WITH {m.APPLICATION_SQL}, c AS (SELECT TARGET, count(*) AS n FROM application GROUP BY 1) SELECT CAST(TARGET AS BIGINT) AS \"TARGET\", n AS \"rows\", {r('(SELECT max(n) FROM c) / n', 6)} AS weight FROM c")

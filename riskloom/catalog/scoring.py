@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.catalog import mapping as m
-from riskloom.catalog.modelling import _DRAWN, KEY, LABEL, SEED
+from riskloom.catalog.modelling import _DRAWN, KEY, LABEL, SEED, taken
 from riskloom.catalog.registry import query, r, rounded, rounded_table, table
 from riskloom.catalog.sources import PROBABILITY_SQL, WEIGHTS
 from riskloom.operators import explain as ex
@@ -30,11 +30,12 @@ def align_report(spark, folder):
     return spark.createDataFrame([("extra", c) for c in found.extra] + [("missing", c) for c in found.missing], "kind string, name string")
 
 
-@query("p29_signature_alignment", "SELECT c_custkey, CAST(c_nationkey AS DOUBLE) AS c_nationkey, CAST(0 AS DOUBLE) AS absent, c_custkey % 10 AS digit FROM customer")
+@query("p29_signature_alignment", "SELECT c_custkey, CAST(c_nationkey AS DOUBLE) AS c_nationkey, CAST(0 AS DOUBLE) AS absent, c_custkey % 10 AS digit, c_custkey % 7 AS decimals FROM customer")
 def signature(spark, folder):
-    """Text and whole numbers are cast to the declared types, absent columns are 0."""
-    df = table(spark, folder, "customer").select("c_custkey", "c_nationkey", (F.col("c_custkey") % 10).cast("string").alias("digit"), "c_name")
-    aligned, _ = sc.align_to_signature(df, {"c_custkey": "long", "c_nationkey": "double", "absent": "double", "digit": "long"}, "c_custkey")
+    """Text and whole numbers are cast to the declared types, text with decimals is read and cut, absent columns are 0."""
+    df = table(spark, folder, "customer").select("c_custkey", "c_nationkey", (F.col("c_custkey") % 10).cast("string").alias("digit"),
+                                                     F.concat((F.col("c_custkey") % 7).cast("string"), F.lit(".5")).alias("decimals"), "c_name")
+    aligned, _ = sc.align_to_signature(df, {"c_custkey": "long", "c_nationkey": "double", "absent": "double", "digit": "long", "decimals": "long"}, "c_custkey")
     return aligned
 
 
@@ -57,9 +58,9 @@ def scaled_scorer(spark, folder) -> sc.Scorer:
     return sc.Scorer(_SCALED_WEIGHTS, tr.fit_preprocessing(train, _INPUTS, tr.TrainingOptions(selection=None)))
 
 
-@query("c01_batch_scoring", f"""WITH {m.APPLICATION_SQL}, {m.SPLIT_SQL}, {_FITTED} SELECT SK_ID_CURR, {r(_SCALED_P, 6)} AS "TARGET_PROBABILITY", CAST({_SCALED_P} >= 0.25 AS BIGINT) AS "TARGET_PREDICTION" FROM test CROSS JOIN f""")
+@query("c01_batch_scoring", f"""WITH {m.APPLICATION_SQL}, {m.SPLIT_SQL}, {_FITTED} SELECT SK_ID_CURR, {r(_SCALED_P, 6)} AS "TARGET_PROBABILITY", CAST({_SCALED_P} >= 0.25 AS BIGINT) AS "TARGET_PREDICTION" FROM application CROSS JOIN f""")
 def batch(spark, folder):
-    scored, _ = sc.score_batch(m.test_rows(m.application(spark, folder)), scaled_scorer(spark, folder), 0.25)
+    scored, _ = sc.score_batch(m.application(spark, folder).drop(LABEL), scaled_scorer(spark, folder), 0.25)
     return rounded_table(scored, 6)
 
 
@@ -84,7 +85,7 @@ def request(spark, folder):
     """Request rows with text numbers, an unknown column and a missing feature."""
     rows = m.application(spark, folder).select(KEY, F.col("EXT_SOURCE_2").cast("string").alias("EXT_SOURCE_2"), F.col("AMT_CREDIT").cast("long").alias("AMT_CREDIT"), "NAME_SEGMENT")
     signature = {KEY: "long", "EXT_SOURCE_2": "double", "AMT_CREDIT": "double", "CNT_FAM_MEMBERS": "double"}
-    scored, _ = sc.score_request(rows, sc.Scorer(WEIGHTS), signature, "credit-risk", "champion", 0.3, most_rows=1 << 30)
+    scored, _ = sc.score_request(rows, sc.Scorer(WEIGHTS), signature, "credit-risk", "champion", 0.3, most_rows=None)
     return rounded_table(scored, 6)
 
 
@@ -93,7 +94,7 @@ def request(spark, folder):
 def request_diagnostics(spark, folder):
     weights = sc.LinearWeights({"c_acctbal": 0.001, "c_age": 0.1})
     signature = {"c_custkey": "long", "c_acctbal": "double", "c_age": "double"}
-    _, seen = sc.score_request(table(spark, folder, "customer"), sc.Scorer(weights, key="c_custkey"), signature, "m", "a", most_rows=1 << 30)
+    _, seen = sc.score_request(table(spark, folder, "customer"), sc.Scorer(weights, key="c_custkey"), signature, "m", "a", most_rows=None)
     rows = [("recognized", len(seen.recognized_columns)), ("ignored", len(seen.ignored_columns)), ("filled", seen.filled_missing_count)]
     return spark.createDataFrame(rows, "kind string, n long")
 
@@ -146,7 +147,7 @@ def report_rank(spark, folder):
     return found.select("feature", F.col("rank").cast("long").alias("rank"))
 
 
-@query("x03_explain_sample", _DRAWN + " SELECT SK_ID_CURR, CAST(TARGET AS BIGINT) AS \"TARGET\" FROM drawn WHERE place <= ceil(least(1.0, CAST(500 AS DOUBLE) / (SELECT count(*) FROM application)) * n)")
+@query("x03_explain_sample", _DRAWN + taken("(SELECT least(500, count(*)) FROM drawn)") + " SELECT SK_ID_CURR, CAST(TARGET AS BIGINT) AS \"TARGET\" FROM drawn JOIN sizes USING (TARGET) WHERE place <= take")
 def explain_sample(spark, folder):
     return rounded_table(tr.stratified_sample(m.application(spark, folder).select(KEY, LABEL), LABEL, KEY, rows=500, seed=SEED))
 

@@ -149,3 +149,21 @@ def report_tables(spark, folder):
     }
     paths = sinks.write_reports(reports, scratch_path(spark, "reports"))
     return spark.createDataFrame([(n, spark.read.parquet(p).count()) for n, p in paths.items()], "report string, rows long")
+
+
+@query("s06_scoring_input", """SELECT CAST(c_custkey AS BIGINT) AS id, CAST(c_acctbal AS DOUBLE) AS amount, c_mktsegment AS name, 'file' AS origin FROM customer
+ UNION ALL SELECT CAST(r_regionkey AS BIGINT), CAST(r_regionkey AS DOUBLE) / 4, r_name, 'json' FROM region""")
+def scoring_input(spark, folder):
+    """Rows to score from a file or from inline JSON (a small table here); both at once are an error."""
+    people = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("amount"), F.col("c_mktsegment").alias("name"))
+    path = _as_csv(people, spark, "to-score")
+    regions = table(spark, folder, "region").select(F.col("r_regionkey").alias("id"), (F.col("r_regionkey") / 4).alias("amount"), F.col("r_name").alias("name"))
+    text = "[" + ",".join(regions.toJSON().collect()) + "]"  # five rows, as a client would send them
+    try:
+        tables.scoring_input(spark, path, text)
+    except ValueError:
+        pass
+    else:
+        raise AssertionError("a file and inline JSON together must be refused")
+    both = tables.scoring_input(spark, path).withColumn("origin", F.lit("file")).unionByName(tables.scoring_input(spark, json_text=text).withColumn("origin", F.lit("json")))
+    return both.select("id", F.col("amount").cast("double").alias("amount"), "name", "origin")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from riskloom.functions.columns import as_column
 
-__all__ = ["tidy_name", "tidy_columns", "add_prefix", "numeric_leaves"]
+__all__ = ["tidy_name", "tidy_columns", "add_prefix"]
 
 
 def tidy_name(name: str) -> str:
@@ -27,15 +27,3 @@ def tidy_columns(df: DataFrame) -> DataFrame:
 
 def add_prefix(df: DataFrame, prefix: str, keep: set[str] | list[str] | tuple[str, ...]) -> DataFrame:
     return df.select([as_column(c) if c in keep else as_column(c).alias(prefix + c) for c in df.columns])
-
-
-def numeric_leaves(payload, path: str = "") -> dict[str, float]:
-    """Dotted path -> number for every numeric leaf of a nested report."""
-    if isinstance(payload, dict):
-        found: dict[str, float] = {}
-        for key, value in payload.items():
-            found.update(numeric_leaves(value, f"{path}.{key}" if path else str(key)))
-        return found
-    if isinstance(payload, bool) or not isinstance(payload, (int, float)):
-        return {}
-    return {path: float(payload)}

@@ -62,16 +62,16 @@ def oversample(df: DataFrame, label: str, key: str, features: Sequence[str], str
     features = list(features)
     plain = df.selectExpr(name(key), name(label), *[f"CAST({name(c)} AS DOUBLE) AS {name(c)}" for c in features])
     kept = plain.withColumn("is_synthetic", F.lit(False))
-    if needed <= 0 or counts[rare] < 2:
+    if needed <= 0:
         return kept
+    if counts[rare] < 2:
+        raise ValueError(f"{strategy} needs at least two rows of the smaller class, found {counts[rare]}")
     vectors = settle(
         plain.select(as_column(key).alias("id"), (as_column(label) == F.lit(rare)).alias("rare"), F.expr(f"array({', '.join(map(name, features))})").alias("vec")),
         "rows",
     )
     rare_rows = vectors.where("rare")
     draws = seed_draws(vectors, rare_rows, strategy, needed, neighbors, seed, border_neighbors)
-    if draws is None:
-        return kept
     return kept.unionByName(_synthesize(rare_rows, draws, key, label, rare, features, neighbors, seed, plain))
 
 
@@ -83,12 +83,14 @@ def seed_draws(vectors, rare_rows, strategy: str, needed: int, neighbors: int, s
         around = majority_share(rare_rows, vectors, border_neighbors, seed)
         danger = around.where((F.col("others") * 2 >= border_neighbors) & (F.col("others") < border_neighbors)).select("id")
         danger = settle(danger, "danger")
-        return _even_draws(danger, needed, seed) if danger.count() else None
+        if danger.isEmpty():
+            raise ValueError("borderline_smote found no row of the smaller class near the border")
+        return _even_draws(danger, needed, seed)
     if strategy == "adasyn":
         around = settle(majority_share(rare_rows, vectors, neighbors, seed), "around")
         total = around.agg(F.sum("others").alias("t")).first()["t"]
         if not total:
-            return None
+            raise ValueError("adasyn found no row of the larger class near a row of the smaller one")
         weighed = F.bround(F.col("others") / F.lit(float(total)) * F.lit(float(needed))).cast("long")
         return around.select("id", weighed.alias("draws")).where("draws > 0")
     raise ValueError(f"unknown sampler {strategy!r}; known: {SAMPLERS}")

@@ -87,22 +87,24 @@ def fit_codes(
     drop_first: bool = False,
     unknown: int = -1,
     null_label: str = NULL_LABEL,
-    limit: int = 2000,
+    limit: int | None = None,
 ) -> CategoryCodes:
     """Two non-null categories become one coded column, any other number one column each.
 
-    The category lists become columns, so their size is checked with a sketch
-    before any of them is brought to the driver.
+    The category lists become columns and are brought to the driver. ``limit``
+    stops a job in which a column has more categories, counted exactly, before
+    any list is brought there; None takes any number.
     """
     columns = list(columns)
     if not columns:
         return CategoryCodes(unknown=unknown, null_label=null_label)
-    sketch = train.agg(*[F.approx_count_distinct(as_column(c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    wide = [c for i, c in enumerate(columns) if sketch[f"d{i}"] > limit]
-    if wide:
-        raise ValueError(f"too many categories to turn into columns (limit {limit}): {wide}")
     entries = F.array(*[F.struct(F.lit(c).alias("c"), as_column(c).alias("v")) for c in columns])
-    rows = train.select(F.explode(entries).alias("e")).select("e.c", "e.v").distinct().collect()
+    values = train.select(F.explode(entries).alias("e")).select("e.c", "e.v").distinct()
+    if limit is not None:
+        wide = sorted(r[0] for r in values.where("v IS NOT NULL").groupBy("c").count().where(F.col("count") > limit).collect())
+        if wide:
+            raise ValueError(f"too many categories to turn into columns (limit {limit}): {wide}")
+    rows = values.collect()
     seen: dict[str, set] = {c: set() for c in columns}
     for r in rows:
         seen[r["c"]].add(r["v"])

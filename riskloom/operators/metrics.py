@@ -6,6 +6,7 @@ these counts, so a score shared by very many rows costs one row.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column, strictly_above
+from riskloom.functions.structs import numeric_fields
 from riskloom.operators.ranking import running_totals
 from riskloom.session import settle
 
@@ -271,6 +273,8 @@ def evaluation_report(scored: DataFrame, label: str, score: str, model: str, sco
 
 def metric_rows(spark, metrics: dict) -> DataFrame:
     """Nested report -> (metric, value) rows of its numeric leaves."""
-    from riskloom.functions.names import numeric_leaves
-
-    return spark.createDataFrame(sorted(numeric_leaves(metrics).items()), "metric string, value double")
+    text = json.dumps(metrics, default=str)
+    one = spark.range(1, numPartitions=1)
+    shape = one.select(F.schema_of_json(F.lit(text))).first()[0]
+    read = one.select("id", F.from_json(F.lit(text), shape).alias("report")).select("id", "report.*")
+    return numeric_fields(read, "id").where("value IS NOT NULL").select("metric", "value").orderBy("metric")

@@ -283,24 +283,23 @@ def roll_up(df: DataFrame, plan: Rollup) -> DataFrame:
     return grouped.selectExpr(*final)
 
 
-def categories(df: DataFrame, column: str, limit: int = 500) -> list[str]:
-    """Distinct non-null values, sorted as text. They become columns, so the number is bounded."""
-    found = [r[0] for r in df.select(as_column(column)).where(as_column(column).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
+def categories(df: DataFrame, column: str, limit: int | None = None) -> list[str]:
+    """Distinct non-null values, sorted as text. They become columns; ``limit`` stops a job that would have too many."""
+    values = df.select(as_column(column)).where(as_column(column).isNotNull()).distinct()
+    found = [r[0] for r in (values if limit is None else values.limit(limit + 1)).collect()]
+    if limit is not None and len(found) > limit:
         raise ValueError(f"{column} has more than {limit} categories; it cannot become columns")
     return sorted(found, key=str)
 
 
-def categories_by_recency(df: DataFrame, column: str, order: str, spans: Sequence[int], limit: int = 500) -> dict[int | None, list[str]]:
+def categories_by_recency(df: DataFrame, column: str, order: str, spans: Sequence[int], limit: int | None = None) -> dict[int | None, list[str]]:
     """Categories over all rows (key ``None``) and inside each window, from one small job.
 
     A category occurs in a window exactly when its newest row does.
     """
-    newest = (
-        df.where(as_column(column).isNotNull()).groupBy(as_column(column).alias("v"))
-        .agg(F.max(as_column(order)).alias("newest")).limit(limit + 1).collect()
-    )
-    if len(newest) > limit:
+    values = df.where(as_column(column).isNotNull()).groupBy(as_column(column).alias("v")).agg(F.max(as_column(order)).alias("newest"))
+    newest = (values if limit is None else values.limit(limit + 1)).collect()
+    if limit is not None and len(newest) > limit:
         raise ValueError(f"{column} has more than {limit} categories; it cannot become columns")
     found: dict[int | None, list[str]] = {None: sorted((r["v"] for r in newest), key=str)}
     for span in spans:
@@ -309,7 +308,10 @@ def categories_by_recency(df: DataFrame, column: str, order: str, spans: Sequenc
 
 
 def child_means(parent: DataFrame, child_rollup: DataFrame, key: str, child_key: str) -> DataFrame:
-    """Unweighted mean, per parent key, of statistics rolled up at the child grain."""
+    """Unweighted mean, per parent key, of statistics rolled up at the child grain.
+
+    A parent without any child keeps its row, with nulls.
+    """
     columns = [c for c in child_rollup.columns if c != child_key]
-    linked = parent.select(as_column(key), as_column(child_key)).join(child_rollup, child_key)
+    linked = parent.select(as_column(key), as_column(child_key)).join(child_rollup, child_key, "left")
     return linked.groupBy(as_column(key)).agg(*[F.avg(as_column(c)).alias(f"{c}_mean") for c in columns])

@@ -75,7 +75,7 @@ def align_to_signature(df: DataFrame, signature: Mapping[str, str], key: str = "
 
     def cast(c: str) -> Column:
         kind = SIGNATURE_TYPES.get(signature[c].lower(), "string")
-        return as_column(c).try_cast(kind) if c in df.columns else F.lit(0).cast(kind)
+        return _narrowed(as_column(c), kind) if c in df.columns else F.lit(0).cast(kind)
 
     bad = uncastable(df, {c: SIGNATURE_TYPES.get(signature[c].lower(), "string") for c in recognized})
     failed = [c for c, n in bad.items() if n]
@@ -84,6 +84,13 @@ def align_to_signature(df: DataFrame, signature: Mapping[str, str], key: str = "
     return df.select([cast(c).alias(c) for c in signature]), Diagnostics(recognized, ignored, len(missing), missing[:10])
 
 
+def _narrowed(column: Column, kind: str) -> Column:
+    """The value in the wanted type; text with decimals is read as a number before it becomes a whole one."""
+    if kind != "long":
+        return column.try_cast(kind)
+    return F.coalesce(column.try_cast("long"), column.try_cast("double").try_cast("long"))
+
+
 def uncastable(df: DataFrame, kinds: Mapping[str, str]) -> dict[str, int]:
     """Values per column that do not fit the wanted type, from one pass."""
     current = dict(df.dtypes)
@@ -91,7 +98,7 @@ def uncastable(df: DataFrame, kinds: Mapping[str, str]) -> dict[str, int]:
     if not wanted:
         return {}
     row = df.agg(*[
-        F.count_if(as_column(c).isNotNull() & as_column(c).try_cast(k).isNull()).alias(f"n{i}") for i, (c, k) in enumerate(wanted.items())
+        F.count_if(as_column(c).isNotNull() & _narrowed(as_column(c), k).isNull()).alias(f"n{i}") for i, (c, k) in enumerate(wanted.items())
     ]).first()
     return {c: row[f"n{i}"] for i, c in enumerate(wanted)}
 
@@ -202,12 +209,14 @@ def score_batch(df: DataFrame, scorer: Scorer, threshold: float | None = 0.5, la
 
 
 def score_request(df: DataFrame, scorer: Scorer, signature: Mapping[str, str], model_name: str, model_alias: str,
-                  threshold: float = 0.5, most_rows: int = 128, label: bool = True) -> tuple[DataFrame, Diagnostics]:
-    """Scored request rows with the model's name, and diagnostics of the input."""
-    held = df.limit(most_rows + 1).count()
-    if not held:
+                  threshold: float = 0.5, most_rows: int | None = 128, label: bool = True) -> tuple[DataFrame, Diagnostics]:
+    """Scored request rows with the model's name, and diagnostics of the input.
+
+    ``most_rows`` is the limit of one request; None takes a whole table, whose rows are never gathered to be counted.
+    """
+    if df.isEmpty():
         raise ValueError("the request holds no rows")
-    if held > most_rows:
+    if most_rows is not None and df.limit(most_rows + 1).count() > most_rows:
         raise ValueError(f"the request holds more than {most_rows} rows")
     own_key = scorer.key in df.columns
     keyed = df if own_key else df.withColumn(scorer.key, F.monotonically_increasing_id())

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
@@ -30,25 +30,33 @@ FAMILIES = {"gbt": GBTClassifier, "random_forest": RandomForestClassifier, "logi
 # --- splits -----------------------------------------------------------------------------------------------------
 
 
+def allocate(counts: Mapping, total: int) -> dict:
+    """``total`` rows shared out to the classes by their sizes, with the largest remainders rounded up."""
+    rows = sum(counts.values())
+    exact = {c: total * n / rows for c, n in counts.items()} if rows else {c: 0.0 for c in counts}
+    sizes = {c: math.floor(x + 1e-9) for c, x in exact.items()}
+    for c in sorted(counts, key=lambda c: (sizes[c] - exact[c], -counts[c], str(c)))[:total - sum(sizes.values())]:
+        sizes[c] += 1
+    return sizes
+
+
 def stratified_sample(df: DataFrame, label: str, key: str, rate: float | None = None, rows: int | None = None, seed: int = 42) -> DataFrame:
-    """A share of each class, or about ``rows`` rows in all with the class shares kept."""
+    """A share of all rows (rounded up), or ``rows`` rows, with the class shares kept."""
     counts = class_counts(df, label)
     total = sum(counts.values())
-    if rate is None:
-        if rows is None or rows <= 0:
-            raise ValueError("give a positive sample size or a rate")
-        if rows >= total:
-            return df
-        rate = rows / total
-    if rate >= 1.0:
+    if rate is not None:
+        rows = math.ceil(rate * total - 1e-9)
+    elif rows is None or rows <= 0:
+        raise ValueError("give a positive sample size or a rate")
+    if rows >= total:
         return df
-    return take_per_class(df, label, key, {c: math.ceil(rate * n) for c, n in counts.items()}, seed)
+    return take_per_class(df, label, key, allocate(counts, rows), seed)
 
 
 def mark_holdout(df: DataFrame, label: str, key: str, fraction: float, seed: int = 42, mark: str = HOLDOUT) -> DataFrame:
     """The same stratified draw as a boolean column."""
     counts = class_counts(df, label)
-    return take_per_class(df, label, key, {c: math.ceil(fraction * n) for c, n in counts.items()}, seed, inside=mark)
+    return take_per_class(df, label, key, allocate(counts, math.ceil(fraction * sum(counts.values()) - 1e-9)), seed, inside=mark)
 
 
 def assign_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed: int = 42) -> DataFrame:
@@ -122,24 +130,23 @@ class TrainingOptions:
 
 def rank_features(importance: DataFrame, top: int | None = None, minimum: float = -math.inf) -> DataFrame:
     """(feature, importance, rank) by importance, then name; one row per feature."""
-    from pyspark.sql import Window
-
     order = Window.orderBy(F.desc("importance"), "feature")
     ranked = importance.where(F.col("importance") >= F.lit(minimum)).withColumn("rank", F.row_number().over(order))
     return ranked if top is None else ranked.where(F.col("rank") <= top)
 
 
-def prune_features(scores: Mapping[str, float] | None, candidates: Sequence[str], minimum: float = 0.0,
-                   keep_top_n: int | None = None, always_keep: Sequence[str] = ()) -> list[str]:
-    """Features of enough importance, the reserved ones first. Without scores all count 1."""
-    value = {c: (1.0 if scores is None else float(scores.get(c, 0.0))) for c in candidates}
-    kept = sorted((c for c in candidates if value[c] >= minimum), key=lambda c: -value[c])
-    if keep_top_n is not None:
-        kept = kept[:int(keep_top_n)]
-    merged = list(dict.fromkeys([c for c in always_keep if c in value] + kept))
-    if not merged:
-        raise ValueError("feature pruning left no columns; relax its limits")
-    return merged
+def prune_features(importance: DataFrame, minimum: float = 0.0, keep_top_n: int | None = None, always_keep: Sequence[str] = ()) -> DataFrame:
+    """(feature, place): the reserved features in the given order, then the best others.
+
+    ``importance`` holds (feature, importance), one row per feature. A feature stays for its importance if that reaches
+    the minimum and is among the ``keep_top_n`` highest; ties go by name.
+    """
+    reserved = F.array(*map(F.lit, always_keep)).cast("array<string>")
+    best = rank_features(importance, keep_top_n, minimum).select("feature", F.lit(True).alias("good"))
+    own = importance.join(best, "feature", "left").withColumn("own", F.array_position(reserved, F.col("feature")))
+    kept = own.where((F.col("own") > 0) | F.col("good"))
+    place = F.row_number().over(Window.orderBy(F.col("own") == 0, "own", F.desc("importance"), "feature"))  # one row per feature
+    return kept.select("feature", place.cast("long").alias("place"))
 
 
 def fit_preprocessing(train: DataFrame, features: Sequence[str], options: TrainingOptions, select: bool = True) -> Preprocessing:
@@ -160,7 +167,12 @@ def fit_preprocessing(train: DataFrame, features: Sequence[str], options: Traini
         selected = [features[i] for i in sorted(best)]
     pruned = None
     if options.pruning:
-        pruned = prune_features(scores, selected or features, options.min_importance, options.keep_top_n, options.always_keep)
+        rows = [(c, 1.0 if scores is None else float(scores[c])) for c in selected or features]
+        found = prune_features(
+            train.sparkSession.createDataFrame(rows, "feature string, importance double"), options.min_importance, options.keep_top_n, options.always_keep)
+        pruned = [r["feature"] for r in found.orderBy("place").collect()]
+        if not pruned:
+            raise ValueError("feature pruning left no columns; relax its limits")
     return Preprocessing(features, scaling, selected, pruned)
 
 
@@ -186,13 +198,14 @@ def fit_model(family: str, params: Mapping, prepared: DataFrame, features: Seque
         raise ValueError(f"unknown model family {family!r}; known: {sorted(FAMILIES)}")
     label, params = options.label, dict(params)
     shared_folder(prepared.sparkSession)  # boosting cuts its lineage in this folder
+    prepared = settle(prepared, "prepared")  # counts, the holdout draw and the fit read it again
     counts = class_counts(prepared, label)
     rows = assemble(prepared, features, label)
     if options.balance == "class_weight":
         weights = class_weights({int(k): v for k, v in counts.items()}, options.weighting)
         rows = rows.withColumn(WEIGHT, weight_column(label, weights))
         params["weightCol"] = WEIGHT
-    early = family == "gbt" and options.holdout_fraction and sum(counts.values()) >= 100
+    early = family == "gbt" and options.holdout_fraction
     if early:
         rows = mark_holdout(rows, label, options.key, options.holdout_fraction, options.seed)
         params["validationIndicatorCol"] = HOLDOUT

@@ -24,6 +24,7 @@ class BaseOptions:
     drop_first: bool = False
     normalize_frequency: bool = False
     cross_ratios: bool = False
+    most_categories: int | None = None
 
 
 def ratio_columns(df: DataFrame, family: Sequence[tuple[str, str, str]], epsilon: float = fx.EPSILON) -> dict:
@@ -77,7 +78,7 @@ def fit_base(train: DataFrame, key: str = fv.CUSTOMER, target: str = fv.TARGET,
     tables = [fit_frequency(train, c, options.normalize_frequency) for c in frequent]
     codes = fit_codes(
         train, fx.string_columns(train, skip=[key, target, *frequent]),
-        use_binary=options.use_binary, drop_first=options.drop_first,
+        use_binary=options.use_binary, drop_first=options.drop_first, limit=options.most_categories,
     )
     return BaseTransform(options, tables, codes)
 
@@ -98,15 +99,14 @@ def add_row_statistics(df: DataFrame, options: BaseOptions = BaseOptions(), fill
             "EXT_SOURCES_MAX": fx.row_max(scores), "EXT_SOURCES_RANGE": fx.row_range(scores),
             "EXT_SOURCES_PROD": fx.row_product(scores), "EXT_SOURCES_STD": fx.row_std(scores),
         }
-        if options.cross_ratios:
-            # off by default: the published feature list does not hold these
-            family = [(f"{b}_TO_{s}", b, s) for b in fv.CROSS_RATIO_BASES if b in present for s in scores]
-            added |= ratio_columns(df, family, options.epsilon)
     if set(enquiries) <= present:
         lenient += enquiries
         added["AMT_REQ_CREDIT_BUREAU_TOTAL"] = fx.row_sum(enquiries)
     df = df.selectExpr(*[f"try_cast({name(c)} AS DOUBLE) AS {name(c)}" if c in lenient else name(c) for c in df.columns if c not in added]
                        + [name(c) for c in added if c in present]).withColumns(added)
+    if options.cross_ratios and set(scores) <= present:
+        # off by default: the published feature list does not hold these; their bases are ratios made above
+        df = df.withColumns(ratio_columns(df, [(f"{b}_TO_{s}", b, s) for b in fv.CROSS_RATIO_BASES for s in scores], options.epsilon))
     kinds = {f.name: f.dataType for f in df.schema.fields}
     numbers = set(fx.numeric_columns(df))
     return df.selectExpr(*[f"{finite_text(c, kinds[c], fill)} AS {name(c)}" if c in numbers else name(c) for c in df.columns])

@@ -65,7 +65,9 @@ def run_training(train: DataFrame, test: DataFrame | None, family: str = "gbt",
     features = [c for c in train.columns if c not in (options.key, options.label)]
     metadata = run_metadata(train, features, options.label)
     chosen, threshold, reports, trials = dict(params or {}), None, {}, None
-    if "search" in phases and space:
+    if "search" in phases and not space:
+        raise ValueError("the search phase needs a search space; leave it out of the phases otherwise")
+    if "search" in phases:
         chosen, trials, scored = search(train, features, family, chosen, space, options)
         reports["search_subsample_cv"] = evaluation_report(scored, options.label, "score", family, "search_subsample_cv")
         threshold = reports["search_subsample_cv"]["metrics"]["threshold"]

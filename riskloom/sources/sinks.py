@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.functions.columns import as_column
+from riskloom.session import settle
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -36,16 +37,17 @@ def read_document(spark: SparkSession, path: str) -> dict:
 
 
 def write_submission(scored: DataFrame, source: DataFrame, path: str, key: str, target: str, probability: str, kind: str = "parquet") -> str:
-    """(key, probability as target) for every row of the scored table, none lost."""
+    """(key, probability as target) for every row of the scored table, none lost.
+
+    The rows are counted before ``path`` is touched.
+    """
     if target in source.columns:
         raise ValueError(f"{target} must not be part of the rows to score")
-    out = scored.select(as_column(key), as_column(probability).alias(target))
-    write_table(out, path, kind)
-    written = scored.sparkSession.read.format(kind).options(header=True).load(path).count()
-    expected = source.count()
-    if written != expected:
-        raise ValueError(f"{written} rows written for {expected} rows to score")
-    return path
+    out = settle(scored.select(as_column(key), as_column(probability).alias(target)), "submission")
+    held, expected = out.count(), source.count()
+    if held != expected:
+        raise ValueError(f"{held} scored rows for {expected} rows to score; {path} was not written")
+    return write_table(out, path, kind)
 
 
 def write_reports(tables: Mapping[str, DataFrame], folder: str, kind: str = "parquet") -> dict[str, str]:

@@ -40,8 +40,8 @@ def without_markers(column, markers: Sequence[str] = fv.NULL_MARKERS) -> Column:
     return F.when(~c.isin(list(markers)), c)
 
 
-def _guess_types(sample: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
-    """Narrowest of long, double, boolean and string that fits every sampled value."""
+def _guess_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
+    """Narrowest of long, double, boolean and string that fits every value, from one aggregate over all rows."""
     if not columns:
         return {}
     asks = []
@@ -53,7 +53,7 @@ def _guess_types(sample: DataFrame, columns: Sequence[str]) -> dict[str, T.DataT
             F.count_if(F.lower(col).isin("true", "false")).alias(f"b{i}"),
             F.count_if(col.contains(".")).alias(f"p{i}"),
         ]
-    row = sample.agg(*asks).first()
+    row = df.agg(*asks).first()
     guessed = {}
     for i, c in enumerate(columns):
         n = row[f"n{i}"]
@@ -69,12 +69,13 @@ def _guess_types(sample: DataFrame, columns: Sequence[str]) -> dict[str, T.DataT
 
 
 def read_csv(spark: SparkSession, path: str, types: Mapping[str, str] = fv.SOURCE_TYPES,
-             markers: Sequence[str] = fv.NULL_MARKERS, sample_rows: int = 10_000) -> DataFrame:
+             markers: Sequence[str] = fv.NULL_MARKERS) -> DataFrame:
     """A typed table from a CSV file with a header.
 
     All fields are read as text so that every null marker works for every type;
-    the listed types win, the other columns are typed from a sample. A value
-    that does not fit its type fails the job, as does a malformed line.
+    the listed types win, the other columns are typed by one more pass over all
+    rows; list every type to save it. A value that does not fit its type fails
+    the job, as does a malformed line.
     """
     plain = {f: named_type(t) for f, t in types.items()}
     names = spark.read.option("header", True).csv(path).columns
@@ -82,7 +83,7 @@ def read_csv(spark: SparkSession, path: str, types: Mapping[str, str] = fv.SOURC
     text = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("nullValue", "").csv(path)
     text = text.select([without_markers(n, markers).alias(n) for n in names])
     unlisted = [n for n in names if n not in plain]
-    kinds = {**_guess_types(text.select(*map(as_column, unlisted)).limit(sample_rows), unlisted), **plain}
+    kinds = {**_guess_types(text.select(*map(as_column, unlisted)), unlisted), **plain}
     return text.select([as_column(n).cast(kinds[n]).alias(n) for n in names])
 
 

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as fx
-from riskloom.functions.names import numeric_leaves, tidy_columns, tidy_name
+from riskloom.functions.names import tidy_columns, tidy_name
 from riskloom.functions.structs import numeric_fields
+from riskloom.operators.metrics import metric_rows
 
 
 @pytest.fixture(scope="module")
@@ -68,7 +69,8 @@ def test_names(spark):
         tidy_columns(spark.createDataFrame([(1, 2)], "`a b` int, `a/b` int"))
 
 
-def test_numeric_leaves(spark):
-    assert numeric_leaves({"ranking": {"roc_auc": 0.8}, "name": "model", "flag": True}) == {"ranking.roc_auc": 0.8}
+def test_numeric_fields(spark):
+    report = metric_rows(spark, {"ranking": {"roc_auc": 0.8, "rows": 3}, "name": "model", "flag": True, "none": None})
+    assert [tuple(r) for r in report.collect()] == [("ranking.roc_auc", 0.8), ("ranking.rows", 3.0)]
     df = spark.createDataFrame([(1, (2.0, (3, "x")))], "k int, r struct<a: double, b: struct<c: int, d: string>>")
     assert {(r.metric, r.value) for r in numeric_fields(df, "k").collect()} == {("r.a", 2.0), ("r.b.c", 3.0)}

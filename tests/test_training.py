@@ -55,13 +55,12 @@ def test_preprocessing_round_trip_and_missing_columns(data):
         tr.fit_preprocessing(data, FEATURES, tr.TrainingOptions(selection="lasso"))
 
 
-def test_feature_pruning():
-    scores = {"a": 3.0, "b": 0.5, "c": 2.0}
-    assert tr.prune_features(scores, ["a", "b", "c"], minimum=1.0) == ["a", "c"]
-    assert tr.prune_features(scores, ["a", "b", "c"], keep_top_n=1, always_keep=["b", "x"]) == ["b", "a"]
-    assert tr.prune_features(None, ["a", "b"], minimum=1.0) == ["a", "b"]
-    with pytest.raises(ValueError):
-        tr.prune_features(scores, ["a"], minimum=9)
+def test_feature_pruning(spark):
+    scores = spark.createDataFrame([("a", 3.0), ("b", 0.5), ("c", 2.0)], "feature string, importance double")
+    kept = lambda *a, **b: [r["feature"] for r in tr.prune_features(*a, **b).orderBy("place").collect()]
+    assert kept(scores, minimum=1.0) == ["a", "c"]
+    assert kept(scores, keep_top_n=1, always_keep=["b", "x"]) == ["b", "a"]
+    assert kept(scores, minimum=9) == [] and kept(scores, minimum=9, always_keep=["c"]) == ["c"]
 
 
 def test_candidates_stay_in_range():
