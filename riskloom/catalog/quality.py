@@ -9,6 +9,7 @@ from riskloom.catalog.expressions import DIRTY_SQL, _dirty
 from riskloom.catalog.registry import query, r, rounded, table
 from riskloom.operators import quality as qc
 from riskloom.plans import fixed_values as fv
+from riskloom.plans.training import check_reuse, run_metadata
 from riskloom.session import scratch_path
 from riskloom.sources.sinks import write_table
 
@@ -157,3 +158,25 @@ def check_report(spark, folder):
     ]
     path = write_table(qc.report(spark, checks), scratch_path(spark, "checks"), "json")
     return spark.read.schema(qc.CHECK_SCHEMA).json(path).select("section", "name", F.col("passed").cast("long").alias("passed"))
+
+
+@query("q11_reuse_check", """SELECT * FROM (VALUES ('same', 0), ('other_data', 1), ('other_settings', 1)) v(kind, refused), (SELECT count(*) AS "rows", count(*) FILTER (WHERE o_totalprice > 150000) AS positives FROM orders)""")
+def reuse_check(spark, folder):
+    """A stored run is taken up again only with the same data and the same settings."""
+    df = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", (F.col("o_totalprice") > 150000).cast("int").alias("y"))
+    stored = run_metadata(df, ["o_totalprice"], "y", family="gbt")
+    others = {
+        "same": run_metadata(df.orderBy(F.desc("o_totalprice")), ["o_totalprice"], "y", family="gbt"),
+        "other_data": run_metadata(df.withColumn("o_totalprice", F.col("o_totalprice") + (F.col("o_orderkey") == 1).cast("int")), ["o_totalprice"], "y", family="gbt"),
+        "other_settings": run_metadata(df, ["o_totalprice"], "y", family="logistic"),
+    }
+
+    def refused(current) -> int:
+        try:
+            check_reuse(stored, current)
+        except ValueError:
+            return 1
+        return 0
+
+    rows = [(kind, refused(found), found["row_count"], found["positive_count"]) for kind, found in others.items()]
+    return spark.createDataFrame(rows, "kind string, refused long, rows long, positives long")

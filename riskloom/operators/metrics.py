@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -37,9 +38,24 @@ def score_counts(scored: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def stored_counts(scored: DataFrame, label: str, score: str) -> DataFrame:
+@dataclass(frozen=True)
+class Counted:
+    """Written counts per score; every function of this module takes it in place of the scored rows."""
+
+    table: DataFrame
+
+    @property
+    def sparkSession(self):
+        return self.table.sparkSession
+
+
+def count_once(scored: DataFrame, label: str, score: str) -> Counted:
+    return Counted(settle(score_counts(scored, label, score), "scores"))
+
+
+def stored_counts(scored: DataFrame | Counted, label: str, score: str) -> DataFrame:
     """Counts per score as a written table, since several jobs read them."""
-    return settle(score_counts(scored, label, score), "scores")
+    return scored.table if isinstance(scored, Counted) else count_once(scored, label, score).table
 
 
 def cumulative_counts(stored: DataFrame) -> DataFrame:
@@ -104,7 +120,8 @@ def threshold_counts(scored: DataFrame, label: str, score: str, grid: Sequence[f
     grid = sorted(grid)
     # intervals are closed on the left, so binning the negated score puts a score equal to a cut below it
     edges = [-float("inf"), *[-t for t in reversed(grid)], float("inf")]
-    counted = score_counts(scored, label, score).withColumn("__neg", -F.col("score"))
+    counts = scored.table if isinstance(scored, Counted) else score_counts(scored, label, score)
+    counted = counts.withColumn("__neg", -F.col("score"))
     binned = Bucketizer(splits=edges, inputCol="__neg", outputCol="__bin", handleInvalid="error").transform(counted)
     per_bin = binned.groupBy(F.col("__bin").cast("int").alias("bin")).agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     cuts = F.array(*[F.lit(float(t)) for t in reversed(grid)], F.lit(None).cast("double"))
@@ -149,12 +166,22 @@ def choose_threshold(table: DataFrame, scope: str, tuned: bool = True, objective
 
 
 def confusion_counts(scored: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
+    if isinstance(scored, Counted):
+        both = F.array(*[F.struct(F.lit(y).alias("actual"), n.alias("k")) for y, n in ((0, F.col("n") - F.col("pos")), (1, F.col("pos")))])
+        rows = scored.table.select(strictly_above("score", F.lit(float(threshold))).alias("predicted"), F.explode(both).alias("e")).where("e.k > 0")
+        return rows.groupBy("e.actual", "predicted").agg(F.sum("e.k").alias("row_count"))
     return scored.groupBy(
         as_column(label).cast("int").alias("actual"), strictly_above(score, F.lit(float(threshold))).alias("predicted")
     ).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def confusion_row(scored: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
+    if isinstance(scored, Counted):
+        above = F.col("score") > F.lit(float(threshold))
+        total = lambda rows, n: F.coalesce(F.sum(F.when(rows, n)), F.lit(0))
+        neg = F.col("n") - F.col("pos")
+        return scored.table.agg(
+            total(above, F.col("pos")).alias("tp"), total(above, neg).alias("fp"), total(~above, F.col("pos")).alias("fn"), total(~above, neg).alias("tn"))
     hit, pos = as_column(score) > F.lit(float(threshold)), as_column(label) == 1
     return scored.agg(
         F.count_if(hit & pos).alias("tp"), F.count_if(hit & ~pos).alias("fp"),
@@ -248,10 +275,11 @@ def single_metric(scored: DataFrame, label: str, score: str, metric: str, thresh
 
 def evaluation_report(scored: DataFrame, label: str, score: str, model: str, scope: str, tuned: bool = True,
                       configured: float = 0.5, grid: Sequence[float] | None = None) -> dict:
-    """Nested metrics plus the report tables, for one scope."""
+    """Nested metrics plus the report tables, for one scope. The scored rows are read and grouped once."""
     if scope not in SCOPES:
         raise ValueError(f"unknown evaluation scope {scope!r}; known: {SCOPES}")
-    table = threshold_table(scored, label, score, grid)
+    scored = count_once(scored, label, score)
+    table = settle(threshold_table(scored, label, score, grid), "thresholds")
     chosen = choose_threshold(table, scope, tuned=tuned, configured=configured).first().asDict()
     ranking = ranking_metrics(scored, label, score).first().asDict()
     cut = chosen["threshold"]

@@ -15,7 +15,7 @@ from riskloom.operators.quality import Check, final_table_checks, raise_on_failu
 from riskloom.plans import fixed_values as fv
 from riskloom.plans.application import BaseOptions, add_row_statistics, fit_base, fit_pruning
 from riskloom.plans.histories import ALL_SETS, all_rollups
-from riskloom.session import settle
+from riskloom.session import discard, settle
 
 SPLIT = "__is_train"
 
@@ -72,6 +72,8 @@ def build_features(tables: dict[str, DataFrame], sets: Collection[str] = ALL_SET
     pruning = fit_pruning(train_full, key, target, correlation, dominance)
     final_train = settle(pruning.apply(train_full), "final-train")
     final_test = settle(pruning.apply(test_full, without=[target]), "final-test")
+    padded = pruning.padded(test_full, without=[target])
+    discard(merged, train_full)
     final = final_table_checks(final_train, final_test, key, target)
     raise_on_failure(final, "final table")
     manifest = feature_manifest(
@@ -79,7 +81,7 @@ def build_features(tables: dict[str, DataFrame], sets: Collection[str] = ALL_SET
         {
             "dropped_correlated": sorted(pruning.correlated),
             "dropped_low_variance": sorted(pruning.near_constant),
-            "missing_columns_added_to_test": pruning.padded(test_full, without=[target]),
+            "missing_columns_added_to_test": padded,
         },
     )
     return FeatureTables(final_train, final_test, checks + final, manifest, sparse)

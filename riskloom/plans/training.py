@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.errors import AnalysisException
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column, numeric_columns, string_columns
 from riskloom.functions.names import tidy_columns
 from riskloom.operators.balance import class_weights, weight_column
+from riskloom.operators.encode import fit_frequency
 from riskloom.operators.metrics import classification_report, evaluation_report, ranking_metrics
 from riskloom.operators.quality import fingerprint
 from riskloom.operators.ranking import class_counts
@@ -22,7 +26,7 @@ from riskloom.operators.training import (
     out_of_fold, positive_probability, search,
 )
 from riskloom.session import settle
-from riskloom.sources.sinks import write_document, write_reports, write_submission
+from riskloom.sources.sinks import read_document, write_document, write_reports, write_submission
 
 
 @dataclass(frozen=True)
@@ -37,33 +41,53 @@ class TrainingRun:
     trials: DataFrame | None = None
 
 
-def run_metadata(df: DataFrame, features: Sequence[str], label: str) -> dict:
-    """Rows, features, positives and an order-free fingerprint of the training data."""
+def settings_hash(**settings) -> str:
+    """One hash of everything that was chosen for a run."""
+    return hashlib.sha256(json.dumps(settings, sort_keys=True, default=str).encode()).hexdigest()
+
+
+def run_metadata(df: DataFrame, features: Sequence[str], label: str, **settings) -> dict:
+    """Rows, features, positives, an order-free fingerprint of the training data and a hash of the settings."""
     facts = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(as_column(label).cast("long")).alias("positives")).first()
     content = fingerprint(df).first().asDict()
     return {
         "row_count": facts["rows"], "feature_count": len(features), "positive_count": facts["positives"],
         "data_hash": "-".join(str(content[k]) for k in ("rows", "content_xor", "content_sum")),
+        "config_hash": settings_hash(features=list(features), label=label, **settings),
     }
 
 
 def check_reuse(existing: Mapping | None, current: Mapping, allow_stale: bool = False) -> None:
-    """Results of other data or settings are not mixed into a run."""
-    if allow_stale or not existing:
-        return
-    for name in ("config_hash", "data_hash"):
-        if existing.get(name) != current.get(name):
-            raise ValueError(f"existing results were made with a different {name}")
+    """Refuses to mix results of other data or other settings into a run."""
+    if existing and not allow_stale:
+        other = sorted({k for k in ("config_hash", "data_hash")} & {k for k in {**existing, **current} if existing.get(k) != current.get(k)})
+        if other:
+            raise ValueError(f"the folder holds a run with another {' and another '.join(other)}; take a new folder or allow it")
+
+
+def stored_metadata(spark, folder: str) -> dict | None:
+    """Metadata of the run in a folder, None where there is none."""
+    try:
+        return read_document(spark, f"{folder}/run")["metadata"]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def run_training(train: DataFrame, test: DataFrame | None, family: str = "gbt", params: Mapping | None = None,
                  space: Mapping | None = None, options: TrainingOptions = TrainingOptions(),
-                 phases: Sequence[str] = ("search", "validate", "final_fit"), folder: str | None = None) -> TrainingRun:
-    """The configured phases in order; the threshold comes from the last phase that evaluates."""
+                 phases: Sequence[str] = ("search", "validate", "final_fit"), folder: str | None = None, allow_stale: bool = False) -> TrainingRun:
+    """The configured phases in order; the threshold comes from the last phase that evaluates.
+
+    A folder that holds a run of other data or settings is refused unless ``allow_stale``.
+    """
     spark = train.sparkSession
     train = tidy_columns(train)
     features = [c for c in train.columns if c not in (options.key, options.label)]
-    metadata = run_metadata(train, features, options.label)
+    metadata = run_metadata(train, features, options.label, family=family, params=dict(params or {}), space=space, options=asdict(options), phases=list(phases))
+    if folder:
+        check_reuse(stored_metadata(spark, folder), metadata, allow_stale)
     chosen, threshold, reports, trials = dict(params or {}), None, {}, None
     if "search" in phases and not space:
         raise ValueError("the search phase needs a search space; leave it out of the phases otherwise")
@@ -145,22 +169,23 @@ def raw_table_baseline(train: DataFrame, key: str, label: str, fraction: float =
     rows = mark_holdout(ready(train), label, key, fraction, seed)
     weights = class_weights({int(k): v for k, v in class_counts(train, label).items()})
     rows = settle(rows.withColumn(WEIGHT, weight_column(label, weights)), "baseline")
-    indexed = [f"{c}__code" for c in texts]
-    stages = [StringIndexer(inputCols=texts, outputCols=indexed, handleInvalid="keep")] if texts else []
-    assembler = VectorAssembler(inputCols=numbers + indexed, outputCol="features")
+    # texts become their training frequencies, so that no list of categories is brought to the driver
+    codes = [fit_frequency(rows.where(~as_column(HOLDOUT)), c, unseen=0) for c in texts]
+    assembler = VectorAssembler(inputCols=[*numbers, *(f"{c}_FREQ" for c in texts)], outputCol="features")
 
     def boosted(**extra):
-        widest = max([100, *[r + 2 for r in _category_counts(rows, texts)]])
-        return FAMILIES["gbt"](labelCol=label, weightCol=WEIGHT, seed=seed, maxBins=widest, **extra)
+        return FAMILIES["gbt"](labelCol=label, weightCol=WEIGHT, seed=seed, maxBins=100, **extra)
+
+    def code(df: DataFrame) -> DataFrame:
+        return assembler.transform(reduce(lambda d, table: table.apply(d), codes, df))
 
-    coder = Pipeline(stages=[*stages, assembler]).fit(rows.where(~as_column(HOLDOUT)))
-    coded = coder.transform(rows)
+    coded = code(rows)
     first = boosted(maxIter=trees, validationIndicatorCol=HOLDOUT).fit(coded)
     valid = first.transform(coded.where(as_column(HOLDOUT))).select(key, label, positive_probability().alias("score"))
     valid = settle(valid, "baseline-holdout")
     ranks = ranking_metrics(valid, label, "score").first()
     refit = boosted(maxIter=first.getNumTrees).fit(coded)
-    target = coded if test is None else coder.transform(ready(test))
+    target = coded if test is None else code(ready(test))
     scored = refit.transform(target).select(key, positive_probability().alias("probability"))
     metrics = {
         "scope": "raw_table_holdout", "roc_auc": ranks["roc_auc"], "average_precision": ranks["average_precision"],
@@ -168,10 +193,3 @@ def raw_table_baseline(train: DataFrame, key: str, label: str, fraction: float =
         "feature_count": len(texts) + len(numbers), "categorical_feature_count": len(texts),
     }
     return Baseline(metrics, classification_report(valid, label, "score", threshold), scored, first.getNumTrees)
-
-
-def _category_counts(df: DataFrame, texts: Sequence[str]) -> list[int]:
-    if not texts:
-        return []
-    row = df.agg(*[F.approx_count_distinct(as_column(c), 0.02).alias(f"d{i}") for i, c in enumerate(texts)]).first()
-    return [int(v * 1.1) + 1 for v in row]

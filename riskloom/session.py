@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,27 +37,30 @@ def local_session(cores: int = 8, memory: str = "8g", **extra: str) -> SparkSess
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return name_shared_folder(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder; on a cluster a
-    missing setting is an error, because a machine-local folder would be lost
-    together with its machine.
+    A missing setting is an error, because a machine-local folder would be lost
+    together with its machine. ``name_shared_folder`` sets one for sessions that
+    have a single machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-"))
-    return context.getCheckpointDir()
+    return named
+
+
+def name_shared_folder(spark: SparkSession) -> SparkSession:
+    """Names a temporary folder if none is named and the session is on one machine; it goes when Python ends."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir() and context.master.startswith("local["):
+        folder = tempfile.mkdtemp(prefix="riskloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
+    return spark
 
 
 def check_distinct_names(spark: SparkSession, names) -> None:
@@ -82,4 +87,14 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    settled = df.sparkSession.read.schema(df.schema).parquet(path)
+    settled._settled_path = path
+    return settled
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of settled tables that no one reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._settled_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
