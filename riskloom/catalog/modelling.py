@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -266,6 +267,96 @@ def baseline(spark, folder):
     return metric_rows(spark, job.raw_table_baseline(df, KEY, LABEL, trees=4).metrics)
 
 
+# --- facts about fits that SQL can state --------------------------------------------------------------------------
+
+PLANTED = "PLANTED"
+
+
+def planted_table(spark, folder):
+    """The training table with one feature that follows the target, but for every 29th customer."""
+    told = F.when(F.col(KEY) % 29 == 0, 0.5).otherwise(F.col(LABEL) * 2.0 + F.col(KEY) % 3 / 10)
+    return settle(training_table(spark, folder).withColumn(PLANTED, told), "planted")
+
+
+@query("m08_selector_finds_planted", "SELECT 'PLANTED' AS feature, CAST(8 AS BIGINT) AS selected, CAST(1 AS BIGINT) AS known, count(*) AS \"rows\" FROM customer")
+def planted_selector(spark, folder):
+    """With one feature to select it is the planted one; with eight, eight known ones."""
+    df = planted_table(spark, folder)
+    one = tr.fit_preprocessing(df, _features(df), replace(SMALL, max_features=1)).selected
+    some = tr.fit_preprocessing(df, _features(df), SMALL).selected
+    return spark.createDataFrame([(one[0], len(some), int(set(some) <= set(_features(df))), df.count())], "feature string, selected long, known long, rows long")
+
+
+@query("m16_scores_every_row", f"WITH {m.APPLICATION_SQL} SELECT SK_ID_CURR, CAST(TARGET AS BIGINT) AS \"TARGET\", CAST(1 AS BIGINT) AS scores, CAST(CASE WHEN SK_ID_CURR % 29 = 0 THEN 1 ELSE TARGET END AS BIGINT) AS sides FROM application")
+def scores_every_row(spark, folder):
+    """One score in 0..1 for each customer, on the right side where the planted feature tells the target."""
+    df = planted_table(spark, folder)
+    features = _features(df)
+    model = tr.fit_model("gbt", PARAMS, df, features, SMALL)
+    scored = model.transform(tr.assemble(df, features)).select(KEY, LABEL, tr.positive_probability().alias("score")).where("score BETWEEN 0 AND 1")
+    side = F.when(F.col(KEY) % 29 == 0, 1).otherwise((F.col("score") > 0.5).cast("int"))
+    return scored.groupBy(KEY, F.col(LABEL).cast("long").alias(LABEL)).agg(F.count("score").alias("scores"), F.max(side).cast("long").alias("sides"))
+
+
+@query("m18_trials_in_range", "SELECT CAST(i AS BIGINT) AS trial, CAST(1 AS BIGINT) AS depth_in_range, CAST(1 AS BIGINT) AS step_in_range, CAST(1 AS BIGINT) AS value_in_range FROM range(2) t(i) WHERE EXISTS (SELECT 1 FROM customer)")
+def trials_in_range(spark, folder):
+    """Candidates lie in their ranges (M17) and each has a metric between 0 and 1."""
+    df = training_table(spark, folder)
+    _, trials, _ = tr.search(df, _features(df), "gbt", {"maxIter": 2}, SPACE, SMALL)
+    drawn = trials.select("trial", "value", F.from_json("params", "maxDepth int, stepSize double").alias("p"))
+    inside = lambda c, low, high: F.col(c).between(low, high).cast("long")
+    return drawn.select(
+        F.col("trial").cast("long").alias("trial"), inside("p.maxDepth", 2, 4).alias("depth_in_range"), inside("p.stepSize", 0.01, 0.3).alias("step_in_range"),
+        inside("value", 0.0, 1.0).alias("value_in_range"))
+
+
+@query("m20_loaded_scores_alike", f"WITH {m.APPLICATION_SQL} SELECT SK_ID_CURR, CAST(1 AS BIGINT) AS same, CAST(1 AS BIGINT) AS inside FROM application")
+def loaded_scores_alike(spark, folder):
+    """A saved and loaded scorer gives every row the score of the fitted one."""
+    from riskloom.operators.scoring import PROBABILITY, Scorer
+    from riskloom.session import scratch_path
+
+    df = training_table(spark, folder)
+    scorer, _ = job.final_fit(df, _features(df), "gbt", PARAMS, SMALL)
+    path = scratch_path(spark, "scorer")
+    scorer.save(spark, path)
+    both = scorer.predict(df, "fitted").join(Scorer.load(spark, path).predict(df, PROBABILITY), KEY)
+    return both.select(KEY, (F.col("fitted") == F.col(PROBABILITY)).cast("long").alias("same"), F.col("fitted").between(0, 1).cast("long").alias("inside"))
+
+
+@query("m21_importance_facts", "SELECT 'PLANTED' AS best, CAST(1 AS DOUBLE) AS total, CAST(1 AS BIGINT) AS sorted, CAST(0 AS BIGINT) AS unknown FROM customer GROUP BY 1")
+def importance_facts(spark, folder):
+    """Importances add up to 1, fall, belong to known features, and the planted one leads."""
+    df = planted_table(spark, folder)
+    _, found = job.final_fit(df, _features(df), "gbt", PARAMS, SMALL)
+    rows = found.collect()  # one row per feature
+    falls = all(a["importance"] >= b["importance"] for a, b in zip(rows, rows[1:]))
+    unknown = len({r["feature"] for r in rows} - set(_features(df)))
+    return spark.createDataFrame([(rows[0]["feature"], round(sum(r["importance"] for r in rows), 6), int(falls), unknown)], "best string, total double, sorted long, unknown long")
+
+
+@query("m22_all_phases", f"""WITH {m.APPLICATION_SQL}, c AS (SELECT count(*) AS n, count(*) FILTER (WHERE TARGET = 1) AS p FROM application)
+ SELECT 'data' AS part, n AS "rows", p AS positives FROM c UNION ALL SELECT 'out_of_fold', n, p FROM c UNION ALL SELECT 'search_trials', 2, 0 FROM c UNION ALL SELECT 'submission', n, 0 FROM c""")
+def all_phases(spark, folder):
+    """Search, validation and final fit in one run: rows of what each leaves."""
+    df = training_table(spark, folder)
+    run = job.run_training(df, df.drop(LABEL), "gbt", PARAMS, SPACE, SMALL, ("search", "validate", "final_fit"))
+    held = run.reports["out_of_fold"]["confusion"].agg(F.sum("row_count").alias("n"), F.sum(F.when(F.col("actual") == 1, F.col("row_count"))).alias("p")).first()
+    assert set(run.reports) == {"search_subsample_cv", "out_of_fold"}
+    rows = [("data", run.metadata["row_count"], run.metadata["positive_count"]), ("out_of_fold", held["n"], held["p"]), ("search_trials", run.trials.count(), 0),
+            ("submission", run.submission.where(F.col(LABEL).between(0, 1)).count(), 0)]
+    return spark.createDataFrame(rows, "part string, rows long, positives long")
+
+
+@query("m23_baseline_rows", _DRAWN + taken(share_of_rows(0.2)) + """ SELECT (SELECT count(*) FROM drawn) - (SELECT sum(take) FROM sizes) AS train_rows, (SELECT sum(take) FROM sizes) AS valid_rows, CAST(4 AS DOUBLE) AS texts, CAST(1 AS DOUBLE) AS auc_in_range""")
+def baseline_rows(spark, folder):
+    """The baseline learns from four fifths of the customers and is judged on the rest."""
+    df = m.application(spark, folder).drop("AMT_INCOME_TOTAL")
+    found = job.raw_table_baseline(df, KEY, LABEL, trees=2).metrics
+    row = (float(found["train_rows"]), float(found["valid_rows"]), float(found["categorical_feature_count"]), float(0 <= found["roc_auc"] <= 1))
+    return spark.createDataFrame([row], "train_rows double, valid_rows double, texts double, auc_in_range double")
+
+
 _RUNS = "runs AS (SELECT user_id AS run_id, CASE WHEN user_id % 9 <> 0 THEN round(avg(value) / 100, 6) END AS roc_auc, max(event_id) AS finished_at FROM events GROUP BY user_id)"
 
 
