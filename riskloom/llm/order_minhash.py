@@ -21,7 +21,7 @@ def _with(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def signature(text: Column, k: int = 5, sample: int = 48, components: int = 32) -> Column:
+def signature(text: Column, k: int = 5, sample: int = 48, components: int = 64) -> Column:
     """array<int> of tuple hashes; texts without words give the hashes of no element.
 
     Only k-mers below a hash bound that lets about three samples through are sorted; if they turn out to be fewer than
@@ -97,7 +97,7 @@ def neighbours(docs: DataFrame, parts: int, **columns: Column) -> DataFrame:
     return led.join(after, "part", "left").select("doc_id", *carried, *(F.coalesce(f"next_{c}", f"head_{c}").alias(f"next_{c}") for c in carried))
 
 
-def fingerprint_documents(docs: DataFrame, k: int = 5, sample: int = 48, components: int = 32) -> DataFrame:
+def fingerprint_documents(docs: DataFrame, k: int = 5, sample: int = 48, components: int = 64) -> DataFrame:
     """Fingerprints of all texts and of their edited texts, and how alike they are.
 
     The edited text has the last half of its code points (rounded down) replaced by as many of the first ones of the next

@@ -29,7 +29,7 @@ def test_edited_texts_and_edges(spark):
     rows = odd_rows() + [(d, prose(d, d % 50)) for d in range(20, 400)]
     got = result(spark, rows)
     assert sorted(((r.doc_id, r.n_chars, r.edited) for r in got), key=repr) == edited(rows)
-    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 and len(r.fingerprint) == 256 for r in got)
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 and len(r.fingerprint) == 512 for r in got)
     assert result(spark, []) == []
     one = result(spark, [(1, "a b c d e f g h")])
     assert one[0].near_next == 1.0 and one[0].edited == "a b c d a b c d "[:8] + "a b c d"
