@@ -76,3 +76,15 @@ def test_weights_and_undersampling(spark, classes):
 def test_heavy_draws_are_chunked(spark, classes):
     out = balance.oversample(classes.where("y = 0 OR id < 2"), "y", "id", ["a", "b"], "adasyn")
     assert out.where("is_synthetic").count() > 0
+
+
+def test_nothing_to_start_from_is_an_error(spark):
+    rows = lambda points: spark.createDataFrame([(i, y, float(a), 0.0) for i, (y, a) in enumerate(points)], "id long, y int, a double, b double")
+    one = rows([(1, 0)] + [(0, i) for i in range(5)])
+    with pytest.raises(ValueError, match="two rows"):
+        balance.oversample(one, "y", "id", ["a", "b"], "smote")
+    apart = rows([(1, i / 100) for i in range(12)] + [(0, 1000 + i) for i in range(30)])
+    with pytest.raises(ValueError, match="border"):
+        balance.oversample(apart, "y", "id", ["a", "b"], "borderline_smote", border_neighbors=5)
+    with pytest.raises(ValueError, match="adasyn"):
+        balance.oversample(apart, "y", "id", ["a", "b"], "adasyn")

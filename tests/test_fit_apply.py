@@ -111,3 +111,18 @@ def test_categories_that_differ_in_case(spark):
             fit_codes(train, ["c"])
     finally:
         spark.conf.set("spark.sql.caseSensitive", "true")
+
+
+def test_any_number_of_encoded_categories(spark):
+    df = spark.range(2_300).selectExpr("id AS k", "concat('c', id) AS s")
+    assert len(fit_codes(df, ["s"]).one_hot["s"]) == 2_300
+    with pytest.raises(ValueError, match="too many"):
+        fit_codes(df, ["s"], limit=2_299)
+    assert fit_codes(df, ["s"], limit=2_300)
+
+
+def test_cross_ratios_over_ratios_made_in_the_same_step(spark):
+    df = spark.createDataFrame([(1, 100.0, 50.0, 5.0, 0.5, 0.25, None)], "SK_ID_CURR long, AMT_INCOME_TOTAL double, AMT_CREDIT double, AMT_ANNUITY double, EXT_SOURCE_1 double, EXT_SOURCE_2 double, EXT_SOURCE_3 double")
+    row = ap.add_row_statistics(df, ap.BaseOptions(cross_ratios=True)).first()
+    assert row.CREDIT_INCOME_RATIO_TO_EXT_SOURCE_1 == pytest.approx(1.0) and row.ANNUITY_INCOME_RATIO_TO_EXT_SOURCE_2 == pytest.approx(0.2)
+    assert row.CREDIT_INCOME_RATIO_TO_EXT_SOURCE_3 == 0

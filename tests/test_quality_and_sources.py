@@ -91,7 +91,7 @@ def test_submission_rejects_a_target(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.write_submission(df, spark.createDataFrame([(1, 1)], "SK_ID_CURR long, TARGET int"), str(tmp_path / "s"), "SK_ID_CURR", "TARGET", "p")
     two = spark.createDataFrame([(1,), (2,)], "SK_ID_CURR long")
-    with pytest.raises(ValueError, match="1 rows written for 2"):
+    with pytest.raises(ValueError, match="1 scored rows for 2"):
         sinks.write_submission(df, two, str(tmp_path / "s"), "SK_ID_CURR", "TARGET", "p")
 
 
@@ -120,3 +120,22 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
         session.shared_folder(Fake())
     Fake.conf = type("C", (), {"get": staticmethod(lambda k, d=None: "hdfs:///shared" if k == "spark.checkpoint.dir" else d)})
     assert session.shared_folder(Fake()) == "hdfs:///shared"
+
+
+def test_types_come_from_all_rows(spark, tmp_path):
+    path = str(tmp_path / "late.csv")
+    rows = [f"{i},{i}" for i in range(10_020)] + ["10020,0.5", "10021,7"]
+    with open(path, "w") as f:
+        f.write("id,value\n" + "\n".join(rows) + "\n")
+    df = tables.read_csv(spark, path)
+    assert dict(df.dtypes) == {"id": "bigint", "value": "double"} and df.where("value = 0.5").count() == 1
+
+
+def test_submission_is_checked_before_the_write(spark, tmp_path):
+    path = str(tmp_path / "out")
+    source = spark.range(5).withColumnRenamed("id", "k")
+    scored = source.selectExpr("k", "0.5D AS p")
+    sinks.write_submission(scored, source, path, "k", "t", "p")
+    with pytest.raises(ValueError, match="not written"):
+        sinks.write_submission(scored.where("k < 3"), source, path, "k", "t", "p")
+    assert spark.read.parquet(path).count() == 5

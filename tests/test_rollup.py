@@ -185,3 +185,17 @@ def test_a_loan_id_held_by_many_rows_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_parents_without_children_stay(spark):
+    parent = spark.createDataFrame([(1, 10), (1, 11), (2, 12)], "k long, loan long")
+    child = spark.createDataFrame([(10, 4.0), (11, 6.0)], "loan long, v double")
+    got = {r.k: r.v_mean for r in child_means(parent, child, "k", "loan").collect()}
+    assert got == {1: 5.0, 2: None}
+
+
+def test_any_number_of_categories(spark):
+    df = spark.range(2_500).selectExpr("id AS k", "concat('c', id) AS s")
+    assert len(categories(df, "s")) == 2_500
+    with pytest.raises(ValueError):
+        categories(df, "s", limit=2_000)

@@ -123,3 +123,20 @@ def test_plot_scale(spark):
     df = spark.createDataFrame([(float(i), 3.0) for i in range(101)], "x double, flat double")
     got = explain.plot_scale(df, ["x", "flat"]).toPandas()
     assert np.allclose(got.x, np.clip((np.arange(101) - 1) / 98, 0, 1)) and (got.flat == 0).all()
+
+
+def test_text_with_decimals_becomes_a_whole_number(spark):
+    df = spark.createDataFrame([("1.5", "7", 2.9)], "a string, b string, c double")
+    row = sc.align_to_signature(df, {"a": "long", "b": "long", "c": "long"}, "k")[0].first()
+    assert (row.a, row.b, row.c) == (1, 7, 2)
+    with pytest.raises(ValueError):
+        sc.align_to_signature(spark.createDataFrame([("x",)], "a string"), {"a": "long"}, "k")
+
+
+def test_a_whole_table_as_one_request(spark):
+    rows = spark.range(500).selectExpr("id AS SK_ID_CURR", "0.1D AS A")
+    signature = {"SK_ID_CURR": "long", "A": "double", "B": "double"}
+    scored, _ = sc.score_request(rows, sc.Scorer(WEIGHTS), signature, "m", "c", most_rows=None)
+    assert scored.count() == 500 and "SinglePartition" not in scored._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        sc.score_request(rows, sc.Scorer(WEIGHTS), signature, "m", "c")

@@ -38,7 +38,8 @@ def test_folds_are_disjoint_and_stratified(data):
 def test_sample_sizes(data):
     counts = {r[0]: r[1] for r in data.groupBy("TARGET").count().collect()}
     got = {r[0]: r[1] for r in tr.stratified_sample(data, "TARGET", "SK_ID_CURR", rate=0.15).groupBy("TARGET").count().collect()}
-    assert got == {c: int(np.ceil(0.15 * n)) for c, n in counts.items()}
+    total = sum(counts.values())
+    assert sum(got.values()) == int(np.ceil(0.15 * total)) and all(abs(got[c] - 0.15 * n) < 1 for c, n in counts.items())
     assert tr.stratified_sample(data, "TARGET", "SK_ID_CURR", rows=10_000) is data
     with pytest.raises(ValueError):
         tr.stratified_sample(data, "TARGET", "SK_ID_CURR", rows=0)
@@ -116,3 +117,17 @@ def test_champion(spark):
     assert {r.run: r.registry_status for r in tr.gate_status(runs, 0.79).collect()} == {
         "a": "registered", "b": "registered", "c": "skipped_metric_gate", "d": "skipped_missing_roc_auc",
     }
+
+
+def test_sizes_add_up_exactly():
+    assert tr.allocate({0: 1364, 1: 136}, 225) == {0: 205, 1: 20} and sum(tr.allocate({0: 1364, 1: 136}, 500).values()) == 500
+    for counts in ({0: 7, 1: 3, 2: 5}, {0: 1, 1: 999}, {0: 10}):
+        for total in range(sum(counts.values()) + 1):
+            sizes = tr.allocate(counts, total)
+            assert sum(sizes.values()) == total and all(0 <= sizes[c] <= n for c, n in counts.items())
+            assert all(abs(sizes[c] - total * n / sum(counts.values())) < 1 for c, n in counts.items())
+
+
+def test_search_needs_a_space(spark, data):
+    with pytest.raises(ValueError, match="space"):
+        job.run_training(data, None, "gbt", PARAMS, None, OPTIONS, phases=("search",))
