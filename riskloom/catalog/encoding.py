@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from riskloom.catalog import mapping as m
 from riskloom.catalog.expressions import EPS, _E, _MEAN, _N, _SQUARES, ratio_sql
 from riskloom.catalog.registry import query, r, rounded, rounded_table
+from riskloom.catalog.rollups import INST_CTES
 from riskloom.functions import columns as fx
 from riskloom.operators.encode import fit_codes, fit_frequency
 from riskloom.operators.impute import fit_imputation
 from riskloom.plans import application as ap
 from riskloom.plans import fixed_values as fv
+from riskloom.plans.build import build_features
 
 KEY = "SK_ID_CURR"
 BASE = f"WITH {m.APPLICATION_SQL}, {m.SPLIT_SQL} "
@@ -170,3 +172,23 @@ def cleanup(spark, folder):
     found = ap.fit_pruning(df)
     rows = [("correlated", c) for c in found.correlated] + [("near_constant", c) for c in found.near_constant]
     return spark.createDataFrame(rows, "reason string, name string")
+
+
+_JOB = (("AMT_ANNUITY", "a"), ("EXT_SOURCE_1", "e1"), ("EXT_SOURCE_3", "e3"))
+
+
+@query("e08_feature_job", f"""WITH {m.APPLICATION_SQL}, {INST_CTES}, i AS (SELECT SK_ID_CURR, avg(DPD) FILTER (WHERE DAYS_INSTALMENT >= -365) AS "inst_DPD_mean_365D" FROM inst GROUP BY 1),
+ j AS (SELECT * FROM application LEFT JOIN i USING (SK_ID_CURR)), f AS (SELECT {', '.join(f'median("{c}") AS {short}' for c, short in _JOB)} FROM j WHERE {KEY} % 5 <> 0),
+ o AS (SELECT ORGANIZATION_TYPE, count(*) AS n FROM application WHERE {KEY} % 5 <> 0 GROUP BY 1),
+ k AS (SELECT * REPLACE ({', '.join(f'coalesce("{c}", {short}) AS "{c}"' for c, short in _JOB)}) FROM j CROSS JOIN f)
+ SELECT {KEY}, CASE WHEN {KEY} % 5 <> 0 THEN 'train' ELSE 'test' END AS split, CASE WHEN {KEY} % 5 <> 0 THEN CAST(TARGET AS BIGINT) ELSE -1 END AS "TARGET", {_BIN},
+  {r('AMT_ANNUITY', 2)} AS "AMT_ANNUITY", {r('(EXT_SOURCE_1 + EXT_SOURCE_2 + EXT_SOURCE_3) / 3')} AS "EXT_SOURCES_MEAN", coalesce({r('"inst_DPD_mean_365D"')}, 0) AS "inst_DPD_mean_365D",
+  CAST(o.n AS DOUBLE) AS "ORGANIZATION_TYPE_FREQ" FROM k LEFT JOIN o USING (ORGANIZATION_TYPE)""")
+def feature_job(spark, folder):
+    """The whole job, from source tables to the final train and test tables; some columns of each of its stages."""
+    done = build_features(m.credit_tables(spark, folder))
+    both = done.train.withColumn("split", F.lit("train")).unionByName(done.test.withColumns({"TARGET": F.lit(-1), "split": F.lit("test")}))
+    return both.select(
+        KEY, "split", F.col("TARGET").cast("long").alias("TARGET"), F.col("NAME_CONTRACT_TYPE").cast("long").alias("NAME_CONTRACT_TYPE"),
+        rounded("AMT_ANNUITY", 2).alias("AMT_ANNUITY"), rounded("EXT_SOURCES_MEAN").alias("EXT_SOURCES_MEAN"),
+        F.when(F.col("inst_DPD_mean_365D") == 0, F.lit(0.0)).otherwise(rounded("inst_DPD_mean_365D")).alias("inst_DPD_mean_365D"), F.col("ORGANIZATION_TYPE_FREQ").cast("double").alias("ORGANIZATION_TYPE_FREQ"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.catalog import mapping as m
-from riskloom.catalog.registry import query, r, rounded_table, table
+from riskloom.catalog.registry import CATALOG, query, r, rounded_table, table
 from riskloom.operators.rollup import (
     Latest, Recency, Rollup, Split, Stat, categories, categories_by_recency, child_means, roll_up, share_stats, stats,
 )
@@ -291,6 +291,17 @@ def merged(spark, folder):
     return rounded_table(merge_rollups(base, {"prev": prev, "pos": pos}))
 
 
+_FIVE = {"a14_two_level_bureau": "bureau", "a15_previous_applications": "prev", "a16_pos_cash": "pos", "a17_installments": "inst", "a18_credit_card": "cc"}
+
+
+@query("j01_all_rollups", "SELECT c_custkey AS SK_ID_CURR, " + ", ".join(f"{t}.* EXCLUDE (SK_ID_CURR)" for t in _FIVE.values()) + " FROM customer " + " ".join(
+    f"LEFT JOIN ({CATALOG[name].sql}) {t} ON c_custkey = {t}.SK_ID_CURR" for name, t in _FIVE.items()))
+def all_five(spark, folder):
+    """The widest table of the feature job: every customer with the roll-ups of all five histories."""
+    base = table(spark, folder, "customer").select(F.col("c_custkey").alias("SK_ID_CURR"))
+    return rounded_table(merge_rollups(base, h.all_rollups(m.credit_tables(spark, folder))))
+
+
 FLAG_PLAN = Rollup(
     "SK_ID_CURR", (Stat("count", "SK_ID_PREV"), Stat("sum", "AMT_APPLICATION"), Stat("mean", "AMT_APPLICATION")),
     Recency("DAYS_DECISION", fv.DAY_WINDOWS, "D", (Stat("count", "SK_ID_PREV"), Stat("sum", "AMT_APPLICATION"), Stat("mean", "AMT_APPLICATION")), ("AMT_APPLICATION",)),

@@ -18,6 +18,7 @@ out of the same final grouping, already partitioned by key for the merge.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
 from riskloom.functions.text import name as _name, text as _text
-from riskloom.session import check_distinct_names
+from riskloom.session import check_distinct_names, settle
 
 STATS = ("rows", "count", "sum", "mean", "min", "max", "matches", "share")
 OTHER = "__other__"
@@ -242,10 +243,30 @@ def _value(stat: Stat, inside: str | None, dims, always: bool) -> str:
     return f"CASE WHEN {present} > 0 THEN coalesce({hits}, 0) / {present} END"
 
 
+def _columns_of(plan: Rollup) -> list[str]:
+    """The columns of a history that a plan reads."""
+    wanted = [plan.key, *plan.distinct, *(split.column for split in plan.splits)]
+    wanted += [s.column for s in _all_stats(plan) + (list(plan.latest.stats) if plan.latest else []) if s.column]
+    wanted += [plan.recency.order] if plan.recency else []
+    wanted += [plan.latest.order, *plan.latest.ties] if plan.latest else []
+    return list(dict.fromkeys(wanted))
+
+
+def _is_derived(df: DataFrame) -> bool:
+    """True if reading the rows again would repeat a join, a grouping or a window."""
+    return bool(re.search(r"\b(Join|Aggregate|Window|Generate)\b", df._jdf.queryExecution().optimizedPlan().toString()))
+
+
 def roll_up(df: DataFrame, plan: Rollup) -> DataFrame:
-    """One row per key with every column of the plan."""
+    """One row per key with every column of the plan.
+
+    Cells, newest rows and distinct values each read the history. If it is not a plain table its needed columns are
+    written first, so that what it is made of is read and shuffled once.
+    """
     dims = _dimensions(plan)
     cell_parts = _partials(_all_stats(plan) + (list(plan.latest.stats) if plan.latest else []))
+    if (plan.latest or plan.distinct) and _is_derived(df):
+        df = settle(df.select(*map(as_column, _columns_of(plan))), "history")
     branches = [_cell_rows(df, plan, cell_parts, dims)]
     if plan.latest:
         branches.append(_latest_rows(df, plan, cell_parts, dims))
