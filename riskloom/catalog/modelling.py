@@ -137,7 +137,7 @@ FEATURES = [f"e{i}" for i in range(64)]
 @query("m15_nearest_neighbors", "WITH " + _NEAR.format(where="TRUE") + f" SELECT query, neighbor, rank, {r('distance')} AS distance FROM near WHERE rank <= 5")
 def neighbors(spark, folder):
     df = table(spark, folder, "embeddings")
-    return rounded_table(nearest(df, df, "vec_id", "embedding", 5))
+    return rounded_table(nearest(df, df, "vec_id", "embedding", 5, exact=True))
 
 
 _BALANCED = "SELECT {a} AS y, CAST(0 AS BIGINT) AS synthetic, count(*) AS \"rows\" FROM embeddings GROUP BY 1 UNION ALL SELECT CAST(1 AS BIGINT), 1, count(*) FILTER (WHERE label <> 0) - count(*) FILTER (WHERE label = 0) FROM embeddings"
@@ -149,14 +149,14 @@ def _tally(df):
 
 @query("m12_smote", _BALANCED.format(a="CAST(label = 0 AS BIGINT)"))
 def smote(spark, folder):
-    return _tally(bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "smote"))
+    return _tally(bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "smote", exact=True))
 
 
 @query("m13_borderline_seeds", "WITH " + _NEAR.format(where="a.rare") + """, o AS (SELECT query AS id, count(*) FILTER (WHERE NOT rare) AS others FROM near WHERE rank <= 10 GROUP BY 1)
  SELECT id, others, CAST(others * 2 >= 10 AND others < 10 AS BIGINT) AS danger FROM o""")
 def borderline_seeds(spark, folder):
     df = _rare(spark, folder).select(F.col("vec_id").alias("id"), (F.col("y") == 1).alias("rare"), F.col("embedding").alias("vec"))
-    around = bal.majority_share(df.where("rare"), df, 10, SEED)
+    around = bal.majority_share(df.where("rare"), df, 10, SEED, exact=True)
     return around.withColumn("danger", ((F.col("others") * 2 >= 10) & (F.col("others") < 10)).cast("long"))
 
 
@@ -164,7 +164,7 @@ def borderline_seeds(spark, folder):
  SELECT CAST(label = 0 AS BIGINT) AS y, CAST(0 AS BIGINT) AS synthetic, count(*) AS "rows" FROM embeddings GROUP BY 1
  UNION ALL SELECT CAST(1 AS BIGINT), 1, count(*) FILTER (WHERE label <> 0) - count(*) FILTER (WHERE label = 0) FROM embeddings HAVING (SELECT count(*) FROM o WHERE others * 2 >= 10 AND others < 10) > 0""")
 def borderline(spark, folder):
-    return _tally(bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "borderline_smote"))
+    return _tally(bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "borderline_smote", exact=True))
 
 
 @query("m14_adasyn", "WITH " + _NEAR.format(where="a.rare") + """, o AS (SELECT query AS id, count(*) FILTER (WHERE NOT rare) AS others FROM near WHERE rank <= 5 GROUP BY 1),
@@ -172,7 +172,7 @@ def borderline(spark, folder):
  SELECT id, draws FROM d WHERE draws > 0""")
 def adasyn(spark, folder):
     """How many rows are made from each rare row."""
-    made = bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "adasyn")
+    made = bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "adasyn", exact=True)
     return made.where("is_synthetic").groupBy(F.col("vec_id").alias("id")).agg(F.count(F.lit(1)).alias("draws"))
 
 

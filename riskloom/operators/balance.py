@@ -51,11 +51,12 @@ def _minority(counts: dict):
 
 
 def oversample(df: DataFrame, label: str, key: str, features: Sequence[str], strategy: str = "smote",
-               neighbors: int = 5, seed: int = 42, border_neighbors: int = 10) -> DataFrame:
+               neighbors: int = 5, seed: int = 42, border_neighbors: int = 10, exact: bool = False) -> DataFrame:
     """Original rows plus synthetic minority rows ``x + u * (neighbour - x)``.
 
     Output: (source key, label, features, is_synthetic). The three strategies
-    differ in which minority rows are used and how often.
+    differ in which minority rows are used and how often. Neighbours are found
+    by hashing unless ``exact`` (see ``neighbors.nearest``).
     """
     counts = class_counts(df, label)
     rare, needed = _minority(counts)
@@ -71,23 +72,23 @@ def oversample(df: DataFrame, label: str, key: str, features: Sequence[str], str
         "rows",
     )
     rare_rows = vectors.where("rare")
-    draws = seed_draws(vectors, rare_rows, strategy, needed, neighbors, seed, border_neighbors)
-    return kept.unionByName(_synthesize(rare_rows, draws, key, label, rare, features, neighbors, seed, plain))
+    draws = seed_draws(vectors, rare_rows, strategy, needed, neighbors, seed, border_neighbors, exact)
+    return kept.unionByName(_synthesize(rare_rows, draws, key, label, rare, features, neighbors, seed, plain, exact))
 
 
-def seed_draws(vectors, rare_rows, strategy: str, needed: int, neighbors: int, seed: int, border_neighbors: int):
+def seed_draws(vectors, rare_rows, strategy: str, needed: int, neighbors: int, seed: int, border_neighbors: int, exact: bool = False):
     """(id, draws): how many synthetic rows start from each minority row."""
     if strategy == "smote":
         return _even_draws(rare_rows.select("id"), needed, seed)
     if strategy == "borderline_smote":
-        around = majority_share(rare_rows, vectors, border_neighbors, seed)
+        around = majority_share(rare_rows, vectors, border_neighbors, seed, exact)
         danger = around.where((F.col("others") * 2 >= border_neighbors) & (F.col("others") < border_neighbors)).select("id")
         danger = settle(danger, "danger")
         if danger.isEmpty():
             raise ValueError("borderline_smote found no row of the smaller class near the border")
         return _even_draws(danger, needed, seed)
     if strategy == "adasyn":
-        around = settle(majority_share(rare_rows, vectors, neighbors, seed), "around")
+        around = settle(majority_share(rare_rows, vectors, neighbors, seed, exact), "around")
         total = around.agg(F.sum("others").alias("t")).first()["t"]
         if not total:
             raise ValueError("adasyn found no row of the larger class near a row of the smaller one")
@@ -96,9 +97,9 @@ def seed_draws(vectors, rare_rows, strategy: str, needed: int, neighbors: int, s
     raise ValueError(f"unknown sampler {strategy!r}; known: {SAMPLERS}")
 
 
-def majority_share(rare_rows: DataFrame, vectors: DataFrame, neighbors: int, seed: int) -> DataFrame:
+def majority_share(rare_rows: DataFrame, vectors: DataFrame, neighbors: int, seed: int, exact: bool = False) -> DataFrame:
     """(id, others): majority rows among the nearest neighbours of each minority row."""
-    found = nearest(rare_rows, vectors, "id", "vec", neighbors, seed)
+    found = nearest(rare_rows, vectors, "id", "vec", neighbors, seed, exact)
     flags = vectors.select(F.col("id").alias("neighbor"), "rare")
     return found.join(flags, "neighbor").groupBy(F.col("query").alias("id")).agg(F.count_if(~F.col("rare")).alias("others"))
 
@@ -112,8 +113,8 @@ def _even_draws(ids: DataFrame, needed: int, seed: int) -> DataFrame:
     return ranked.select("id", draws.alias("draws")).where("draws > 0")
 
 
-def _synthesize(rare_rows, draws, key, label, rare, features, neighbors, seed, plain) -> DataFrame:
-    found = settle(nearest(rare_rows, rare_rows, "id", "vec", neighbors, seed), "near")
+def _synthesize(rare_rows, draws, key, label, rare, features, neighbors, seed, plain, exact) -> DataFrame:
+    found = settle(nearest(rare_rows, rare_rows, "id", "vec", neighbors, seed, exact), "near")
     available = found.groupBy(F.col("query").alias("id")).agg(F.max("rank").alias("available"))
     # long runs of draws are cut into chunks first, so one heavy row is shared out over tasks
     chunks = draws.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("draws") - 1, F.lit(CHUNK).cast("long"))))

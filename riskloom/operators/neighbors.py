@@ -1,9 +1,11 @@
-"""Exact nearest neighbours by pivot cells.
-
-Vectors are grouped around a bounded set of pivots. The triangle inequality
-tells from the distances to the pivots which cells can still hold one of the k
-nearest vectors; only those cells are compared, in blocks of bounded size. Equal
-vectors are compared once, so a large group of copies is a single candidate.
+"""Nearest neighbours by hash tables of random planes, or exactly by pivot cells.
+
+By default vectors are compared within the buckets of several hash tables. On
+request, and for queries whose buckets hold too few points, the search is exact:
+vectors are grouped around a bounded set of pivots, and the triangle inequality
+tells which cells can still hold one of the k nearest. Either way buckets are
+compared in blocks of bounded size, and equal vectors once, so a large group of
+copies is a single candidate.
 """
 
 from __future__ import annotations
@@ -27,14 +29,23 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_PIVOTS = 256
 BLOCK_ROWS = 2_000
+BUCKET_ROWS = 1_000
 SLACK = 1e-9
 
 
-def nearest(queries: DataFrame, points: DataFrame, key: str, vector: str, k: int, seed: int = 42) -> DataFrame:
+def nearest(queries: DataFrame, points: DataFrame, key: str, vector: str, k: int, seed: int = 42, exact: bool = False,
+            tables: int = 12, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(query, neighbor, rank, distance): the k nearest other points of each query row.
 
     Euclidean; equal distances are ordered by neighbour key, and a row is never
     its own neighbour. ``key`` is unique in both inputs.
+
+    Points are compared with the queries that share a bucket with them in one of
+    ``tables`` tables of random planes, as many planes as leave about
+    ``bucket_rows`` points in a bucket; up to ``bucket_rows`` points are one
+    bucket, which is exact. Queries that find fewer than k points this way are
+    answered exactly. ``exact`` asks for that throughout, which in many
+    dimensions compares nearly all pairs.
     """
     want = k + 1
     points, queries = _narrow(points, key, vector), _narrow(queries, key, vector)
@@ -44,10 +55,15 @@ def nearest(queries: DataFrame, points: DataFrame, key: str, vector: str, k: int
 
     total = groups.count()
     pivots = _pivots(groups, min(MAX_PIVOTS, max(1, math.isqrt(total))), seed)
-    cells = settle(_assign(groups.select("vid", "vec", F.size("ids").alias("copies")), pivots), "cells")
-    reach, sizes, close = _cell_facts(cells, want)
-    asked = settle(_candidate_cells(query_groups, pivots, reach, close, want), "candidates")
-    pairs = _compare(asked, cells, sizes, want)
+    if exact or total <= bucket_rows:
+        pairs = _by_pivots(query_groups, groups, pivots, want)
+    else:
+        pairs = settle(_by_hashing(query_groups, groups, pivots, total, want, tables, bucket_rows, seed), "hashed")
+        copies = groups.select("vid", F.size("ids").alias("copies"))
+        found = pairs.join(copies, "vid").groupBy("qid").agg(F.sum("copies").alias("found")).where(F.col("found") >= want)
+        short = settle(query_groups.join(found, "qid", "left_anti"), "short")
+        if not short.isEmpty():
+            pairs = pairs.join(short.select("qid"), "qid", "left_anti").unionByName(_by_pivots(short, groups, pivots, want))
 
     by_query = Window.partitionBy("qid").orderBy("distance", "vid")
     best = pairs.withColumn("r", F.row_number().over(by_query)).where(F.col("r") <= want)
@@ -100,13 +116,13 @@ def _assign(groups: DataFrame, pivots: np.ndarray) -> DataFrame:
 
 
 def _cell_facts(cells: DataFrame, want: int):
-    """Radius and size per cell, and the distances of the ``want`` vectors closest to its pivot."""
-    facts = {r["cell"]: r for r in cells.groupBy("cell").agg(F.max("away").alias("reach"), F.count(F.lit(1)).alias("n")).collect()}
+    """Radius per cell, and the distances of the ``want`` vectors closest to its pivot."""
+    reach = {r["cell"]: r["reach"] for r in cells.groupBy("cell").agg(F.max("away").alias("reach")).collect()}
     inner = Window.partitionBy("cell").orderBy("away", "vid")
     close: dict[int, list[float]] = {}
     for r in cells.withColumn("r", F.row_number().over(inner)).where(F.col("r") <= want).select("cell", "away", "copies").collect():
         close.setdefault(r["cell"], []).extend([r["away"]] * min(r["copies"], want))
-    return {c: r["reach"] for c, r in facts.items()}, {c: r["n"] for c, r in facts.items()}, close
+    return reach, close
 
 
 def _candidate_cells(query_groups, pivots, reach, close, want) -> DataFrame:
@@ -144,23 +160,22 @@ def _candidate_cells(query_groups, pivots, reach, close, want) -> DataFrame:
     return query_groups.mapInPandas(pick, f"vec array<double>, qid {kinds['qid']}, cell int")
 
 
-def _compare(asked: DataFrame, cells: DataFrame, sizes: dict[int, int], want: int) -> DataFrame:
-    """Best candidates per query and block; both sides of a block have a bounded size."""
-    load = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+def _compare(asked: DataFrame, cells: DataFrame, want: int) -> DataFrame:
+    """Best candidates per query and block; both sides of a block have a bounded size.
 
-    def parts(counts):
-        pairs = [f"{c}, {max(1, -(-n // BLOCK_ROWS))}" for c, n in sorted(counts.items())]
-        return F.expr(f"map({', '.join(pairs)})")
+    A cell with many points or queries is cut into parts on either side, by counts that are joined to it.
+    """
+    kinds = dict(asked.dtypes), dict(cells.dtypes)
+    parts = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias(name))
+    both = parts(cells, "pparts").join(parts(asked, "qparts"), "cell")
 
-    def spread(counter):
-        return F.explode(F.sequence(F.lit(0), counter - 1))
+    def spread(counter: str):
+        return F.explode(F.sequence(F.lit(0), F.col(counter) - 1))
 
-    point_parts = F.element_at(parts(sizes), F.col("cell"))
-    query_parts = F.coalesce(F.try_element_at(parts(load), F.col("cell")), F.lit(0))
-    left = asked.withColumn("qpart", F.pmod(F.xxhash64("qid"), query_parts).cast("int")).withColumn("ppart", spread(point_parts))
+    left = asked.join(both, "cell").withColumn("qpart", F.pmod(F.xxhash64("qid"), "qparts").cast("int")).withColumn("ppart", spread("pparts"))
     right = (
-        cells.select("vid", "vec", "cell").where(query_parts > 0)
-        .withColumn("ppart", F.pmod(F.xxhash64("vid"), point_parts).cast("int")).withColumn("qpart", spread(query_parts))
+        cells.select("vid", "vec", "cell").join(both, "cell")
+        .withColumn("ppart", F.pmod(F.xxhash64("vid"), "pparts").cast("int")).withColumn("qpart", spread("qparts"))
     )
 
     def best(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -176,7 +191,41 @@ def _compare(asked: DataFrame, cells: DataFrame, sizes: dict[int, int], want: in
         })
 
     where = ["cell", "ppart", "qpart"]
-    kinds = dict(asked.dtypes), dict(cells.dtypes)
-    return left.groupBy(*where).cogroup(right.groupBy(*where)).applyInPandas(
+    return left.select("qid", "vec", *where).groupBy(*where).cogroup(right.select("vid", "vec", *where).groupBy(*where)).applyInPandas(
         best, f"qid {kinds[0]['qid']}, vid {kinds[1]['vid']}, distance double"
     )
+
+
+def _hashed(df: DataFrame, key: str, planes: np.ndarray, middle: np.ndarray) -> DataFrame:
+    """One row per vector and table: ``cell`` is the table's number and the sides of its planes that the vector is on."""
+    tables, bits, _ = planes.shape
+    flat = planes.reshape(tables * bits, -1)
+    weights = np.int64(1) << np.arange(bits, dtype=np.int64)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                sides = (np.stack(batch["vec"].to_numpy()) - middle) @ flat.T > 0
+                codes = sides.reshape(len(batch), tables, bits) @ weights + (np.arange(tables, dtype=np.int64) << 40)
+                out = batch.loc[batch.index.repeat(tables)]
+                yield out.assign(cell=codes.ravel())
+
+    kinds = dict(df.dtypes)
+    return df.select(key, "vec").mapInPandas(place, f"{key} {kinds[key]}, vec array<double>, cell long")
+
+
+def _by_hashing(query_groups: DataFrame, groups: DataFrame, pivots: np.ndarray, total: int, want: int, tables: int, bucket_rows: int, seed: int) -> DataFrame:
+    """Candidates that share a bucket of random planes in at least one of the tables."""
+    bits = min(39, math.ceil(math.log2(total / bucket_rows)))
+    planes = np.random.default_rng(seed).normal(size=(tables, bits, pivots.shape[1]))
+    middle = pivots.mean(axis=0)
+    pairs = _compare(_hashed(query_groups, "qid", planes, middle), _hashed(groups, "vid", planes, middle), want)
+    return pairs.groupBy("qid", "vid").agg(F.min("distance").alias("distance"))
+
+
+def _by_pivots(query_groups: DataFrame, groups: DataFrame, pivots: np.ndarray, want: int) -> DataFrame:
+    """Candidates of all cells that the triangle inequality cannot rule out."""
+    cells = settle(_assign(groups.select("vid", "vec", F.size("ids").alias("copies")), pivots), "cells")
+    reach, close = _cell_facts(cells, want)
+    asked = settle(_candidate_cells(query_groups, pivots, reach, close, want), "candidates")
+    return _compare(asked, cells, want)
