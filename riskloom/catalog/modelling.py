@@ -152,6 +152,46 @@ def smote(spark, folder):
     return _tally(bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "smote", exact=True))
 
 
+def _on_segments(made, rows, near):
+    """(id, draws, on_segment): made rows of each source, and those on the way to one of its nearest rare neighbours."""
+    x = F.array(*[F.col(c) for c in FEATURES])
+    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda i, j: i * j), F.lit(0.0), lambda t, v: t + v)
+    minus = lambda p, q: F.zip_with(p, q, lambda i, j: i - j)
+    vectors = rows.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+    ways = (
+        near.select(F.col("query").alias("id"), "neighbor").join(vectors, "id").join(vectors.select(F.col("id").alias("neighbor"), F.col("vec").alias("other")), "neighbor")
+        .select("id", "vec", minus(F.col("other"), F.col("vec")).alias("way"))
+        .groupBy("id").agg(F.first("vec").alias("vec"), F.collect_list("way").alias("ways"))
+    )
+    placed = made.where("is_synthetic").select(F.col("vec_id").alias("id"), x.alias("x")).join(ways, "id").withColumn("step", minus(F.col("x"), F.col("vec")))
+
+    def along(way):
+        u = dot(F.col("step"), way) / dot(way, way)
+        off = minus(F.col("step"), F.transform(way, lambda v: v * u))
+        return (u >= -1e-9) & (u <= 1 + 1e-9) & (dot(off, off) < 1e-12)
+
+    return placed.groupBy("id").agg(F.count(F.lit(1)).alias("draws"), F.count_if(F.exists("ways", along)).alias("on_segment"))
+
+
+@query("m12_smote_segments", f"""WITH {_VECTORS}, n AS (SELECT count(*) FILTER (WHERE NOT rare) - count(*) FILTER (WHERE rare) AS needed, count(*) FILTER (WHERE rare) AS k FROM v),
+ d AS (SELECT vec_id AS id, needed // k + CASE WHEN row_number() OVER (ORDER BY md5('{SEED}|' || vec_id), vec_id) <= needed % k THEN 1 ELSE 0 END AS draws FROM v CROSS JOIN n WHERE rare)
+ SELECT id, CAST(draws AS BIGINT) AS draws, CAST(draws AS BIGINT) AS on_segment FROM d WHERE draws > 0""")
+def smote_segments(spark, folder):
+    """Every made row lies between its source and one of the five nearest rows of the rare class."""
+    rare = table(spark, folder, "embeddings").where("label = 0")
+    made = bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "smote", exact=True)
+    return _on_segments(made, rare, nearest(rare, rare, "vec_id", "embedding", 5, exact=True))
+
+
+@query("m14_adasyn_segments", "WITH " + _NEAR.format(where="a.rare") + """, o AS (SELECT query AS id, count(*) FILTER (WHERE NOT rare) AS others FROM near WHERE rank <= 5 GROUP BY 1),
+ n AS (SELECT CAST(count(*) FILTER (WHERE label <> 0) - count(*) FILTER (WHERE label = 0) AS DOUBLE) AS needed FROM embeddings), d AS (SELECT id, CAST(round_even(others / (SELECT CAST(sum(others) AS DOUBLE) FROM o) * needed, 0) AS BIGINT) AS draws FROM o CROSS JOIN n)
+ SELECT id, draws, draws AS on_segment FROM d WHERE draws > 0""")
+def adasyn_segments(spark, folder):
+    rare = table(spark, folder, "embeddings").where("label = 0")
+    made = bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "adasyn", exact=True)
+    return _on_segments(made, rare, nearest(rare, rare, "vec_id", "embedding", 5, exact=True))
+
+
 @query("m13_borderline_seeds", "WITH " + _NEAR.format(where="a.rare") + """, o AS (SELECT query AS id, count(*) FILTER (WHERE NOT rare) AS others FROM near WHERE rank <= 10 GROUP BY 1)
  SELECT id, others, CAST(others * 2 >= 10 AND others < 10 AS BIGINT) AS danger FROM o""")
 def borderline_seeds(spark, folder):
