@@ -200,7 +200,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int, chars: int) -
     return texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, sample_chars: int = 20_000, sentence_threshold: float = 0.5, keep_text: bool = False) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, sample_chars: int = 20_000, sentence_threshold: float = 0.5, keep_text: bool = False) -> DataFrame:
     """Probability that each whole text is toxic, and the sentences that make it so.
 
     Learns from ``labels.toxic`` of rows whose crc32(doc_id as text) mod 5 is not 0, on a bounded sample: at most
