@@ -23,7 +23,7 @@ from riskloom.llm import common as C
 SPACE = "▁"
 NONE = np.int64(2**40)
 #: Words whose ids a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 
 class PieceModel:
@@ -70,7 +70,10 @@ class PieceModel:
         shown = [bytes([int(names[i][3:5], 16)]) if given.is_byte(i) else b"" if given.is_control(i) else names[i].replace(SPACE, " ").encode() for i in range(n)]
         self.shown_at = np.concatenate([[0], np.cumsum([len(x) for x in shown])])
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
-        self.known: dict[str, tuple[int, ...]] = {}
+        # words met before: their numbers, names, uses, and their ids in one flat array
+        self.known: dict[str, int] = {}
+        self.names: list[str] = []
+        self.flat, self.sizes, self.starts, self.uses = (np.zeros(0, np.int64) for _ in range(4))
 
     def _joined(self, left: np.ndarray, right: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged piece of pairs; NONE where no piece is the two together."""
@@ -86,20 +89,34 @@ class PieceModel:
         return rank, piece
 
     @staticmethod
-    def _merge(symbol, word, char, piece, chosen):
-        out = symbol.copy()
-        out[chosen] = piece[chosen]
+    def _leftmost(match: np.ndarray) -> np.ndarray:
+        """Every second position of each run of matches, from its left end: pairs that do not overlap."""
+        run = np.flatnonzero(match & ~np.concatenate([[False], match[:-1]]))
+        place = np.zeros(len(match), np.int64)
+        place[run[0]:] = np.arange(run[0], len(match)) - np.repeat(run, np.diff(np.append(run, len(match))))
+        return match & (place % 2 == 0)
+
+    def _merged_arrays(self, symbol, word, char, rank, piece, chosen):
+        """The arrays after the chosen merges, and the positions whose pairs are new."""
+        symbol = np.where(chosen, piece, symbol)
         stay = np.ones(len(symbol), bool)
         stay[1:] = ~chosen[:-1]
-        return out[stay], word[stay], char[stay], chosen[stay]
-
-    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
+        symbol, word, char, rank, piece, made = (x[stay] for x in (symbol, word, char, rank, piece, chosen))
+        new = made.copy()
+        new[:-1] |= made[1:]
+        at = np.flatnonzero(new)
+        after = np.minimum(at + 1, len(symbol) - 1)
+        rank[at], piece[at] = self._joined(symbol[at], symbol[after], (after > at) & (word[at] == word[after]))
+        return (symbol, word, char, rank, piece), at
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and how many each word has."""
         sizes = np.array([len(w) for w in words])
         char = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
         symbol, word = self.of_char[char], np.repeat(np.arange(len(words)), sizes)
+        rank, piece = self._pairs(symbol, word)
         done = []
         while len(symbol):
-            rank, piece = self._pairs(symbol, word)
             first = np.flatnonzero(C.run_starts(word))
             best = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(word))))
             if (over := best == NONE).any():
@@ -107,56 +124,82 @@ class PieceModel:
                 symbol, word, char, rank, piece, best = (x[~over] for x in (symbol, word, char, rank, piece, best))
                 if not len(symbol):
                     break
-            match = rank == best
-            run = np.flatnonzero(match & ~np.concatenate([[False], match[:-1]]))
-            place = np.arange(len(match)) - np.repeat(run, np.diff(np.append(run, len(match)))) if run[0] == 0 else np.concatenate(
-                [np.zeros(run[0], np.int64), np.arange(run[0], len(match)) - np.repeat(run, np.diff(np.append(run, len(match))))])
-            chosen = match & (place % 2 == 0)
-            new = self._merge(symbol, word, char, piece, chosen)
-            several = np.bincount(word[chosen])[word] > 1
+            chosen = self._leftmost(rank == best)
+            arrays = symbol, word, char, rank, piece
+            now, at = self._merged_arrays(*arrays, chosen)
+            several = np.bincount(word[chosen], minlength=int(word[-1]) + 1) > 1
             if several.any():
-                after, _ = self._pairs(new[0], new[1])
-                limit = np.full(int(word[-1]) + 1, -1)
+                limit = np.full(len(several), -1)
                 limit[word] = best
-                touched = new[3] | np.concatenate([new[3][1:], [False]])
-                hasty = np.zeros(int(word[-1]) + 1, bool)
-                hasty[new[1][touched & (after <= limit[new[1]])]] = True
+                hasty = np.zeros(len(several), bool)
+                hasty[now[1][at[now[3][at] <= limit[now[1][at]]]]] = True
                 # what a merged symbol would have met, had the pair after it not been merged as well
                 i = np.flatnonzero(chosen[:-2] & chosen[2:] & (word[:-2] == word[2:]))
                 met, _ = self._joined(piece[i], symbol[i + 2], np.ones(len(i), bool))
                 hasty[word[i[met <= best[i]]]] = True
-                if (redo := hasty[word] & several).any():
-                    at = np.flatnonzero(chosen)
+                if (hasty & several).any():
+                    where = np.flatnonzero(chosen)
                     leading = np.zeros(len(chosen), bool)
-                    leading[at[C.run_starts(word[at])]] = True
-                    new = self._merge(symbol, word, char, piece, chosen & (leading | ~redo))
-            symbol, word, char = new[:3]
+                    leading[where[C.run_starts(word[where])]] = True
+                    now, _ = self._merged_arrays(*arrays, chosen & (leading | ~(hasty & several)[word]))
+            symbol, word, char, rank, piece = now
         word, symbol, char = (np.concatenate(x) for x in zip(*done))
         order = np.argsort(word, kind="stable")
         word, symbol, char = word[order], symbol[order], char[order]
-        out: list[tuple[int, ...]] = []
-        ids, chars, unknown = symbol.tolist(), char.tolist(), (symbol < 0) | (symbol >= self.size)
-        ends = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
-        some = np.add.reduceat(unknown, ends[:-1]).tolist()
-        for i in range(len(words)):
-            a, b = ends[i], ends[i + 1]
-            if not some[i]:
-                out.append(tuple(ids[a:b]))
-            else:
-                out.append(tuple(x for j in range(a, b) for x in ([self.byte_ids[y] for y in chr(chars[j]).encode()] if unknown[j] else [ids[j]])))
-        return out
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text, without begin or end ids."""
-        cut = [self.words.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        fresh = list({w for words in cut for w in words if w not in self.known})
+        unknown = np.flatnonzero((symbol < 0) | (symbol >= self.size))
+        if len(unknown):  # characters that are no piece become the pieces of their bytes
+            spelled = [[self.byte_ids[y] for y in chr(c).encode()] for c in char[unknown].tolist()]
+            times = np.ones(len(symbol), np.int64)
+            times[unknown] = [len(x) for x in spelled]
+            word, symbol = np.repeat(word, times), np.repeat(symbol, times)
+            starts = (np.cumsum(times) - times)[unknown]
+            own = np.array([len(x) for x in spelled])
+            symbol[np.arange(own.sum()) + np.repeat(starts - np.cumsum(own) + own, own)] = [y for x in spelled for y in x]
+        return symbol, np.bincount(word, minlength=len(words))
+
+    def _remember(self, words: list[str]) -> None:
+        """Adds words; when there are too many, those met only once since the last time are forgotten."""
+        fresh = [w for w in words if w not in self.known]
         if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = list({w for words in cut for w in words})
+            keep = np.flatnonzero(self.uses[:len(self.names)] > 1)
+            ids, sizes = self._gather(keep), self.sizes[keep]
+            self.names = [self.names[i] for i in keep.tolist()] if len(keep) + len(fresh) <= REMEMBERED else []
+            if not self.names:
+                ids, sizes = ids[:0], sizes[:0]
+            self.known = {w: i for i, w in enumerate(self.names)}
+            self.flat, self.sizes, self.uses = ids, sizes, np.zeros(len(sizes), np.int64)
+            fresh = [w for w in words if w not in self.known]
         if fresh:
-            self.known.update(zip(fresh, self.encode_words(fresh)))
-        known = self.known
-        return [[i for w in words for i in known[w]] for words in cut]
+            ids, sizes = self.encode_words(fresh)
+            self.known.update(zip(fresh, range(len(self.names), len(self.names) + len(fresh))))
+            self.names += fresh
+            self.flat, self.sizes = np.concatenate([self.flat, ids]), np.concatenate([self.sizes, sizes])
+            self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def _gather(self, numbers: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[numbers] - ends + sizes, sizes)]
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, without begin or end ids, and where each text's ids start (and the end)."""
+        cut = [self.words.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        self._remember(list({w for words in cut for w in words if w not in self.known}) or [])
+        try:
+            numbers = np.array([self.known[w] for words in cut for w in words], np.int64)
+        except KeyError:  # some known words were forgotten to make room
+            self._remember(list({w for words in cut for w in words}))
+            numbers = np.array([self.known[w] for words in cut for w in words], np.int64)
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
+        per_text = np.concatenate([[0], np.cumsum([len(words) for words in cut])]).astype(np.int64)
+        upto = np.concatenate([[0], np.cumsum(self.sizes[numbers])])
+        return self._gather(numbers), upto[per_text]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text."""
+        ids, at = self.encode_flat(texts)
+        return [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:])]
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids; the space that stands for the dummy prefix goes, bytes are joined to characters."""
@@ -182,11 +225,9 @@ def _tokens(model):
         own = _model(model.value)
         for batch in batches:
             for a, b in C.chunks(batch):
-                ids = own.encode(batch.column("text").slice(a, b - a).to_pylist())
-                at = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(at[-1]))
-                texts = [own.decode(flat[i:j].astype(np.int64)) for i, j in zip(at[:-1], at[1:])]
-                yield C.carried(batch, a, b - a, ids=pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), decoded=pa.array(texts, pa.string()))
+                ids, at = own.encode_flat(batch.column("text").slice(a, b - a).to_pylist())
+                texts = [own.decode(ids[i:j]) for i, j in zip(at[:-1], at[1:])]
+                yield C.carried(batch, a, b - a, ids=pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32))), decoded=pa.array(texts, pa.string()))
 
     return rows
 

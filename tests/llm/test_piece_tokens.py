@@ -36,3 +36,13 @@ def test_rows(spark, pair):
     assert sorted(((r.doc_id, r.ids, r.decoded) for r in got.collect()), key=repr) == expected
     assert got.first().rest.key == "y"
     assert encode_and_decode(frame(spark, []), tokenizer_path(PIECES)).collect() == []
+
+
+def test_forgetting_words_changes_nothing(pair, monkeypatch):
+    monkeypatch.setattr("riskloom.llm.piece_tokens.REMEMBERED", 60)
+    own, given = PieceModel(open(tokenizer_path(PIECES), "rb").read()), pair[1]
+    r = random.Random(8)
+    vocabulary = ["".join(r.choice("abcdé日 ") for _ in range(r.randint(1, 6))) for _ in range(150)]
+    for _ in range(40):
+        texts = [" ".join(r.choice(vocabulary[: r.choice((10, 150))]) for _ in range(r.randint(0, 30))) for _ in range(6)]
+        assert own.encode(texts) == [given.encode(t) for t in texts]
