@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import common as C
+from riskloom.session import settle
 
 SEGMENT = 1 << 16
 
@@ -167,7 +168,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, filter_
     )
     filters = docs.sparkSession.sparkContext.broadcast((filter_bits, {r.segment: bytes(r.again) for r in merged.collect()}))
     suspects = named.mapInArrow(_suspects(min_chars, filters), "key binary, doc_id long")
-    repeated = suspects.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs)
+    # written, so that the join below reads a plain table and adaptive execution can split a line that very many documents hold
+    repeated = settle(suspects.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs), "repeated-lines")
     drops = (
         suspects.join(repeated, "key").where(F.col("doc_id") < F.col("keeper"))
         .groupBy("doc_id").agg(F.collect_list("key").alias("drops"))
