@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -69,7 +70,7 @@ class NoisyOr:
                 if known:
                     own.update(known)
             if own:
-                z[i] += sum(weight[f] for f in own)
+                z[i] += fsum(weight[f] for f in own)
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
     @staticmethod
