@@ -110,13 +110,31 @@ def report_and_fail(spark, folder):
 
 _FINAL = ("target_present.final_train", "target_absent.final_test", "binary_target.final_train", "unique_id.final_train", "unique_id.final_test",
           "feature_alignment.final_test", "no_nulls.final_train", "no_nulls.final_test", "no_invalid_numeric.final_train", "no_invalid_numeric.final_test")
-_ANNUITY_OK = "(SELECT count(*) FILTER (WHERE AMT_ANNUITY IS NULL) = 0 FROM {t})"
+_FINAL_SQL = {
+    "binary_target": "(SELECT count(*) FILTER (WHERE TARGET IS NULL OR TARGET NOT IN (0, 1)) = 0 FROM {t})",
+    "unique_id": f"(SELECT count(*) = count(DISTINCT {KEY}) AND count(*) FILTER (WHERE {KEY} IS NULL) = 0 FROM {{t}})",
+    "no_nulls": "((SELECT count(*) FROM {t} WHERE COLUMNS(*) IS NOT NULL) = (SELECT count(*) FROM {t}))",
+}
 
 
-@query("q09_final_checks", f"WITH {m.APPLICATION_SQL}, {m.SPLIT_SQL} " + " UNION ALL ".join(
-    f"SELECT '{n}' AS name, CAST({_ANNUITY_OK.format(t=n.split('_')[-1]) if n.startswith('no_nulls') else 'TRUE'} AS BIGINT) AS passed" for n in _FINAL))
+def _final_sql(faulty: str) -> str:
+    return f"WITH {m.APPLICATION_SQL}, {m.SPLIT_SQL.replace('FROM application', faulty)} " + " UNION ALL ".join(
+        f"SELECT '{n}' AS name, CAST({_FINAL_SQL.get(n.split('.')[0], 'TRUE').format(t=n.split('_')[-1])} AS BIGINT) AS passed" for n in _FINAL)
+
+
+@query("q09_final_checks", _final_sql("FROM application"))
 def final_checks(spark, folder):
-    df = m.application(spark, folder).select(KEY, "TARGET", "AMT_CREDIT", "AMT_ANNUITY")
+    """All columns of the customers, of which many have nulls."""
+    df = m.application(spark, folder)
+    return _rows(spark, qc.final_table_checks(m.train_rows(df), m.test_rows(df), KEY, "TARGET"))
+
+
+@query("q09_final_checks_of_filled", _final_sql(f"FROM (SELECT {KEY} - CAST({KEY} % 100 = 7 AS INT) * 5 AS {KEY}, TARGET + CAST({KEY} % 50 = 3 AS INT) * 2 AS TARGET, AMT_CREDIT FROM application)"))
+def final_checks_of_filled(spark, folder):
+    """Columns without nulls, but with repeated ids and targets that are neither 0 nor 1."""
+    key = F.col(KEY)
+    df = m.application(spark, folder).select(
+        (key - (key % 100 == 7).cast("int") * 5).alias(KEY), (F.col("TARGET") + (key % 50 == 3).cast("int") * 2).alias("TARGET"), "AMT_CREDIT")
     return _rows(spark, qc.final_table_checks(m.train_rows(df), m.test_rows(df), KEY, "TARGET"))
 
 
