@@ -24,25 +24,37 @@ def _with(value: Column, use) -> Column:
 def signature(text: Column, k: int = 5, sample: int = 48, components: int = 64) -> Column:
     """array<int> of tuple hashes; texts without words give the hashes of no element.
 
-    Only k-mers below a hash bound that lets about three samples through are sorted; if they turn out to be fewer than
-    the sample, all are.
+    An element is a k-mer and the number of its occurrence, and its hash is of both; the first occurrence has the hash of
+    the k-mer. All k-mers are numbered before any is left out; a text without repeats needs no numbers. Only elements below
+    a hash bound that lets about three samples through are sorted; if they turn out to be fewer than the sample, all are.
     """
+    element = lambda e, i: F.struct(e.alias("e"), i.alias("i"))
 
     def of_kmers(kmers: Column) -> Column:
         share = F.lit(3.0 * sample) / F.greatest(F.size(kmers), F.lit(1))
         below = F.when(share >= 0.99, F.lit(2**63 - 1)).otherwise((F.lit(LOWEST) + share * (2.0**64)).cast("long"))
-        element = lambda h, i: F.struct(h.alias("h"), i.alias("i"))
 
-        def smallest(few: Column) -> Column:
-            enough = F.size(few) >= F.least(F.lit(sample), F.size(kmers))
-            return F.slice(F.array_sort(F.when(enough, few).otherwise(F.transform(kmers, element))), 1, sample)
+        def smallest(few: Column, every: Column) -> Column:
+            return _with(few, lambda f: F.slice(F.array_sort(F.when(F.size(f) >= F.least(F.lit(sample), F.size(kmers)), f).otherwise(every)), 1, sample))
 
-        few = F.array_compact(F.transform(kmers, lambda h, i: F.when(h <= below, element(h, i))))
-        return _with(_with(few, smallest), numbered)
+        repeated = _with(numbered(kmers), lambda every: smallest(F.filter(every, lambda x: x["e"] <= below), every))
+        single = smallest(
+            F.array_compact(F.transform(kmers, lambda h, i: F.when(h <= below, element(h, i)))), F.transform(kmers, lambda h, i: element(h, i)))
+        return F.when(F.size(F.array_distinct(kmers)) < F.size(kmers), repeated).otherwise(single)
 
-    def numbered(sampled: Column) -> Column:
-        return _with(F.transform(sampled, lambda x: x["h"]), lambda hs: F.transform(sampled, lambda x, j: F.struct(
-            x["h"].alias("h"), x["i"].alias("i"), (F.lit(j) + 1 - F.array_position(hs, x["h"])).alias("occurrence"))))
+    def numbered(kmers: Column) -> Column:
+        """Elements of all k-mers, from runs of equal ones in an array sorted by hash and place."""
+        def runs(ordered: Column) -> Column:
+            starts = F.array_compact(F.transform(ordered, lambda x, j: F.when((j == 0) | (x["h"] != F.get(ordered, j - 1)["h"]), j)))
+
+            def run(starts: Column, first: Column, g: Column) -> Column:
+                places = F.sequence(first, F.coalesce(F.get(starts, g + 1), F.size(ordered)) - 1)
+                return F.transform(places, lambda p, n: _with(F.get(ordered, p), lambda x: element(
+                    F.when(n == 0, x["h"]).otherwise(F.xxhash64(x["h"], n)), x["i"])))
+
+            return _with(starts, lambda s: F.flatten(F.transform(s, lambda first, g: run(s, first, g))))
+
+        return _with(F.sort_array(F.transform(kmers, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), runs)
 
     def tuples(elements: Column) -> Column:
         def one(p: Column) -> Column:
@@ -52,11 +64,11 @@ def signature(text: Column, k: int = 5, sample: int = 48, components: int = 64)
                     second = F.array_min(F.filter(order, lambda v: v > first))
                     b = F.get(elements, (F.array_position(order, second) - 1).cast("int"))
                     return _with(F.struct(a.alias("a"), b.alias("b")), lambda t: F.when(
-                        t["b"]["i"] < t["a"]["i"], F.xxhash64(t["b"]["h"], t["a"]["h"], p)).otherwise(F.xxhash64(t["a"]["h"], t["b"]["h"], p)))
+                        t["b"]["i"] < t["a"]["i"], F.xxhash64(t["b"]["e"], t["a"]["e"], p)).otherwise(F.xxhash64(t["a"]["e"], t["b"]["e"], p)))
 
                 return _with(F.array_min(order), both)
 
-            return _with(F.transform(elements, lambda x: F.xxhash64(x["h"], x["occurrence"], p)), pair).bitwiseAND(F.lit(2**31 - 1)).cast("int")
+            return _with(F.transform(elements, lambda x: F.xxhash64(x["e"], p)), pair).bitwiseAND(F.lit(2**31 - 1)).cast("int")
 
         return F.transform(F.sequence(F.lit(1), F.lit(components)), one)
 

@@ -58,3 +58,15 @@ def test_likeness_falls_with_edits(spark):
         rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
     got = {r.doc_id: r.near_next for r in result(spark, rows)}
     assert got[0] == 1.0 and got[0] > got[2] > got[4] >= got[6] and got[2] > 0.5
+
+
+def test_repeated_words_are_counted(spark):
+    """Repeats are elements of their own before the sample is taken."""
+    head = prose(4, 200)
+    rows = [(1, "la " * 1_000), (2, "la " * 100_000), (3, "same words " * 4_000), (4, "same words " * 1_000), (5, "la " * 5_000 + head), (6, "la " * 5_000 + prose(5, 200))]
+    got = {r.doc_id: r for r in result(spark, rows)}
+    assert len({r.fingerprint for r in got.values()}) == 6
+    assert got[1].near_next < 0.2 and got[3].near_next < 0.4
+    assert got[5].near_next > 0.5  # 5,000 of about 5,200 elements are the same
+    halves = result(spark, [(1, "la " * 1_000), (2, "la " * 1_020)])
+    assert halves[0].near_next > 0.6  # 996 of 1,016 elements are the same
