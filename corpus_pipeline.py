@@ -24,9 +24,19 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
-def _but(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of documents without those of the ids; a missing id is an id too."""
-    return docs.join(ids.select(F.col("doc_id").alias("gone_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Documents with a number of their own for each row, written so that it stays the same; ids may be missing or repeated."""
+    return settle(_documents(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """What an operator needs to decide on each row: its text, and its number in place of the id."""
+    return rows.select(F.col("row").alias("doc_id"), "text")
+
+
+def _but(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows without those of the given numbers."""
+    return _documents(rows.join(gone.select("row"), "row", "left_anti"))
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +52,22 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id."""
-    found = near_duplicates(_documents(docs))
-    return _but(_documents(docs), found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """Of each group of near-duplicates one row, that with the smallest id; a row without id comes before all others.
+
+    Of several rows with that id the one with the smallest hash of all columns stays.
+    """
+    rows = _numbered(docs)
+    found = near_duplicates(_by_row(rows)).select(F.col("doc_id").alias("row"), "component_id")
+    order = rows.select("row", F.struct("doc_id", F.xxhash64(*COLUMNS).alias("hash"), "row").alias("place"))
+    kept = found.join(order, "row").groupBy("component_id").agg(F.min("place").alias("first")).select(F.col("first.row").alias("row"))
+    return _but(rows, rows.select("row").join(kept, "row", "left_anti"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
-    found = find_contamination(_documents(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _but(_documents(docs), found.where("contaminated"))
+    """Documents in which no window of a benchmark item occurs; every row is judged by its own text."""
+    rows = _numbered(docs)
+    found = find_contamination(_by_row(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _but(rows, found.where("contaminated").select(F.col("doc_id").alias("row")))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

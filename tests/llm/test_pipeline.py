@@ -55,3 +55,24 @@ def test_nulls_and_nothing(spark, folder, tmp_path):
         for _, stage in P.STAGES:
             now = stage(spark, now, folder)
         now.collect()
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_missing_and_repeated_ids_lose_no_clean_row(spark, folder):
+    item = next(r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").where("item_id is not null").collect() if len((r.text or "").split()) > 20)
+    rows = [(None, item), (None, "clean without an id"), (None, None), (1, "x " + item), (1, "clean with the same id"), (1, "clean with the same id"), (2, "clean"), (3, item)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS).repartition(3)
+    got = dict(P.STAGES)["decontamination"](spark, docs, folder)
+    assert rows_of(got) == sorted([r for r in rows if item not in (r[1] or "")], key=repr) and got.columns == docs.columns
+
+
+def test_one_row_of_each_group_stays(spark, folder):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(60)) for w in "abcd")
+    rows = [(None, a), (None, a), (5, a), (1, a), (None, b), (2, c), (2, c), (2, d), (4, d), (3, c), (7, a + " " + b), (6, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS).repartition(3)
+    got = dict(P.STAGES)["near_dedup"](spark, docs, folder)
+    assert rows_of(got) == sorted([(None, a), (None, b), (2, c), (2, d), (7, a + " " + b), (6, None)], key=repr)
+    empty = spark.createDataFrame([], DOCS)
+    assert dict(P.STAGES)["near_dedup"](spark, empty, folder).collect() == []
