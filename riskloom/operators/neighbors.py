@@ -30,6 +30,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_PIVOTS = 256
 BLOCK_ROWS = 2_000
 BUCKET_ROWS = 1_000
+#: Share of the true neighbours that hashing must find, on so many queries that are answered exactly for comparison.
+RECALL = 0.9
+RECALL_QUERIES = 500
 SLACK = 1e-9
 
 
@@ -43,9 +46,11 @@ def nearest(queries: DataFrame, points: DataFrame, key: str, vector: str, k: int
     Points are compared with the queries that share a bucket with them in one of
     ``tables`` tables of random planes, as many planes as leave about
     ``bucket_rows`` points in a bucket; up to ``bucket_rows`` points are one
-    bucket, which is exact. Queries that find fewer than k points this way are
-    answered exactly. ``exact`` asks for that throughout, which in many
-    dimensions compares nearly all pairs.
+    bucket, which is exact. A sample of queries is answered exactly as well; as
+    long as less than RECALL of their neighbours are found the tables are
+    doubled, and where they would hold as much as all points every query is
+    answered exactly. So are queries that find fewer than k points. ``exact``
+    asks for that throughout, which in many dimensions compares nearly all pairs.
     """
     want = k + 1
     points, queries = _narrow(points, key, vector), _narrow(queries, key, vector)
@@ -55,10 +60,10 @@ def nearest(queries: DataFrame, points: DataFrame, key: str, vector: str, k: int
 
     total = groups.count()
     pivots = _pivots(groups, min(MAX_PIVOTS, max(1, math.isqrt(total))), seed)
-    if exact or total <= bucket_rows:
+    pairs = None if exact or total <= bucket_rows else _well_hashed(query_groups, groups, pivots, total, want, tables, bucket_rows, seed)
+    if pairs is None:
         pairs = _by_pivots(query_groups, groups, pivots, want)
     else:
-        pairs = settle(_by_hashing(query_groups, groups, pivots, total, want, tables, bucket_rows, seed), "hashed")
         copies = groups.select("vid", F.size("ids").alias("copies"))
         found = pairs.join(copies, "vid").groupBy("qid").agg(F.sum("copies").alias("found")).where(F.col("found") >= want)
         short = settle(query_groups.join(found, "qid", "left_anti"), "short")
@@ -223,6 +228,22 @@ def _by_hashing(query_groups: DataFrame, groups: DataFrame, pivots: np.ndarray,
     return pairs.groupBy("qid", "vid").agg(F.min("distance").alias("distance"))
 
 
+def _well_hashed(query_groups: DataFrame, groups: DataFrame, pivots: np.ndarray, total: int, want: int, tables: int, bucket_rows: int, seed: int) -> DataFrame | None:
+    """Candidates by as many tables as a measured recall of RECALL needs; None where all pairs are no more work."""
+    sample = settle(query_groups.orderBy(draw("qid", seed), "qid").limit(RECALL_QUERIES), "recall-queries")
+    order = Window.partitionBy("qid").orderBy("distance", "vid")
+    best = lambda df: df.withColumn("r", F.row_number().over(order)).where(F.col("r") <= want).select("qid", "vid", "distance")
+    # a vector always finds its own copies
+    true = settle(best(_by_pivots(sample, groups, pivots, want)).where(F.col("distance") > 0).select("qid", "vid"), "true-neighbours")
+    wanted = true.count()
+    while tables * bucket_rows < total:
+        tried = _by_hashing(sample, groups, pivots, total, want, tables, bucket_rows, seed)
+        if true.join(tried.select("qid", "vid"), ["qid", "vid"], "left_semi").count() >= RECALL * wanted:
+            return settle(_by_hashing(query_groups, groups, pivots, total, want, tables, bucket_rows, seed), "hashed")
+        tables *= 2
+    return None
+
+
 def _by_pivots(query_groups: DataFrame, groups: DataFrame, pivots: np.ndarray, want: int) -> DataFrame:
     """Candidates of all cells that the triangle inequality cannot rule out."""
     cells = settle(_assign(groups.select("vid", "vec", F.size("ids").alias("copies")), pivots), "cells")

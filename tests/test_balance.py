@@ -115,3 +115,17 @@ def test_queries_with_thin_buckets_are_answered_exactly(spark):
     assert len(got) == 14
     for q, g in got.groupby("query"):
         assert len(g) == 7
+
+
+def test_recall_of_vectors_without_clusters(spark):
+    """Gaussian vectors in 64 dimensions, of which few tables find too few neighbours."""
+    values = np.random.default_rng(3).normal(size=(3_000, 64))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "id long, v array<double>").repartition(4)
+    asked = table.where("id % 20 = 0")
+    got = {(r["query"], r["neighbor"]) for r in neighbors.nearest(asked, table, "id", "v", 5, tables=4, bucket_rows=100).collect()}
+    hits = 0
+    for q in range(0, 3_000, 20):
+        away = ((values - values[q]) ** 2).sum(axis=1)
+        away[q] = np.inf
+        hits += sum((q, int(i)) in got for i in np.argsort(away, kind="stable")[:5])
+    assert hits >= 0.9 * 5 * 150
