@@ -13,12 +13,15 @@ from riskloom.llm.decontaminate import find_contamination
 from riskloom.llm.line_dedup import dedup_lines
 from riskloom.llm.order_minhash import fingerprint_documents
 from riskloom.llm.piece_tokens import encode_and_decode
+from riskloom.llm.resample import resample
 from riskloom.llm.secrets import BASE, RULES, find_secrets
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.substring_dedup import dedup_substrings
+from riskloom.llm.token_counts import count_tokens
 from riskloom.llm.toxicity import score_toxicity
 
 PIECES = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
 QUERIES: dict[str, Query] = {}
 
 
@@ -108,3 +111,15 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_class_ngrams")
 def class_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
+
+
+@query("op12_target_resampling", sql.RESAMPLED)
+def target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    out = resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_token_counts")
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    with open(tokenizer_path(BYTES), encoding="utf-8") as file:
+        return count_tokens(table(spark, folder, "documents"), file.read())

@@ -78,3 +78,36 @@ SELECT d.doc_id, {counts},
   coalesce(string_agg({item}, ',' ORDER BY start_at, rule), '') AS spans
 FROM d LEFT JOIN kept USING (doc_id) GROUP BY d.doc_id
 """
+
+
+#: CRC-32 of a text's UTF-8 bytes; ``crc_table`` is a list of the 256 remainders, made by the rule itself.
+CRC_TABLE = """crc_table AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i))"""
+
+
+def crc(text: str) -> str:
+    """The checksum of a text column, where ``crc_table`` is at hand."""
+    octets = f"list_transform(range(1, 2 * CAST(strlen({text}) AS BIGINT), 2), lambda p: CAST('0x' || substr(hex({text}), CAST(p AS BIGINT), 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+RESAMPLED = rf"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+df AS (SELECT doc_id, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS f FROM d),
+bf AS (SELECT unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS f FROM b),
+known AS (SELECT f, {crc("f")} % 10000 AS bucket FROM (SELECT f FROM df UNION SELECT f FROM bf), crc_table),
+s AS (SELECT bucket, count(*) AS n FROM df JOIN known USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bf JOIN known USING (f) GROUP BY bucket),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM df) + 10000)
+  / ((coalesce(s.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM bf) + 10000)))) AS BIGINT) AS gain FROM s FULL JOIN t USING (bucket)),
+summed AS (SELECT doc_id, count(*) AS n, sum(gain) AS total FROM df JOIN known USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+weighed AS (SELECT d.doc_id, len(words) AS n_words, coalesce(n, 0) AS n_features, CAST(coalesce(floor(CAST(total AS DOUBLE) / n), 0) AS BIGINT) AS weight,
+  CAST('0x' || substr(sha256('7:' || d.doc_id), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN summed USING (doc_id)),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM weighed),
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM scored WHERE n_words >= 20)
+SELECT s.doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+  CASE WHEN place <= 25 * (SELECT count(*) FROM placed) // 100 THEN place END AS rank
+FROM scored s LEFT JOIN placed p ON s.doc_id = p.doc_id
+"""
