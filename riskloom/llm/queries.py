@@ -9,6 +9,7 @@ from riskloom.catalog.registry import Query, table
 from riskloom.llm import sql
 from riskloom.llm.chat import rotate_perspectives
 from riskloom.llm.class_ngrams import score_texts
+from riskloom.llm.conversation_trie import conversation_trie
 from riskloom.llm.decontaminate import find_contamination
 from riskloom.llm.line_dedup import dedup_lines
 from riskloom.llm.order_minhash import fingerprint_documents
@@ -113,6 +114,11 @@ def class_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
 
 
+@query("op11_conversation_trie", sql.TRIE)
+def trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(table(spark, folder, "conversations")).drop("size")
+
+
 @query("op12_target_resampling", sql.RESAMPLED)
 def target_resampling(spark: SparkSession, folder: str) -> DataFrame:
     out = resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

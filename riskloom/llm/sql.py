@@ -111,3 +111,26 @@ SELECT s.doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
   CASE WHEN place <= 25 * (SELECT count(*) FROM placed) // 100 THEN place END AS rank
 FROM scored s LEFT JOIN placed p ON s.doc_id = p.doc_id
 """
+
+TRIE = rf"""
+WITH {CRC_TABLE},
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+counts AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+c AS (SELECT a.conv_id, a.base, a.h, least(h, coalesce(b.n, 0)) AS led
+  FROM (SELECT conv_id, conv_id - conv_id % 5 AS base, {crc("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM counts, crc_table) a LEFT JOIN counts b ON a.base = b.conv_id),
+placed AS (SELECT c.conv_id, i AS pos, role, text FROM c JOIN t ON t.conv_id = base AND i < h
+  UNION ALL SELECT c.conv_id, led + i - h, role, text FROM c JOIN t USING (conv_id) WHERE i >= h),
+paths AS (SELECT c.conv_id, coalesce(list({{'r': role, 't': text}} ORDER BY pos) FILTER (WHERE pos IS NOT NULL), []) AS path FROM c LEFT JOIN placed USING (conv_id) GROUP BY c.conv_id),
+passed AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM paths),
+nodes AS (SELECT depth, path[1:depth] AS k, min(conv_id) AS conv_id, count(*) AS n, coalesce(any_value(strlen(path[depth].t)), 0) AS size,
+  coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(path) = depth), '') AS ends FROM passed GROUP BY ALL),
+kids AS (SELECT k[1:depth - 1] AS k, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(kids.n, 0) AS n_children FROM nodes n LEFT JOIN kids USING (k)),
+below AS (SELECT k[1:d] AS k, sum((n - 1) * size) AS saved, count(*) FILTER (WHERE n_children = 0) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM full_nodes) GROUP BY ALL)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs, CAST(n.n_children AS BIGINT) AS n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM full_nodes n JOIN below b ON n.k = b.k LEFT JOIN nodes p ON n.depth > 0 AND p.k = n.k[1:n.depth - 1]
+"""
