@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import factorial
+
 from pyspark.sql import functions as F
 
 from riskloom.catalog import mapping as m
-from riskloom.catalog.modelling import _DRAWN, KEY, LABEL, SEED, taken
+from riskloom.catalog.modelling import _DRAWN, _features, KEY, LABEL, PARAMS, SEED, SMALL, taken, training_table
 from riskloom.catalog.registry import query, r, rounded, rounded_table, table
 from riskloom.catalog.sources import PROBABILITY_SQL, WEIGHTS
 from riskloom.operators import explain as ex
 from riskloom.operators import metrics as mx
 from riskloom.operators import scoring as sc
 from riskloom.operators import training as tr
+from riskloom.operators import tree_explain as tx
 from riskloom.session import scratch_path
 from riskloom.sources import sinks
 from riskloom.streaming.scoring import open_stream, score_stream, write_stream
@@ -141,6 +145,76 @@ def summary(spark, folder):
     return found.select("feature", *[rounded(c, 6).alias(c) for c in ("mean_abs_shap", "mean_shap", "std_shap")], "native_importance", F.col("rank").cast("long").alias("rank"))
 
 
+_TREE_INPUTS = ["EXT_SOURCE_2", "AMT_CREDIT", "CNT_FAM_MEMBERS"]
+_TREES = [
+    tx.Tree([0, -1, 1, -1, -1], [0.4, 0, 20_000.0, 0, 0], [1, -1, 3, -1, -1], [2, -1, 4, -1, -1], [0, 0.4, 0, -0.2, 0.9], []),
+    tx.Tree([1, 0, -1, -1, 1, -1, 2, -1, -1], [15_000.0, 0.6, 0, 0, 30_000.0, 0, 2.5, 0, 0], [1, 2, -1, -1, 5, -1, 7, -1, -1],
+            [4, 3, -1, -1, 6, -1, 8, -1, -1], [0, 0, -0.5, 0.3, 0, 0.1, 0, 0.7, -0.6], []),
+]
+
+
+def _subset_value(tree: tx.Tree, number: int, known: frozenset, node: int = 0) -> str:
+    """The expected output of a tree where only some features are known, by its definition."""
+    f = tree.feature[node]
+    if f < 0:
+        return f"CAST({tree.value[node]} AS DOUBLE)"
+    low, high = (_subset_value(tree, number, known, child[node]) for child in (tree.left, tree.right))
+    if f in known:
+        return f"CASE WHEN {_TREE_INPUTS[f]} <= {tree.threshold[node]} THEN {low} ELSE {high} END"
+    return f"CASE WHEN n{number}_{node} = 0 THEN ({low} + {high}) / 2 ELSE (n{number}_{tree.left[node]} * {low} + n{number}_{tree.right[node]} * {high}) / n{number}_{node} END"
+
+
+def _cover_sql(tree: tx.Tree, number: int, node: int = 0, inside: str = "TRUE") -> list[str]:
+    out = [f"CAST(count(*) FILTER (WHERE {inside}) AS DOUBLE) AS n{number}_{node}"]
+    if tree.feature[node] >= 0:
+        low = f"coalesce({_TREE_INPUTS[tree.feature[node]]} <= {tree.threshold[node]}, FALSE)"
+        out += _cover_sql(tree, number, tree.left[node], f"{inside} AND {low}") + _cover_sql(tree, number, tree.right[node], f"{inside} AND NOT {low}")
+    return out
+
+
+def _shapley_sql(f: int) -> str:
+    """The average gain by a feature over all orders in which the features become known."""
+    others, n = [i for i in range(len(_TREE_INPUTS)) if i != f], len(_TREE_INPUTS)
+    value = lambda known: " + ".join(_subset_value(t, k, frozenset(known)) for k, t in enumerate(_TREES))
+    terms = [f"CAST({factorial(k)} * {factorial(n - k - 1)} AS DOUBLE) / {factorial(n)} * (({value((*s, f))}) - ({value(s)}))" for k in range(n) for s in combinations(others, k)]
+    return f"SELECT SK_ID_CURR, '{_TREE_INPUTS[f]}' AS feature, CAST({_TREE_INPUTS[f]} AS DOUBLE) AS value, {' + '.join(terms)} AS contribution FROM application CROSS JOIN covers"
+
+
+_TREE_CONTRIBUTIONS = f"WITH {m.APPLICATION_SQL}, covers AS (SELECT {', '.join(x for k, t in enumerate(_TREES) for x in _cover_sql(t, k))} FROM application), c AS ({' UNION ALL '.join(map(_shapley_sql, range(3)))})"
+
+
+def counted_trees(spark, folder) -> tx.TreeEnsemble:
+    """Two fixed trees over three features of the customers, one of them twice on a path."""
+    return tx.with_covers(m.application(spark, folder), tx.TreeEnsemble(_TREE_INPUTS, _TREES))
+
+
+@query("x01_tree_values", _TREE_CONTRIBUTIONS + f" SELECT SK_ID_CURR, feature, {r('value')} AS value, {r('contribution', 6)} AS contribution FROM c")
+def tree_values(spark, folder):
+    """Attributions of two trees, checked against the sum over all subsets of features."""
+    found = tx.tree_contributions(m.application(spark, folder), counted_trees(spark, folder), KEY)
+    return found.select(KEY, "feature", rounded("value").alias("value"), rounded("contribution", 6).alias("contribution"))
+
+
+@query("x02_tree_summary", _TREE_CONTRIBUTIONS + f""", s AS (SELECT feature, avg(abs(contribution)) AS a, avg(contribution) AS b, stddev_pop(contribution) AS d FROM c GROUP BY 1)
+ SELECT feature, {r('a', 6)} AS mean_abs_shap, {r('b', 6)} AS mean_shap, {r('d', 6)} AS std_shap, row_number() OVER (ORDER BY a DESC, feature) AS rank FROM s""")
+def tree_summary(spark, folder):
+    found = ex.contribution_summary(tx.tree_contributions(m.application(spark, folder), counted_trees(spark, folder), KEY))
+    return found.select("feature", *[rounded(c, 6).alias(c) for c in ("mean_abs_shap", "mean_shap", "std_shap")], F.col("rank").cast("long").alias("rank"))
+
+
+@query("x01_tree_contributions", f"WITH {m.APPLICATION_SQL} SELECT SK_ID_CURR, CAST(1 AS BIGINT) AS adds_up, CAST(1 AS BIGINT) AS all_features FROM application")
+def boosted_contributions(spark, folder):
+    """A boosted model on all features of the customers: attributions and base add up to the margin that Spark computes."""
+    df = training_table(spark, folder)
+    features = _features(df)
+    model = tr.fit_model("gbt", PARAMS, df, features, SMALL)
+    trees = tx.from_spark(model, features)
+    told = tx.tree_contributions(df, trees, KEY).groupBy(KEY).agg(F.sum("contribution").alias("told"), F.count(F.lit(1)).alias("n"))
+    scored = model.transform(tr.assemble(df, features)).select(KEY, (F.log(tr.positive_probability() / (1 - tr.positive_probability())) / 2).alias("margin"))
+    near = lambda a, b: (F.abs(a - b) < 1e-9).cast("long")
+    return told.join(scored, KEY).select(KEY, near(F.col("told") + trees.base, F.col("margin")).alias("adds_up"), (F.col("n") == len(features)).cast("long").alias("all_features"))
+
+
 @query("w02_report_rank", _CONTRIBUTIONS + " SELECT feature, row_number() OVER (ORDER BY avg(abs(contribution)) DESC, feature) AS rank FROM c GROUP BY 1")
 def report_rank(spark, folder):
     found = ex.contribution_summary(ex.linear_contributions(m.application(spark, folder), WEIGHTS, KEY))
