@@ -140,6 +140,21 @@ def neighbors(spark, folder):
     return rounded_table(nearest(df, df, "vec_id", "embedding", 5, exact=True))
 
 
+@query("m15_inverted_file", """WITH n AS (SELECT count(*) FILTER (WHERE vec_id % 20 = 0) AS queries FROM embeddings)
+ SELECT queries, 5 * queries AS "rows", 5 * queries AS in_order, CAST(1 AS BIGINT) AS recall_reached FROM n""")
+def inverted_neighbors(spark, folder):
+    """The default search for every 20th vector against all: five rows each, in order, and at least nine in ten of the true neighbours."""
+    df = table(spark, folder, "embeddings")
+    asked = df.where("vec_id % 20 = 0")
+    found = settle(nearest(asked, df, "vec_id", "embedding", 5, few=100), "found")
+    true = nearest(asked, df, "vec_id", "embedding", 5, exact=True).select("query", "neighbor", F.col("rank").alias("true_rank"))
+    both = found.join(true, ["query", "neighbor"], "left")
+    # a found neighbour is never nearer than its true rank says
+    facts = both.agg(F.count_distinct("query").alias("queries"), F.count(F.lit(1)).alias("rows"), F.count_if(F.coalesce("true_rank", F.lit(6)) >= F.col("rank")).alias("in_order"),
+                     F.count("true_rank").alias("hits"))
+    return facts.select("queries", "rows", "in_order", (F.col("hits") >= 0.9 * F.col("rows")).cast("long").alias("recall_reached"))
+
+
 _BALANCED = "SELECT {a} AS y, CAST(0 AS BIGINT) AS synthetic, count(*) AS \"rows\" FROM embeddings GROUP BY 1 UNION ALL SELECT CAST(1 AS BIGINT), 1, count(*) FILTER (WHERE label <> 0) - count(*) FILTER (WHERE label = 0) FROM embeddings"
 
 
@@ -207,6 +222,17 @@ def borderline(spark, folder):
     return _tally(bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "borderline_smote", exact=True))
 
 
+@query("m13_borderline_segments", "WITH " + _NEAR.format(where="a.rare") + f""", o AS (SELECT query AS id, count(*) FILTER (WHERE NOT rare) AS others FROM near WHERE rank <= 10 GROUP BY 1),
+ danger AS (SELECT id FROM o WHERE others * 2 >= 10 AND others < 10), n AS (SELECT count(*) FILTER (WHERE NOT rare) - count(*) FILTER (WHERE rare) AS needed, (SELECT count(*) FROM danger) AS k FROM v),
+ d AS (SELECT id, needed // k + CASE WHEN row_number() OVER (ORDER BY md5('{SEED}|' || id), id) <= needed % k THEN 1 ELSE 0 END AS draws FROM danger CROSS JOIN n)
+ SELECT id, CAST(draws AS BIGINT) AS draws, CAST(draws AS BIGINT) AS on_segment FROM d WHERE draws > 0""")
+def borderline_segments(spark, folder):
+    """Rows are made from the rare rows near the border only, each on the way to one of their five nearest rare rows."""
+    rare = table(spark, folder, "embeddings").where("label = 0")
+    made = bal.oversample(_wide(spark, folder), "y", "vec_id", FEATURES, "borderline_smote", exact=True)
+    return _on_segments(made, rare, nearest(rare, rare, "vec_id", "embedding", 5, exact=True))
+
+
 @query("m14_adasyn", "WITH " + _NEAR.format(where="a.rare") + """, o AS (SELECT query AS id, count(*) FILTER (WHERE NOT rare) AS others FROM near WHERE rank <= 5 GROUP BY 1),
  n AS (SELECT CAST(count(*) FILTER (WHERE label <> 0) - count(*) FILTER (WHERE label = 0) AS DOUBLE) AS needed FROM embeddings), d AS (SELECT id, CAST(round_even(others / (SELECT CAST(sum(others) AS DOUBLE) FROM o) * needed, 0) AS BIGINT) AS draws FROM o CROSS JOIN n)
  SELECT id, draws FROM d WHERE draws > 0""")

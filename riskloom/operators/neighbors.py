@@ -1,9 +1,9 @@
-"""Nearest neighbours by hash tables of random planes, or exactly by pivot cells.
+"""Nearest neighbours by an inverted file, or exactly by pivot cells.
 
-By default vectors are compared within the buckets of several hash tables. On
-request, and for queries whose buckets hold too few points, the search is exact:
+By default an inverted file (``inverted_file``) names the candidates. On request,
+for few points, and for queries that find too few points, the search is exact:
 vectors are grouped around a bounded set of pivots, and the triangle inequality
-tells which cells can still hold one of the k nearest. Either way buckets are
+tells which cells can still hold one of the k nearest. Either way cells are
 compared in blocks of bounded size, and equal vectors once, so a large group of
 copies is a single candidate.
 """
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
+from riskloom.operators import inverted_file
 from riskloom.operators.ranking import draw
 from riskloom.session import settle
 
@@ -29,28 +30,27 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_PIVOTS = 256
 BLOCK_ROWS = 2_000
-BUCKET_ROWS = 1_000
-#: Share of the true neighbours that hashing must find, on so many queries that are answered exactly for comparison.
-RECALL = 0.9
+#: Up to so many distinct vectors all are compared.
+FEW_POINTS = 1_000
+#: Share of the true neighbours that the probed cells must hold, for so many queries that are answered exactly to tell.
+TARGET = 0.95
 RECALL_QUERIES = 500
 SLACK = 1e-9
 
 
 def nearest(queries: DataFrame, points: DataFrame, key: str, vector: str, k: int, seed: int = 42, exact: bool = False,
-            tables: int = 12, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+            few: int = FEW_POINTS) -> DataFrame:
     """(query, neighbor, rank, distance): the k nearest other points of each query row.
 
     Euclidean; equal distances are ordered by neighbour key, and a row is never
     its own neighbour. ``key`` is unique in both inputs.
 
-    Points are compared with the queries that share a bucket with them in one of
-    ``tables`` tables of random planes, as many planes as leave about
-    ``bucket_rows`` points in a bucket; up to ``bucket_rows`` points are one
-    bucket, which is exact. A sample of queries is answered exactly as well; as
-    long as less than RECALL of their neighbours are found the tables are
-    doubled, and where they would hold as much as all points every query is
-    answered exactly. So are queries that find fewer than k points. ``exact``
-    asks for that throughout, which in many dimensions compares nearly all pairs.
+    Up to ``few`` distinct points all are compared. Beyond that the nearest cells
+    of an inverted file are, as many as hold TARGET of the true neighbours of a
+    sample of queries that is answered exactly as well; inside these cells
+    nothing is lost. Queries that find fewer than k points are answered exactly.
+    ``exact`` asks for that throughout, which in many dimensions compares nearly
+    all pairs.
     """
     want = k + 1
     points, queries = _narrow(points, key, vector), _narrow(queries, key, vector)
@@ -60,10 +60,10 @@ def nearest(queries: DataFrame, points: DataFrame, key: str, vector: str, k: int
 
     total = groups.count()
     pivots = _pivots(groups, min(MAX_PIVOTS, max(1, math.isqrt(total))), seed)
-    pairs = None if exact or total <= bucket_rows else _well_hashed(query_groups, groups, pivots, total, want, tables, bucket_rows, seed)
-    if pairs is None:
+    if exact or total <= few:
         pairs = _by_pivots(query_groups, groups, pivots, want)
     else:
+        pairs = _by_inverted_file(query_groups, groups, pivots, total, want, seed)
         copies = groups.select("vid", F.size("ids").alias("copies"))
         found = pairs.join(copies, "vid").groupBy("qid").agg(F.sum("copies").alias("found")).where(F.col("found") >= want)
         short = settle(query_groups.join(found, "qid", "left_anti"), "short")
@@ -201,47 +201,17 @@ def _compare(asked: DataFrame, cells: DataFrame, want: int) -> DataFrame:
     )
 
 
-def _hashed(df: DataFrame, key: str, planes: np.ndarray, middle: np.ndarray) -> DataFrame:
-    """One row per vector and table: ``cell`` is the table's number and the sides of its planes that the vector is on."""
-    tables, bits, _ = planes.shape
-    flat = planes.reshape(tables * bits, -1)
-    weights = np.int64(1) << np.arange(bits, dtype=np.int64)
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                sides = (np.stack(batch["vec"].to_numpy()) - middle) @ flat.T > 0
-                codes = sides.reshape(len(batch), tables, bits) @ weights + (np.arange(tables, dtype=np.int64) << 40)
-                out = batch.loc[batch.index.repeat(tables)]
-                yield out.assign(cell=codes.ravel())
-
-    kinds = dict(df.dtypes)
-    return df.select(key, "vec").mapInPandas(place, f"{key} {kinds[key]}, vec array<double>, cell long")
-
-
-def _by_hashing(query_groups: DataFrame, groups: DataFrame, pivots: np.ndarray, total: int, want: int, tables: int, bucket_rows: int, seed: int) -> DataFrame:
-    """Candidates that share a bucket of random planes in at least one of the tables."""
-    bits = min(39, math.ceil(math.log2(total / bucket_rows)))
-    planes = np.random.default_rng(seed).normal(size=(tables, bits, pivots.shape[1]))
-    middle = pivots.mean(axis=0)
-    pairs = _compare(_hashed(query_groups, "qid", planes, middle), _hashed(groups, "vid", planes, middle), want)
-    return pairs.groupBy("qid", "vid").agg(F.min("distance").alias("distance"))
-
-
-def _well_hashed(query_groups: DataFrame, groups: DataFrame, pivots: np.ndarray, total: int, want: int, tables: int, bucket_rows: int, seed: int) -> DataFrame | None:
-    """Candidates by as many tables as a measured recall of RECALL needs; None where all pairs are no more work."""
+def _by_inverted_file(query_groups: DataFrame, groups: DataFrame, pivots: np.ndarray, total: int, want: int, seed: int) -> DataFrame:
+    """Candidates of an inverted file that probes as many cells as a recall of TARGET needs on a sample of the queries."""
+    points = groups.select("vid", "vec")
+    file = inverted_file.fit(points, total, seed)
     sample = settle(query_groups.orderBy(draw("qid", seed), "qid").limit(RECALL_QUERIES), "recall-queries")
     order = Window.partitionBy("qid").orderBy("distance", "vid")
-    best = lambda df: df.withColumn("r", F.row_number().over(order)).where(F.col("r") <= want).select("qid", "vid", "distance")
+    best = _by_pivots(sample, groups, pivots, want).withColumn("r", F.row_number().over(order)).where(F.col("r") <= want)
     # a vector always finds its own copies
-    true = settle(best(_by_pivots(sample, groups, pivots, want)).where(F.col("distance") > 0).select("qid", "vid"), "true-neighbours")
-    wanted = true.count()
-    while tables * bucket_rows < total:
-        tried = _by_hashing(sample, groups, pivots, total, want, tables, bucket_rows, seed)
-        if true.join(tried.select("qid", "vid"), ["qid", "vid"], "left_semi").count() >= RECALL * wanted:
-            return settle(_by_hashing(query_groups, groups, pivots, total, want, tables, bucket_rows, seed), "hashed")
-        tables *= 2
-    return None
+    true = settle(best.where(F.col("distance") > 0).select("qid", "vid"), "true-neighbours")
+    probes = inverted_file.probes_for(file, sample, true, TARGET)
+    return settle(inverted_file.search(file, query_groups, points, probes, want), "found")
 
 
 def _by_pivots(query_groups: DataFrame, groups: DataFrame, pivots: np.ndarray, want: int) -> DataFrame:

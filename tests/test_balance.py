@@ -90,42 +90,3 @@ def test_nothing_to_start_from_is_an_error(spark):
         balance.oversample(apart, "y", "id", ["a", "b"], "adasyn")
 
 
-def test_hashing_compares_few_pairs_and_finds_most_neighbors(spark, monkeypatch):
-    """2,000 vectors around 50 centres: the share of compared pairs and the recall of five neighbours."""
-    rng = np.random.default_rng(4)
-    centres = rng.normal(size=(50, 64)) * 3
-    y = centres[np.arange(2000) % 50] + rng.normal(size=(2000, 64))
-    df = spark.createDataFrame(pd.DataFrame({"id": range(2000), "v": list(y)}))
-    planes = np.random.default_rng(42).normal(size=(12, 5, 64))
-    cells = neighbors._hashed(df.select(df.id.alias("vid"), df.v.alias("vec")), "vid", planes, y.mean(axis=0)).groupBy("cell").count().collect()
-    assert sum(r["count"] ** 2 for r in cells) / 2000**2 < 0.75
-    got = neighbors.nearest(df, df, "id", "v", 5, bucket_rows=80).toPandas()
-    assert len(got) == 10_000 and (got["query"] != got.neighbor).all()
-    hits = 0
-    for q, g in got.groupby("query"):
-        hits += len(set(g.neighbor) & set(brute(y, np.arange(2000), q, 5)))
-    assert hits / 10_000 >= 0.9
-
-
-def test_queries_with_thin_buckets_are_answered_exactly(spark):
-    rng = np.random.default_rng(5)
-    y = np.concatenate([rng.normal(size=(300, 4)), [[100.0, 0, 0, 0], [-90.0, 5, 5, 5]]])
-    df = spark.createDataFrame(pd.DataFrame({"id": range(302), "v": list(y)}))
-    got = neighbors.nearest(df.where("id >= 300"), df, "id", "v", 7, tables=1, bucket_rows=3).toPandas()
-    assert len(got) == 14
-    for q, g in got.groupby("query"):
-        assert len(g) == 7
-
-
-def test_recall_of_vectors_without_clusters(spark):
-    """Gaussian vectors in 64 dimensions, of which few tables find too few neighbours."""
-    values = np.random.default_rng(3).normal(size=(3_000, 64))
-    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "id long, v array<double>").repartition(4)
-    asked = table.where("id % 20 = 0")
-    got = {(r["query"], r["neighbor"]) for r in neighbors.nearest(asked, table, "id", "v", 5, tables=4, bucket_rows=100).collect()}
-    hits = 0
-    for q in range(0, 3_000, 20):
-        away = ((values - values[q]) ** 2).sum(axis=1)
-        away[q] = np.inf
-        hits += sum((q, int(i)) in got for i in np.argsort(away, kind="stable")[:5])
-    assert hits >= 0.9 * 5 * 150
