@@ -168,13 +168,14 @@ def carried(batch: pa.RecordBatch, start: int, size: int, **columns: pa.Array) -
 
 
 def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id`` and the text as zstd frames, for a shuffle of whole texts."""
+    """``doc_id``, the mark of the text, and the text as zstd frames, for a shuffle of whole texts."""
     press = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         for a, b in chunks(batch):
             part = batch.slice(a, b - a)
-            packed = [press.compress(t.as_buffer()) for t in part.column("text")]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "zip"])
+            raw = [t.as_buffer() for t in part.column("text")]
+            packed, marks = pa.array([press.compress(t) for t in raw], pa.binary()), pa.array([text_mark(t) for t in raw], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), marks, packed], ["doc_id", "mark", "zip"])
 
 
 def unzipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ hashed only at cover positions) at the same shift, as long as anchor + v - 1 <=
    settled. An anchor hash with one context only is settled too. Only anchors that are the first with their context,
    while the same anchor has others, stay open; they lie at the borders of repeated passages.
 3. Windows around open anchors are hashed in full (128 bits) and the first place of each is found by a grouped minimum.
-4. Marks go back to the texts by doc_id, and the covered words are taken out.
+4. Marks go back to the texts by doc_id and a checksum of the text, and the covered words are taken out.
 
 A frequent anchor is thinned inside each chunk before the shuffle: a context repeated inside the chunk is settled there,
 and beyond two contexts the rest are known to be open, so that a chunk sends at most two rows per anchor hash.
@@ -83,7 +83,7 @@ def _anchor_rows(window: int, anchor: int, period: int):
                 nth = np.cumsum(new_context)
                 nth -= np.maximum.accumulate(np.where(new_hash, nth, 0))
                 kind = np.where(~new_context, REPEATED, np.where(nth > 1, OPEN, TO_MEET)).astype(np.int8)
-                route = np.where(kind == TO_MEET, hashed, C.signed(C.mixed(doc.view(np.uint64))))
+                route = np.where(kind == TO_MEET, hashed, C.signed(C.mixed((doc ^ (place >> 32)).view(np.uint64))))
                 back = np.argsort(order, kind="stable")  # in the order of the texts the rows compress better
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x[back]) for x in (route, context, doc, place, kind)], ["route", "context", "doc_id", "place", "kind"])
@@ -231,20 +231,22 @@ def dedup_substrings(docs: DataFrame, window: int = 20, anchor: int = 8) -> Data
     texts = C.slim(docs)
     shape = (window, anchor, period)
     anchors = texts.mapInArrow(_anchor_rows(*shape), "route long, context long, doc_id long, place long, kind byte")
+    own = F.shiftright("place", 32).alias("mark")  # of the text, so that rows of one id, or of none, have lists of their own
     marks = (
         anchors.repartition("route").sortWithinPartitions("route", "context", "doc_id", "place")
         .mapInArrow(_meet, "doc_id long, place long, kind byte")
-        .groupBy("doc_id").agg(
+        .groupBy("doc_id", own).agg(
             F.collect_list(F.when(F.col("kind") == REPEATED, F.col("place"))).alias("repeated"),
             F.collect_list(F.when(F.col("kind") == OPEN, F.col("place"))).alias("opened"))
     )
-    # an id that cannot be null keeps both uses of the texts one plan, so that they share one shuffle
-    zipped = texts.mapInArrow(C.zipped, "doc_id long, zip binary").select(F.coalesce("doc_id", F.lit(C.NO_ID)).alias("doc_id"), "zip")
-    marked = zipped.join(marks, "doc_id", "left")
+    # keys that cannot be null keep both uses of the texts one plan, so that they share one shuffle
+    zipped = texts.mapInArrow(C.zipped, "doc_id long, mark long, zip binary").select(
+        F.coalesce("doc_id", F.lit(C.NO_ID)).alias("doc_id"), F.coalesce("mark", F.lit(0)).alias("mark"), "zip")
+    marked = zipped.join(marks, ["doc_id", "mark"], "left")
     owned = (
         marked.where(F.size("opened") > 0).mapInArrow(_open_windows(*shape), "one long, two long, doc_id long, place long")
         .groupBy("one", "two").agg(F.min(F.struct("doc_id", "place")).alias("first"))
-        .groupBy("first.doc_id").agg(F.collect_list("first.place").alias("owned"))
+        .select("first.*").groupBy("doc_id", own).agg(F.collect_list("place").alias("owned"))
     )
-    cut = marked.join(owned, "doc_id", "left").mapInArrow(_cut(*shape), "doc_id long, n_words long, n_removed long, kept_text string")
+    cut = marked.join(owned, ["doc_id", "mark"], "left").mapInArrow(_cut(*shape), "doc_id long, n_words long, n_removed long, kept_text string")
     return cut.select(C.real_id(), "n_words", "n_removed", "kept_text")

@@ -55,6 +55,18 @@ def test_rows_of_one_id_and_empty_table(spark):
     assert result(spark, []) == []
 
 
+def test_many_rows_without_id(spark):
+    """Rows without id share nothing but their place in the order: 5,000 different texts with one passage and one text repeated."""
+    common = " ".join(f"c{i}" for i in range(300))
+    rows = [(None, f"own{d} {common} end{d}") for d in range(5000)] + [(None, common + " same")] * 500 + [(4, common)]
+    got = S.dedup_substrings(frame(spark, rows)).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    found = {(r.doc_id, r.n_words, r.n_removed): r["count"] for r in got}
+    # one text without id comes first and keeps the passage, all others lose it
+    assert found.pop((4, 300, 300)) == 1
+    assert sum(n for (_, words, gone), n in found.items() if gone == 300 and words == 302) == 4999 + (found.get((None, 301, 0), 0) > 0)
+    assert sum(found.values()) == 5500
+
+
 def test_cover():
     assert S.difference_cover(13) == (0, 1, 3, 9)
     for v in range(1, 17):
