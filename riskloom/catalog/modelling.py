@@ -11,6 +11,7 @@ from riskloom.catalog import mapping as m
 from riskloom.catalog.registry import query, r, rounded_table, table
 from riskloom.functions.names import tidy_columns
 from riskloom.operators import balance as bal
+from riskloom.operators import target_stats as ts
 from riskloom.operators import training as tr
 from riskloom.operators.impute import fit_imputation
 from riskloom.operators.neighbors import nearest
@@ -296,6 +297,23 @@ def out_of_fold(spark, folder):
     return rounded_table(counted)
 
 
+@query("m19_folds_do_not_leak", "SELECT count(*) AS \"rows\", CAST(1 AS BIGINT) AS near_chance, CAST(1 AS BIGINT) AS learnt_by_heart FROM customer")
+def folds_do_not_leak(spark, folder):
+    """Noise tells a label only to a model that has seen the row: scores near chance out of fold, far above it in sample."""
+    from riskloom.operators.metrics import single_metric
+
+    noise = ["N0", "N1", "N2"]
+    mixed = lambda i: F.pmod(F.xxhash64(KEY, F.lit(i)), F.lit(10_007))
+    df = m.application(spark, folder).select(KEY, (mixed(9) % 2).cast("int").alias(LABEL), *[mixed(i).cast("double").alias(c) for i, c in enumerate(noise)])
+    df = settle(df, "noise")
+    deep, plain = {"numTrees": 12, "maxDepth": 14}, replace(SMALL, scaler=None, selection=None, balance=None)
+    held = single_metric(tr.out_of_fold(df, noise, "random_forest", deep, plain), LABEL, "score", "roc_auc", 0.5)
+    model = tr.fit_model("random_forest", deep, df, noise, plain)
+    seen = model.transform(tr.assemble(df, noise, LABEL)).select(KEY, LABEL, tr.positive_probability().alias("score"))
+    known = single_metric(seen, LABEL, "score", "roc_auc", 0.5)
+    return spark.createDataFrame([(df.count(), int(abs(held - 0.5) < 0.15), int(known > 0.75))], "rows long, near_chance long, learnt_by_heart long")
+
+
 @query("m20_final_fit")
 def final_fit(spark, folder):
     """Fitted, saved, loaded again and applied."""
@@ -423,6 +441,32 @@ def baseline_rows(spark, folder):
     return spark.createDataFrame([row], "train_rows double, valid_rows double, texts double, auc_in_range double")
 
 
+_TEXTS = ("NAME_CONTRACT_TYPE", "OCCUPATION_TYPE", "NAME_SEGMENT")
+
+
+def _ordered(c: str) -> str:
+    over = "OVER (PARTITION BY {c} ORDER BY md5('{seed}|' || CAST(SK_ID_CURR AS VARCHAR)), SK_ID_CURR ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)".format(c=c, seed=SEED)
+    return f"(coalesce(sum(CAST(TARGET AS DOUBLE)) {over}, 0) + CAST(0.5 AS DOUBLE)) / (count(*) {over} + 1)"
+
+
+@query("m23_ordered_statistics", f"WITH {m.APPLICATION_SQL} SELECT SK_ID_CURR, " + ", ".join(f'{r(_ordered(c), 6)} AS "{c}_CODE"' for c in _TEXTS) + " FROM application")
+def ordered_statistics(spark, folder):
+    """Categories coded by the labels of the rows before them in a repeatable shuffle."""
+    df = m.application(spark, folder).select(KEY, LABEL, *_TEXTS)
+    coded = ts.fit_target_statistics(df, _TEXTS, LABEL, KEY, seed=SEED).ordered(df)
+    return rounded_table(coded.select(KEY, *[c + ts.SUFFIX for c in _TEXTS]), 6)
+
+
+@query("m23_statistics_of_others", f"WITH {m.APPLICATION_SQL}, {m.SPLIT_SQL} SELECT SK_ID_CURR, " + ", ".join(
+    f'{r(f"(coalesce((SELECT sum(CAST(t.TARGET AS DOUBLE)) FROM train t WHERE t.{c} IS NOT DISTINCT FROM a.{c}), 0) + 0.5) / ((SELECT count(*) FROM train t WHERE t.{c} IS NOT DISTINCT FROM a.{c}) + 1)", 6)} AS "{c}_CODE"' for c in _TEXTS)
+    + " FROM application a")
+def statistics_of_others(spark, folder):
+    """All customers coded by the training customers, as rows to be scored are."""
+    df = m.application(spark, folder).select(KEY, LABEL, *_TEXTS)
+    coded = ts.fit_target_statistics(m.train_rows(df), _TEXTS, LABEL, KEY, seed=SEED).apply(df)
+    return rounded_table(coded.select(KEY, *[c + ts.SUFFIX for c in _TEXTS]), 6)
+
+
 _RUNS = "runs AS (SELECT user_id AS run_id, CASE WHEN user_id % 9 <> 0 THEN round(avg(value) / 100, 6) END AS roc_auc, max(event_id) AS finished_at FROM events GROUP BY user_id)"
 
 

@@ -6,7 +6,6 @@ import hashlib
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.feature import VectorAssembler
@@ -16,15 +15,17 @@ from pyspark.sql import functions as F
 from riskloom.functions.columns import as_column, numeric_columns, string_columns
 from riskloom.functions.names import tidy_columns
 from riskloom.operators.balance import class_weights, weight_column
-from riskloom.operators.encode import fit_frequency
+from riskloom.operators.explain import contribution_summary, linear_contributions
 from riskloom.operators.metrics import classification_report, evaluation_report, ranking_metrics
 from riskloom.operators.quality import fingerprint
 from riskloom.operators.ranking import class_counts
-from riskloom.operators.scoring import FittedModel, Scorer
+from riskloom.operators.scoring import FittedModel, LinearWeights, Scorer
+from riskloom.operators.target_stats import SUFFIX, fit_target_statistics
 from riskloom.operators.training import (
     FAMILIES, HOLDOUT, TrainingOptions, WEIGHT, feature_importances, fit_model, fit_preprocessing, mark_holdout,
-    out_of_fold, positive_probability, search,
+    out_of_fold, positive_probability, search, stratified_sample,
 )
+from riskloom.operators.tree_explain import from_spark, tree_contributions
 from riskloom.session import settle
 from riskloom.sources.sinks import read_document, write_document, write_reports, write_submission
 
@@ -125,6 +126,28 @@ def final_fit(train: DataFrame, features: Sequence[str], family: str, params: Ma
     return Scorer(FittedModel(model, prep.output), prep, options.key, options.label), importance
 
 
+def explain_scorer(scorer: Scorer, df: DataFrame, rows: int | None = 5000, seed: int = 42, importance: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(contributions, summary) of a fitted scorer on ``df``, by a stratified sample of ``rows`` rows where it holds the label.
+
+    Contributions are in long form. Those of trees add up to the margin less its expected value, those of a logistic
+    model to the margin less its mean over the sample.
+    """
+    features = scorer.model.features
+    model = getattr(scorer.model, "model", scorer.model)
+    if rows is not None and scorer.target in df.columns:
+        df = stratified_sample(df, scorer.target, scorer.key, rows=rows, seed=seed)
+    ready = scorer.preprocessing.apply(df) if scorer.preprocessing else df
+    prepared = settle(ready.select(as_column(scorer.key), *map(as_column, features)), "explained")
+    if isinstance(model, LinearWeights):
+        contributions = linear_contributions(prepared, model, scorer.key)
+    elif hasattr(model, "coefficients"):
+        weights = dict(zip(features, model.coefficients.toArray().tolist()))
+        contributions = linear_contributions(prepared, LinearWeights(weights, float(model.intercept)), scorer.key)
+    else:
+        contributions = tree_contributions(prepared, from_spark(model, features), scorer.key)
+    return contributions, contribution_summary(contributions, importance)
+
+
 def save_run(run: TrainingRun, folder: str, spark, test: DataFrame | None, options: TrainingOptions) -> None:
     facts = {"metadata": run.metadata, "params": run.params, "threshold": run.threshold}
     facts["metrics"] = {scope: r["metrics"] for scope, r in run.reports.items()}
@@ -169,24 +192,29 @@ def raw_table_baseline(train: DataFrame, key: str, label: str, fraction: float =
     rows = mark_holdout(ready(train), label, key, fraction, seed)
     weights = class_weights({int(k): v for k, v in class_counts(train, label).items()})
     rows = settle(rows.withColumn(WEIGHT, weight_column(label, weights)), "baseline")
-    # texts become their training frequencies, so that no list of categories is brought to the driver
-    codes = [fit_frequency(rows.where(~as_column(HOLDOUT)), c, unseen=0) for c in texts]
-    assembler = VectorAssembler(inputCols=[*numbers, *(f"{c}_FREQ" for c in texts)], outputCol="features")
+    # texts are coded by the labels of the rows before, so that no list of categories is brought to the driver
+    assembler = VectorAssembler(inputCols=[*numbers, *(c + SUFFIX for c in texts)], outputCol="features")
 
     def boosted(**extra):
         return FAMILIES["gbt"](labelCol=label, weightCol=WEIGHT, seed=seed, maxBins=100, **extra)
 
-    def code(df: DataFrame) -> DataFrame:
-        return assembler.transform(reduce(lambda d, table: table.apply(d), codes, df))
-
-    coded = code(rows)
-    first = boosted(maxIter=trees, validationIndicatorCol=HOLDOUT).fit(coded)
-    valid = first.transform(coded.where(as_column(HOLDOUT))).select(key, label, positive_probability().alias("score"))
+    def code(part: DataFrame, others: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+        """Rows to fit on, each without its own label, and others by all of them."""
+        if not texts:
+            return assembler.transform(part), None if others is None else assembler.transform(others)
+        codes = fit_target_statistics(part, texts, label, key, seed=seed)
+        return assembler.transform(codes.ordered(part)), None if others is None else assembler.transform(codes.apply(others))
+
+    held = as_column(HOLDOUT)
+    fitted, judged = (settle(df, "baseline-rows") for df in code(rows.where(~held), rows.where(held)))
+    first = boosted(maxIter=trees, validationIndicatorCol=HOLDOUT).fit(fitted.unionByName(judged))
+    valid = first.transform(judged).select(key, label, positive_probability().alias("score"))
     valid = settle(valid, "baseline-holdout")
     ranks = ranking_metrics(valid, label, "score").first()
+    coded, target = code(rows, None if test is None else ready(test))
+    coded = settle(coded, "baseline-rows")
     refit = boosted(maxIter=first.getNumTrees).fit(coded)
-    target = coded if test is None else code(ready(test))
-    scored = refit.transform(target).select(key, positive_probability().alias("probability"))
+    scored = refit.transform(coded if test is None else target).select(key, positive_probability().alias("probability"))
     metrics = {
         "scope": "raw_table_holdout", "roc_auc": ranks["roc_auc"], "average_precision": ranks["average_precision"],
         "classification_threshold": threshold, "train_rows": rows.where(~as_column(HOLDOUT)).count(), "valid_rows": ranks["rows"],

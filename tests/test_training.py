@@ -5,6 +5,7 @@ import json
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.operators import training as tr
 from riskloom.plans import training as job
@@ -131,3 +132,19 @@ def test_sizes_add_up_exactly():
 def test_search_needs_a_space(spark, data):
     with pytest.raises(ValueError, match="space"):
         job.run_training(data, None, "gbt", PARAMS, None, OPTIONS, phases=("search",))
+
+
+@pytest.mark.parametrize("family, params", [("gbt", {"maxIter": 3, "maxDepth": 3}), ("logistic", {"maxIter": 20})])
+def test_scorers_are_explained(data, family, params):
+    features = [c for c in data.columns if c not in ("SK_ID_CURR", "TARGET")]
+    options = tr.TrainingOptions(selection=None, scaler="standard")
+    scorer, importance = job.final_fit(data, features, family, params, options)
+    told, summary = job.explain_scorer(scorer, data, rows=None, importance=importance)
+    assert told.count() == data.count() * len(features)
+    assert {r["feature"] for r in summary.collect()} == set(features) and summary.where("native_importance IS NULL").count() == 0
+    p = F.col("TARGET_PROBABILITY")
+    margins = scorer.predict(data).select("SK_ID_CURR", (F.log(p / (1 - p)) / (2 if family == "gbt" else 1)).alias("margin"))
+    gaps = told.groupBy("SK_ID_CURR").agg(F.sum("contribution").alias("s")).join(margins, "SK_ID_CURR").select((F.col("margin") - F.col("s")).alias("base"))
+    assert gaps.agg(F.max("base") - F.min("base")).first()[0] < 1e-6
+    some, _ = job.explain_scorer(scorer, data, rows=40)
+    assert some.select("SK_ID_CURR").distinct().count() == 40
