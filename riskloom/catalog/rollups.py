@@ -302,6 +302,31 @@ def all_five(spark, folder):
     return rounded_table(merge_rollups(base, h.all_rollups(m.credit_tables(spark, folder))))
 
 
+_SKETCHED = Rollup(
+    "o_custkey", (Stat("approx_distinct", "o_orderdate"), Stat("approx_distinct", "priority")),
+    Recency("age", (200, 800), "D", (Stat("approx_distinct", "priority"), Stat("rows", name="n"))),
+    (Split("o_orderstatus", "F", "FILLED", (Stat("approx_distinct", "priority"),)),),
+    Latest("age", (3, 5), (Stat("approx_distinct", "priority"),), ("o_orderkey",)),
+)
+_SKETCH_SQL = """WITH o AS (SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS priority,
+  CASE WHEN o_orderkey % 11 <> 0 THEN -(o_orderkey * 17 % 1000) END AS age FROM orders),
+ p AS (SELECT *, CASE WHEN age IS NOT NULL THEN row_number() OVER (PARTITION BY o_custkey, age IS NULL ORDER BY age DESC, o_orderkey) ELSE 0 END AS place FROM o),
+ x AS (SELECT *, coalesce(priority, 'none at all') AS v FROM p)
+ SELECT o_custkey, count(DISTINCT o_orderdate) AS o_orderdate_approx_distinct, count(DISTINCT v) AS priority_approx_distinct, """ + ", ".join(
+    f'CASE WHEN count(*) FILTER (WHERE age >= -{d}) > 0 THEN count(DISTINCT v) FILTER (WHERE age >= -{d}) END AS "priority_approx_distinct_{d}D", nullif(count(*) FILTER (WHERE age >= -{d}), 0) AS "n_{d}D"' for d in (200, 800)) + """,
+  CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') > 0 THEN count(DISTINCT v) FILTER (WHERE o_orderstatus = 'F') END AS "FILLED_priority_approx_distinct",
+  count(DISTINCT v) FILTER (WHERE place <= 3) AS "LAST_3_priority_approx_distinct", count(DISTINCT v) FILTER (WHERE place <= 5) AS "LAST_5_priority_approx_distinct" FROM x GROUP BY 1"""
+
+
+@query("a06_sketched_distinct", _SKETCH_SQL)
+def sketched(spark, folder):
+    """Distinct counts by sketches that merge over windows, a split and the newest rows; few values are counted exactly."""
+    df = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")).alias("priority"),
+        F.when(F.col("o_orderkey") % 11 != 0, -(F.col("o_orderkey") * 17 % 1000)).alias("age"))
+    return rounded_table(roll_up(df, _SKETCHED))
+
+
 FLAG_PLAN = Rollup(
     "SK_ID_CURR", (Stat("count", "SK_ID_PREV"), Stat("sum", "AMT_APPLICATION"), Stat("mean", "AMT_APPLICATION")),
     Recency("DAYS_DECISION", fv.DAY_WINDOWS, "D", (Stat("count", "SK_ID_PREV"), Stat("sum", "AMT_APPLICATION"), Stat("mean", "AMT_APPLICATION")), ("AMT_APPLICATION",)),

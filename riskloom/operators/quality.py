@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column, numeric_columns
 from riskloom.functions.text import invalid_text, name as quoted
+from riskloom.session import settle
 
 CHECK_SCHEMA = "section string, name string, passed boolean, detail string"
 
@@ -27,6 +28,42 @@ class CheckFailure(ValueError):
     """Raised with the names of all failed checks."""
 
 
+@dataclass(frozen=True)
+class TableFacts:
+    """What one pass saw of a table: the number of rows, nulls and unusable numbers per column, targets other than 0 and 1."""
+
+    rows: int
+    nulls: dict[str, int]
+    invalid: dict[str, int]
+    outside: int = 0
+
+
+def fact_expressions(df: DataFrame, target: str | None = None, only: str | None = None) -> list[str]:
+    """The aggregates behind ``TableFacts``; ``only`` restricts them to some rows."""
+    count = lambda condition: f"count_if({condition if only is None else f'({only}) AND ({condition})'})"
+    fields = df.schema.fields
+    out = [f"{count('TRUE')} AS rows", *[f"{count(f'{quoted(f.name)} IS NULL')} AS n{i}" for i, f in enumerate(fields)]]
+    out += [f"{count(invalid_text(f.name, f.dataType))} AS v{i}" for i, f in enumerate(fields) if f.dataType.simpleString() in ("double", "float")]
+    if target is not None and target in df.columns:
+        out.append(f"{count(f'{quoted(target)} NOT IN (0, 1)')} AS outside")
+    return out
+
+
+def facts_from(columns: Sequence[str], row: Mapping[str, int]) -> TableFacts:
+    invalid = {c: row[f"v{i}"] for i, c in enumerate(columns) if f"v{i}" in row}
+    return TableFacts(row["rows"], {c: row[f"n{i}"] for i, c in enumerate(columns)}, invalid, row.get("outside", 0))
+
+
+def settle_with_facts(df: DataFrame, label: str, target: str | None = None, only: str | None = None) -> tuple[DataFrame, TableFacts]:
+    """The table written to the shared folder, and its facts from one pass over what was written.
+
+    An ``Observation`` would spare the pass, but in Spark 4.1 it leaves a session that cannot be serialized, and fitted
+    models that hold a training summary then fail in every later job.
+    """
+    settled = settle(df, label)
+    return settled, facts_from(df.columns, settled.selectExpr(*fact_expressions(df, target, only)).first().asDict())
+
+
 def source_files(paths: Mapping[str, str], spark: SparkSession) -> list[Check]:
     """Every source exists and holds at least one byte, on whatever file system it lives."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -61,11 +98,11 @@ def target_presence(name: str, columns: Sequence[str], target: str, wanted: bool
     return Check(section, f"target_{word}.{name}", (target in columns) == wanted)
 
 
-def binary_target(name: str, df: DataFrame, target: str, section: str = "schema") -> Check:
+def binary_target(name: str, df: DataFrame, target: str, section: str = "schema", facts: TableFacts | None = None) -> Check:
     """Non-null target values lie in {0, 1}; checked by counting, not by listing values."""
     if target not in df.columns:
         return Check(section, f"binary_target.{name}", True, {"outside": 0})
-    outside = df.agg(F.count_if(~as_column(target).isin(0, 1)).alias("n")).first()["n"]
+    outside = facts.outside if facts else df.agg(F.count_if(~as_column(target).isin(0, 1)).alias("n")).first()["n"]
     return Check(section, f"binary_target.{name}", outside == 0, {"outside": outside})
 
 
@@ -85,27 +122,26 @@ def invalid_numbers(df: DataFrame) -> dict[str, int]:
     return {c: row[f"n{i}"] for i, c in enumerate(columns)}
 
 
-def completeness(name: str, df: DataFrame, section: str = "schema") -> list[Check]:
-    """No nulls and no unusable numbers anywhere; both counted in the same pass."""
-    fields = df.schema.fields
-    row = df.selectExpr(
-        *[f"count_if({quoted(f.name)} IS NULL) AS n{i}" for i, f in enumerate(fields)],
-        *[f"count_if({invalid_text(f.name, f.dataType)}) AS v{i}" for i, f in enumerate(fields) if f.dataType.simpleString() in ("double", "float")],
-    ).first().asDict()
-    nulls = sorted(f.name for i, f in enumerate(fields) if row[f"n{i}"])
-    invalid = sorted(f.name for i, f in enumerate(fields) if row.get(f"v{i}"))
+def completeness(name: str, df: DataFrame, section: str = "schema", facts: TableFacts | None = None) -> list[Check]:
+    """No nulls and no unusable numbers anywhere; both counted in the same pass, or known by ``facts``."""
+    facts = facts or facts_from(df.columns, df.selectExpr(*fact_expressions(df)).first().asDict())
+    nulls, invalid = (sorted(c for c, n in found.items() if n) for found in (facts.nulls, facts.invalid))
     return [
         Check(section, f"no_nulls.{name}", not nulls, {"columns": nulls}),
         Check(section, f"no_invalid_numeric.{name}", not invalid, {"columns": invalid}),
     ]
 
 
-def sparse_columns(df: DataFrame, added: Sequence[str], limit: float) -> dict[str, float]:
+def sparse_columns(df: DataFrame, added: Sequence[str], limit: float, facts: TableFacts | None = None) -> dict[str, float]:
     """Null share of joined columns above the warning limit."""
     if not added:
         return {}
-    row = df.selectExpr("count(1) AS n", *[f"count({quoted(c)}) AS v{i}" for i, c in enumerate(added)]).first()
-    rates = {c: (1 - row[f"v{i}"] / row["n"]) if row["n"] else 0.0 for i, c in enumerate(added)}
+    if facts is None:
+        row = df.selectExpr("count(1) AS n", *[f"count({quoted(c)}) AS v{i}" for i, c in enumerate(added)]).first()
+        held, rows = {c: row[f"v{i}"] for i, c in enumerate(added)}, row["n"]
+    else:
+        held, rows = {c: facts.rows - facts.nulls[c] for c in added}, facts.rows
+    rates = {c: (1 - held[c] / rows) if rows else 0.0 for c in added}
     return {c: r for c, r in rates.items() if r > limit}
 
 
@@ -125,17 +161,18 @@ def raw_table_checks(train, test, histories: Mapping[str, DataFrame], required:
     return checks
 
 
-def final_table_checks(train: DataFrame, test: DataFrame, key: str, target: str) -> list[Check]:
-    section = "final_schema"
+def final_table_checks(train: DataFrame, test: DataFrame, key: str, target: str, facts: tuple[TableFacts, TableFacts] | None = None) -> list[Check]:
+    """With the ``facts`` of both tables only repeated keys need a job."""
+    section, (of_train, of_test) = "final_schema", facts or (None, None)
     return [
         target_presence("final_train", train.columns, target, True, section),
         target_presence("final_test", test.columns, target, False, section),
-        binary_target("final_train", train, target, section),
+        binary_target("final_train", train, target, section, of_train),
         unique_key("final_train", train, key, section),
         unique_key("final_test", test, key, section),
         same_columns("final_test", train.columns, test.columns, target, section),
-        *completeness("final_train", train, section),
-        *completeness("final_test", test, section),
+        *completeness("final_train", train, section, of_train),
+        *completeness("final_test", test, section, of_test),
     ]
 
 

@@ -30,13 +30,19 @@ from riskloom.functions.columns import as_column
 from riskloom.functions.text import name as _name, text as _text
 from riskloom.session import check_distinct_names, settle
 
-STATS = ("rows", "count", "sum", "mean", "min", "max", "matches", "share")
+STATS = ("rows", "count", "sum", "mean", "min", "max", "matches", "share", "approx_distinct")
 OTHER = "__other__"
+#: Logarithm of the registers of a distinct-count sketch; the relative standard error is 1.04 / sqrt(2**12), or 1.6 %.
+SKETCH_BITS = 12
 
 
 @dataclass(frozen=True)
 class Stat:
-    """One statistic. ``value`` is used by ``matches`` and ``share`` only."""
+    """One statistic. ``value`` is used by ``matches`` and ``share`` only.
+
+    ``approx_distinct`` counts distinct values, null as one of them, by sketches that merge over cells, windows and
+    last-N blocks; ``Rollup.distinct`` counts exactly, over all rows of a key.
+    """
 
     kind: str
     column: str | None = None
@@ -134,7 +140,9 @@ def _partials(found: Sequence[Stat]) -> dict[str, tuple[str, str]]:
     for stat in found:
         if stat.kind in ("sum", "mean"):
             needed[f"s_{stat.column}"] = ("sum", stat.column)
-        if stat.kind in ("count", "mean"):
+        if stat.kind == "approx_distinct":
+            needed[f"h_{stat.column}"] = ("sketch", stat.column)
+        if stat.kind in ("count", "mean", "approx_distinct"):
             needed[f"n_{stat.column}"] = ("count", stat.column)
         if stat.kind == "max":
             needed[f"hi_{stat.column}"] = ("max", stat.column)
@@ -165,7 +173,8 @@ def _cell_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
     keys.append(undated.alias("__undated"))
     for i, (column, values) in enumerate(dims.items()):
         keys.append(_tag(column, values).alias(f"__dim{i}"))
-    combine = {"sum": lambda c: F.sum(c.cast("double")), "count": F.count, "max": F.max, "min": F.min}
+    sketch = lambda c: F.hll_sketch_agg(c.cast("string"), SKETCH_BITS)
+    combine = {"sum": lambda c: F.sum(c.cast("double")), "count": F.count, "max": F.max, "min": F.min, "sketch": sketch}
     measures = [F.count(F.lit(1)).alias("rows")]
     measures += [combine[kind](as_column(column)).alias(name) for name, (kind, column) in partials.items()]
     return df.groupBy(*keys).agg(*measures).withColumn("__rank", F.lit(None).cast("int"))
@@ -200,18 +209,20 @@ def _latest_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
         F.lit(False).alias("__undated"),
         *tags,
         F.lit(1).cast("long").alias("rows"),
-        *[pick[kind](as_column(column)).alias(name) for name, (kind, column) in partials.items()],
+        *[pick[kind](as_column(column)).alias(name) for name, (kind, column) in partials.items() if kind != "sketch"],
+        # single values, to be sketched where they are chosen
+        *[as_column(column).cast("string").alias(f"v_{column}") for kind, column in partials.values() if kind == "sketch"],
         "__rank",
     )
 
 
-def _value(stat: Stat, inside: str | None, dims, always: bool) -> str:
+def _value(stat: Stat, inside: str | None, dims, always: bool, ranked: bool = False) -> str:
     """A statistic over the cell rows selected by ``inside``, as a SQL expression.
 
     A roll-up has hundreds of these; one text per column is far quicker to build
     than as many nested column objects. ``always`` marks a selection that holds
     for every existing group; elsewhere sums and counts are null, not 0, when no
-    row was selected at all.
+    row was selected at all. ``ranked`` marks a selection with newest rows in it.
     """
     def only(term: str) -> str:
         return term if inside is None else f"CASE WHEN {inside} THEN {term} END"
@@ -231,6 +242,13 @@ def _value(stat: Stat, inside: str | None, dims, always: bool) -> str:
         return where_any(total(f"s_{stat.column}"), "0D")
     if stat.kind == "mean":
         return f"try_divide({total(f's_{stat.column}')}, {total(f'n_{stat.column}')})"
+    if stat.kind == "approx_distinct":
+        merged = f"hll_union_agg({only(_name(f'h_{stat.column}'))})"
+        if ranked:
+            single = f"hll_sketch_agg({only(_name(f'v_{stat.column}'))}, {SKETCH_BITS})"
+            merged = f"coalesce(hll_union({merged}, {single}), {merged}, {single})"
+        with_null = f"CASE WHEN {total('rows')} > {total(f'n_{stat.column}')} THEN 1 ELSE 0 END"
+        return where_any(f"hll_sketch_estimate({merged}) + {with_null}")
     if stat.kind == "max":
         return f"max({only(_name(f'hi_{stat.column}'))})"
     if stat.kind == "min":
@@ -295,7 +313,7 @@ def roll_up(df: DataFrame, plan: Rollup) -> DataFrame:
     if plan.latest:
         for n in sorted(plan.latest.sizes):
             inside = f"(__rank <= {n} OR (__undated AND __rank IS NULL))"
-            out += [(f"LAST_{n}_{s.label}", _value(s, inside, dims, always=False)) for s in plan.latest.stats]
+            out += [(f"LAST_{n}_{s.label}", _value(s, inside, dims, always=False, ranked=True)) for s in plan.latest.stats]
 
     check_distinct_names(df.sparkSession, [n for n, _ in out])
     grouped = rows.groupBy(as_column(plan.key)).agg(*[F.expr(e).alias(n) for n, e in out])

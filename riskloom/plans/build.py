@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
 from riskloom.operators.impute import fit_imputation
-from riskloom.operators.quality import Check, final_table_checks, raise_on_failure, raw_table_checks, sparse_columns
+from riskloom.operators.quality import Check, final_table_checks, raise_on_failure, raw_table_checks, settle_with_facts, sparse_columns
 from riskloom.plans import fixed_values as fv
 from riskloom.plans.application import BaseOptions, add_row_statistics, fit_base, fit_pruning
 from riskloom.plans.histories import ALL_SETS, all_rollups
@@ -58,23 +58,24 @@ def build_features(tables: dict[str, DataFrame], sets: Collection[str] = ALL_SET
     both = train_base.withColumn(SPLIT, F.lit(True)).unionByName(
         test_base.withColumn(SPLIT, F.lit(False)), allowMissingColumns=True
     )
-    merged = settle(merge_rollups(both, rollups, key), "merged")
+    # one pass over each written table counts all that checks, flags and the manifest ask for
+    merged, seen = settle_with_facts(merge_rollups(both, rollups, key), "merged", only=SPLIT)
     added = [c for c in merged.columns if c not in both.columns]
     absent_in_test = [c for c in train_base.columns if c not in test_base.columns]
     absent_in_train = [c for c in test_base.columns if c not in train_base.columns]
     train_full = merged.where(as_column(SPLIT)).drop(SPLIT, *absent_in_train)
     test_full = merged.where(~as_column(SPLIT)).drop(SPLIT, *absent_in_test)
-    sparse = sparse_columns(train_full, added, sparse_limit)
+    sparse = sparse_columns(train_full, added, sparse_limit, seen)
 
-    imputation = fit_imputation(train_full, [key, target], tuple(fv.ROLLUP_PREFIXES.values()))
+    imputation = fit_imputation(train_full, [key, target], tuple(fv.ROLLUP_PREFIXES.values()), nulls=seen.nulls)
     train_full = settle(add_row_statistics(imputation.apply(train_full), options), "train")
     test_full = add_row_statistics(imputation.apply(test_full), options)
     pruning = fit_pruning(train_full, key, target, correlation, dominance)
-    final_train = settle(pruning.apply(train_full), "final-train")
-    final_test = settle(pruning.apply(test_full, without=[target]), "final-test")
+    final_train, of_train = settle_with_facts(pruning.apply(train_full), "final-train", target)
+    final_test, of_test = settle_with_facts(pruning.apply(test_full, without=[target]), "final-test")
     padded = pruning.padded(test_full, without=[target])
     discard(merged, train_full)
-    final = final_table_checks(final_train, final_test, key, target)
+    final = final_table_checks(final_train, final_test, key, target, (of_train, of_test))
     raise_on_failure(final, "final table")
     manifest = feature_manifest(
         final_train, final_test, key, target, sorted(sets), sorted(tables),
@@ -83,17 +84,18 @@ def build_features(tables: dict[str, DataFrame], sets: Collection[str] = ALL_SET
             "dropped_low_variance": sorted(pruning.near_constant),
             "missing_columns_added_to_test": padded,
         },
+        (of_train.rows, of_test.rows),
     )
     return FeatureTables(final_train, final_test, checks + final, manifest, sparse)
 
 
-def feature_manifest(train: DataFrame, test: DataFrame, key: str, target: str, sets, sources, dropped: dict) -> dict:
+def feature_manifest(train: DataFrame, test: DataFrame, key: str, target: str, sets, sources, dropped: dict, rows: tuple[int, int] | None = None) -> dict:
     features = [c for c in train.columns if c not in (key, target)]
     return {
         "enabled_feature_sets": list(sets),
         "source_tables_used": list(sources),
-        "final_train_shape": [train.count(), len(train.columns)],
-        "final_test_shape": [test.count(), len(test.columns)],
+        "final_train_shape": [rows[0] if rows else train.count(), len(train.columns)],
+        "final_test_shape": [rows[1] if rows else test.count(), len(test.columns)],
         "final_feature_count": len(features),
         "train_columns": list(train.columns),
         "test_columns": list(test.columns),

@@ -139,3 +139,23 @@ def test_submission_is_checked_before_the_write(spark, tmp_path):
     with pytest.raises(ValueError, match="not written"):
         sinks.write_submission(scored.where("k < 3"), source, path, "k", "t", "p")
     assert spark.read.parquet(path).count() == 5
+
+
+def test_facts_of_a_written_table(spark):
+    """Facts equal those of separate passes, on all rows or some; checks that are given them start no job."""
+    df = spark.range(1000).repartition(5).selectExpr(
+        "id", "CAST(id % 3 AS INT) AS TARGET", "CASE WHEN id % 4 > 0 THEN id END AS a", "CASE id % 50 WHEN 0 THEN CAST('NaN' AS DOUBLE) WHEN 1 THEN CAST('Infinity' AS DOUBLE) ELSE 1D END AS b",
+        "CAST(NULL AS STRING) AS c", "id < 600 AS part")
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("facts"))
+    spark.sparkContext.setJobGroup("facts", "facts")
+    settled, facts = q.settle_with_facts(df, "seen", "TARGET")
+    before = jobs()
+    checks = q.completeness("t", settled, facts=facts) + [q.binary_target("t", settled, "TARGET", facts=facts)]
+    sparse = q.sparse_columns(settled, ["a", "c"], 0.2, facts)
+    assert jobs() == before > 0
+    spark.sparkContext.setJobGroup("other", "other")
+    assert facts == q.TableFacts(1000, {"id": 0, "TARGET": 0, "a": 250, "b": 0, "c": 1000, "part": 0}, {"b": 40}, 333)
+    assert checks == q.completeness("t", settled) + [q.binary_target("t", settled, "TARGET")]
+    assert sparse == q.sparse_columns(settled, ["a", "c"], 0.2) == {"a": 0.25, "c": 1.0}
+    _, some = q.settle_with_facts(df, "some", only="part")
+    assert some.rows == 600 and some.nulls["a"] == 150 and some.nulls["c"] == 600 and some.invalid == {"b": 24}

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.operators.rollup import (
     Latest, Recency, Rollup, Split, Stat, categories, categories_by_recency, child_means, latest_rows, roll_up, share_stats,
@@ -199,3 +200,24 @@ def test_any_number_of_categories(spark):
     assert len(categories(df, "s")) == 2_500
     with pytest.raises(ValueError):
         categories(df, "s", limit=2_000)
+
+
+def test_sketches_count_distinct_values_within_their_error(spark):
+    """A hot key with 60,000 values, many small keys, windows and newest rows; null is one more value."""
+    df = spark.range(90_000).select(
+        F.when(F.col("id") < 60_000, 1).otherwise(F.col("id") % 500 + 2).alias("k"), F.when(F.col("id") % 50 != 3, F.col("id") % 45_000).alias("v"),
+        F.when(F.col("id") % 9 != 0, -(F.col("id") % 100)).alias("age"), "id")
+    sketch = (Stat("approx_distinct", "v"),)
+    plan = Rollup("k", sketch, Recency("age", (10, 60), "D", sketch), latest=Latest("age", (2, 8), sketch, ("id",)), distinct=("v",))
+    got = {r["k"]: r for r in roll_up(df, plan).collect()}
+    rows = df.toPandas()
+    for key in (1, 2, 77, 501):
+        own = rows[rows.k == key]
+        within = lambda part: part.v.nunique() + int(part.v.isna().any()) if len(part) else None
+        newest = own[own.age.notna()].sort_values(["age", "id"], ascending=[False, True])
+        undated = own[own.age.isna()]
+        expected = {"v_approx_distinct": within(own), "v_approx_distinct_10D": within(own[own.age >= -10]), "v_approx_distinct_60D": within(own[own.age >= -60])}
+        expected |= {f"LAST_{n}_v_approx_distinct": within(pd.concat([newest.head(n), undated])) for n in (2, 8)}
+        assert got[key]["v_nunique"] == expected["v_approx_distinct"]
+        for c, n in expected.items():
+            assert got[key][c] == n or n > 400 and abs(got[key][c] - n) <= 0.05 * n, (key, c, got[key][c], n)
