@@ -18,11 +18,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = (
     "j01_customer_order_features", "a10_windowed_rollup", "a12_last_n_rollup", "a13_child_rollup", "a14_two_level_bureau",
-    "j01_all_rollups", "e08_feature_job", "v11_evaluation_report", "m19_out_of_fold", "a15_previous_applications", "a16_pos_cash", "a17_installments", "a18_credit_card", "j03_fused_windows",
+    "v11_evaluation_report", "a15_previous_applications", "a16_pos_cash", "a17_installments", "a18_credit_card", "j03_fused_windows",
     "e01_frequency", "e03_one_hot", "e05_median_impute", "e06_base_transform", "e07_global_features", "e08_cleanup",
     "a19_medians", "a21_near_constant", "a22_correlation", "m01_stratified_sample", "m03_folds", "m05_robust_scaler",
     "m11_undersample", "q03_repeated_keys", "q07_completeness", "q11_fingerprint", "v02_average_precision", "v05_threshold_table",
     "w03_lift_deciles", "c01_batch_scoring", "c04_stream_scoring", "x02_contribution_summary", "s07_payload_rows",
+    "x01_tree_values", "m23_ordered_statistics", "a06_sketched_distinct",
+    # the heavy ones last
+    "m19_out_of_fold", "j01_all_rollups", "e08_feature_job",
 )
 
 

@@ -308,6 +308,6 @@ def champion(runs: DataFrame, gate: float, metric: str = "roc_auc", when: str =
 def gate_status(runs: DataFrame, gate: float, metric: str = "roc_auc") -> DataFrame:
     value = as_column(metric)
     status = (
-        F.when(value.isNull(), "skipped_missing_roc_auc").when(value < gate, "skipped_metric_gate").otherwise("registered")
+        F.when(value.isNull(), f"skipped_missing_{metric}").when(value < gate, "skipped_metric_gate").otherwise("registered")
     )
     return runs.withColumn("registry_status", status)

@@ -148,3 +148,8 @@ def test_scorers_are_explained(data, family, params):
     assert gaps.agg(F.max("base") - F.min("base")).first()[0] < 1e-6
     some, _ = job.explain_scorer(scorer, data, rows=40)
     assert some.select("SK_ID_CURR").distinct().count() == 40
+
+
+def test_gate_names_its_metric(spark):
+    runs = spark.createDataFrame([(1, None), (2, 0.1), (3, 0.9)], "run int, f1 double")
+    assert [r["registry_status"] for r in tr.gate_status(runs, 0.5, "f1").orderBy("run").collect()] == ["skipped_missing_f1", "skipped_metric_gate", "registered"]
