@@ -9,6 +9,7 @@ from riskloom.catalog.expressions import DIRTY_SQL, _dirty
 from riskloom.catalog.registry import query, r, rounded, rounded_table, table
 from riskloom.catalog.rollups import plan_sql
 from riskloom.operators.impute import null_counts
+from riskloom.operators.gram import strong_pairs
 from riskloom.operators.prune import correlated_columns, correlation_matrix, near_constant_columns, value_shares
 from riskloom.operators.quality import invalid_numbers
 from riskloom.operators.quantiles import exact_quantiles
@@ -104,6 +105,15 @@ def correlation_prune(spark, folder):
     return spark.createDataFrame([(c,) for c in correlated_columns(df, df.columns, 0.99)], "name string")
 
 
+@query("a22_strong_pairs", "WITH l AS (SELECT *, l_extendedprice * 2 + l_tax AS doubled FROM lineitem), p AS (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS c FROM l" for i, a in enumerate((*_NUMBERS, "doubled")) for b in (*_NUMBERS, "doubled")[i + 1:])
+    + f") SELECT a, b, {r('c')} AS r FROM p WHERE abs(c) > 0.5")
+def pairs_by_tiles(spark, folder):
+    """The long list of pairs from tiles of two columns each, read in bands."""
+    found = strong_pairs(_line_columns(spark, folder), [*_NUMBERS, "doubled", "constant"], 0.5, block=2, held=100)
+    return found.select(F.col("first").alias("a"), F.col("second").alias("b"), rounded("correlation").alias("r"))
+
+
 @query("a23_distinct_values", f"WITH {m.APPLICATION_SQL} SELECT DISTINCT NAME_SEGMENT AS category FROM application WHERE NAME_SEGMENT IS NOT NULL")
 def distinct_values(spark, folder):
     return spark.createDataFrame([(c,) for c in categories(m.application(spark, folder), "NAME_SEGMENT")], "category string")

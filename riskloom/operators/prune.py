@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.text import name, number, text
+from riskloom.operators.gram import strong_pairs
+from riskloom.session import discard
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
@@ -26,11 +28,12 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
 
 def correlated_columns(df: DataFrame, columns: Sequence[str], threshold: float) -> list[str]:
     """Columns strongly tied to any earlier column, dropped or not. Order matters."""
-    if len(columns) < 2:
+    if len(set(columns)) < 2:
         return []
-    strength = np.abs(correlation_matrix(df, columns))
-    with np.errstate(invalid="ignore"):
-        return [c for j, c in enumerate(columns) if j and bool((strength[:j, j] > threshold).any())]
+    pairs = strong_pairs(df, columns, threshold)
+    found = {r[0] for r in pairs.select("second").distinct().collect()}
+    discard(pairs)
+    return [c for c in columns if c in found]
 
 
 def value_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
