@@ -35,7 +35,7 @@ def _windows(items: DataFrame, window: int) -> DataFrame:
     """item_id and the words of each of its windows, joined by one space."""
     words = items.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("words"))
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - window + 1, F.lit(1)))
-    return words.where((F.size("words") > 0) & F.col("item_id").isNotNull()).select(
+    return words.where(F.size("words") > 0).select(
         "item_id", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("words", i, F.lit(window)), " "))).alias("window")).distinct()
 
 
@@ -76,8 +76,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shin
     row: doc_id, n_words, n_hit, spans (first word and end of each occurrence, sorted), item_ids (as strings, sorted),
     contaminated.
 
-    Null texts have no words; items without id or words are left out; repeated items count once; with an empty benchmark
-    nothing is hit. Rows that share a doc_id are judged each by its own text, exact copies of a row get the same result.
+    Null texts have no words; items without words are left out; words in windows of items without id are hit, though no id
+    is listed for them; repeated items count once; with an empty benchmark nothing is hit. Rows that share a doc_id are
+    judged each by its own text, exact copies of a row get the same result.
     """
     shingles = settle(_window_shingles(settle(_windows(items, window), "windows"), shingle), "shingles")
     pairs = _windows(items, window)
@@ -95,6 +96,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shin
         met, first = placed.withColumn("near", F.col("words")).join(F.broadcast(prefix), "hash", "left"), F.lit(0)
     else:  # rows that are shuffled take along the words around the place only
         first = F.greatest(F.col("at") - window + 1, F.lit(0))
+        placed = placed.withColumn("hash", F.when(F.col("at") == -1, F.xxhash64("doc_id", "mark")).otherwise(F.col("hash")))
+        placed = placed.where(F.col("hash").isNotNull())
         met = placed.withColumn("near", F.slice("words", first + 1, F.lit(2 * window))).drop("words", "word").join(prefix, "hash", "left")
     start = F.col("at") - F.col("offset")
     fits = (start >= 0) & (start + F.col("length") <= F.col("n_words"))

@@ -17,8 +17,8 @@ def plain(rows, items, window=10):
     wanted = {}
     for i, t in items:
         w = words(t)
-        for a in range(max(len(w) - window + 1, 1) if w and i is not None else 0):
-            wanted.setdefault(tuple(w[a:a + window]), set()).add(str(i))
+        for a in range(max(len(w) - window + 1, 1) if w else 0):
+            wanted.setdefault(tuple(w[a:a + window]), set()).update([] if i is None else [str(i)])
     sizes = {len(k) for k in wanted}
     out = []
     for d, t in rows:
@@ -74,3 +74,14 @@ def test_a_passage_in_a_third_of_all_documents(spark):
     passage = " ".join(f"p{i}" for i in range(15))
     rows = [(d, f"own{d} {passage} end{d}" if d % 3 == 0 else f"own{d} clean words only {d}") for d in range(120)]
     assert result(spark, rows, [(1, passage), (2, passage)]) == plain(rows, [(1, passage), (2, passage)])
+
+
+def test_items_without_id_are_hit(spark, monkeypatch):
+    passage = " ".join(f"p{i}" for i in range(15))
+    rows = [(d, f"own{d} {passage} end" if d % 3 == 0 else "clean words only") for d in range(30)] + [(None, passage), (None, None)]
+    items = [(None, passage), (None, passage), (7, "p3 p4 p5 p6 p7 p8 p9 p10 p11 p12")]
+    for most in (D.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(D, "BROADCAST_ROWS", most)
+        got = result(spark, rows, items)
+        assert got == plain(rows, items) and sum(r[4] for r in got) == 11
+        assert {tuple(r[3]) for r in result(spark, rows, items[:2])} == {()}
