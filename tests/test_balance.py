@@ -90,3 +90,30 @@ def test_nothing_to_start_from_is_an_error(spark):
         balance.oversample(apart, "y", "id", ["a", "b"], "adasyn")
 
 
+
+
+def test_queries_do_not_grow_by_their_cells(spark, monkeypatch):
+    """Without clusters all cells can hold a neighbour; a query must still be one row with a short list."""
+    rng = np.random.default_rng(6)
+    y = rng.normal(size=(1_500, 16))
+    df = spark.createDataFrame(pd.DataFrame({"id": range(1_500), "v": list(y)}))
+    tables, settle = {}, neighbors.settle
+    monkeypatch.setattr(neighbors, "settle", lambda df, label: tables.setdefault(label, settle(df, label)))
+    got = neighbors.nearest(df, df, "id", "v", 5, exact=True).toPandas()
+    assert tables["candidates"].count() == 1_500
+    for q, g in got[got["query"] % 50 == 0].groupby("query"):
+        assert g.sort_values("rank").neighbor.tolist() == brute(y, np.arange(1_500), q, 5)
+
+
+@pytest.mark.parametrize("kind", ["apart", "grid", "far"])
+def test_closest_equals_brute_force(monkeypatch, kind):
+    """The first points far off, many equal distances, and vectors far from the origin, in small steps."""
+    monkeypatch.setattr(neighbors, "STEP", 3_000)
+    rng = np.random.default_rng(7)
+    y = {"apart": np.r_[rng.normal(size=(300, 4)) + 50, rng.normal(size=(300, 4))], "grid": rng.integers(0, 3, (600, 4)).astype(float), "far": 1e7 + rng.normal(size=(600, 4)) / 1e3}[kind]
+    x = y[rng.permutation(600)[:90]]
+    rows, at, away = neighbors._closest(x, y, 6)
+    true = np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2))
+    order = np.argsort(true, axis=1, kind="stable")[:, :6]
+    assert (rows == np.repeat(np.arange(90), 6)).all() and (at == order.ravel()).all()
+    assert (away == np.take_along_axis(true, order, axis=1).ravel()).all()
