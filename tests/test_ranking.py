@@ -129,3 +129,15 @@ def test_null_is_a_value_for_near_constant(spark):
     df = spark.createDataFrame([(None, "x")] * 299 + [(1.0, "y")], "a double, s string")
     assert prune.near_constant_columns(df, ["a", "s"], 0.995) == ["a", "s"]
     assert prune.near_constant_columns(df, ["a", "s"], 0.998) == []
+
+
+def test_quantiles_ask_for_one_sketch_per_column(spark, monkeypatch):
+    """Neighbouring ranks and the points of a column share their sketch; the numbers stay exact."""
+    values = np.random.default_rng(8).normal(size=400)
+    df = spark.createDataFrame([(float(v), float(v) * 2) for v in values], "v double, w double")
+    asked, sketch = [], quantiles.F.percentile_approx
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda *a: asked.append(a) or sketch(*a))
+    got = quantiles.exact_quantiles(df, ["v", "w"], [0.25, 0.5, 0.75], direct_rows=50)
+    assert len(asked) == 2
+    for c, factor in (("v", 1), ("w", 2)):
+        assert np.allclose(got[c], factor * np.quantile(values, [0.25, 0.5, 0.75]), rtol=1e-12)

@@ -153,3 +153,17 @@ def test_scorers_are_explained(data, family, params):
 def test_gate_names_its_metric(spark):
     runs = spark.createDataFrame([(1, None), (2, 0.1), (3, 0.9)], "run int, f1 double")
     assert [r["registry_status"] for r in tr.gate_status(runs, 0.5, "f1").orderBy("run").collect()] == ["skipped_missing_f1", "skipped_metric_gate", "registered"]
+
+
+def test_rows_of_one_row_group_are_spread(spark, folder, monkeypatch):
+    """A file with a single row group must not leave the training rows in one task."""
+    from pyspark.sql import functions as F
+
+    from riskloom import session
+    from riskloom.catalog import modelling
+
+    monkeypatch.setattr(session, "TASK_ROWS", 20)
+    held = [r["n"] for r in modelling.training_table(spark, folder).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(held) == 150 and max(held) <= 30 and len(held) >= 5
+    few = spark.range(20)
+    assert session.spread(few) is few
