@@ -15,7 +15,7 @@ from riskloom.operators.quality import Check, final_table_checks, raise_on_failu
 from riskloom.plans import fixed_values as fv
 from riskloom.plans.application import BaseOptions, add_row_statistics, fit_base, fit_pruning
 from riskloom.plans.histories import ALL_SETS, all_rollups
-from riskloom.session import discard, settle
+from riskloom.session import discard, settle, spread
 
 SPLIT = "__is_train"
 
@@ -48,7 +48,7 @@ def build_features(tables: dict[str, DataFrame], sets: Collection[str] = ALL_SET
     medians, correlations and dominant values read it.
     """
     options = options or BaseOptions(sets=sets)
-    train, test = tables["application_train"], tables["application_test"]
+    train, test = (spread(tables[name], name) for name in ("application_train", "application_test"))  # the checks and encoders read them often
     checks = raw_table_checks(train, test, tables, fv.REQUIRED_COLUMNS, key, target)
     raise_on_failure(checks, "source table")
 
@@ -74,7 +74,7 @@ def build_features(tables: dict[str, DataFrame], sets: Collection[str] = ALL_SET
     final_train, of_train = settle_with_facts(pruning.apply(train_full), "final-train", target)
     final_test, of_test = settle_with_facts(pruning.apply(test_full, without=[target]), "final-test")
     padded = pruning.padded(test_full, without=[target])
-    discard(merged, train_full)
+    discard(merged, train_full, *(df for df, name in ((train, "application_train"), (test, "application_test")) if df is not tables[name]))
     final = final_table_checks(final_train, final_test, key, target, (of_train, of_test))
     raise_on_failure(final, "final table")
     manifest = feature_manifest(
