@@ -12,6 +12,10 @@ shares, last-N statistics and distinct counts. It is executed in two levels:
    together once by key, and every output column is a conditional combination
    of those few rows.
 
+Where keys have too few rows for cells to be fewer than rows, and no key has very
+many, the rows themselves take the place of cells and newest rows: they travel by
+key once and are numbered there.
+
 Nothing is joined back: all windows, splits and last-N blocks of a table come
 out of the same final grouping, already partitioned by key for the merge.
 """
@@ -34,6 +38,8 @@ STATS = ("rows", "count", "sum", "mean", "min", "max", "matches", "share", "appr
 OTHER = "__other__"
 #: Logarithm of the registers of a distinct-count sketch; the relative standard error is 1.04 / sqrt(2**12), or 1.6 %.
 SKETCH_BITS = 12
+#: Rows of one key, and its part of all rows, that may meet in one task without being combined first.
+MOST_ROWS, MOST_SHARE = 100_000, 1 / 16
 
 
 @dataclass(frozen=True)
@@ -187,21 +193,26 @@ def latest_rows(df: DataFrame, key: str, order: str, n: int, ties: Sequence[str]
     return dated.where(F.col("__rank") <= n).drop("__rank").unionByName(df.where(as_column(order).isNull()))
 
 
+#: A single row as the partial of its own cell.
+_SINGLE = {
+    "sum": lambda c: c.cast("double"),
+    "count": lambda c: c.isNotNull().cast("long"),
+    "max": lambda c: c,
+    "min": lambda c: c,
+}
+
+
+def _newest_first(latest: Latest, key: str):
+    return Window.partitionBy(as_column(key)).orderBy(as_column(latest.order).desc(), *[as_column(t).asc() for t in latest.ties])
+
+
 def _latest_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
     latest, key = plan.latest, as_column(plan.key)
-    order = as_column(latest.order)
-    ranking = Window.partitionBy(key).orderBy(order.desc(), *[as_column(t).asc() for t in latest.ties])
     newest = (
-        df.where(order.isNotNull())
-        .withColumn("__rank", F.row_number().over(ranking))
+        df.where(as_column(latest.order).isNotNull())
+        .withColumn("__rank", F.row_number().over(_newest_first(latest, plan.key)))
         .where(F.col("__rank") <= max(latest.sizes))
     )
-    pick = {
-        "sum": lambda c: c.cast("double"),
-        "count": lambda c: c.isNotNull().cast("long"),
-        "max": lambda c: c,
-        "min": lambda c: c,
-    }
     tags = [_tag(c, v).alias(f"__dim{i}") for i, (c, v) in enumerate(dims.items())]
     return newest.select(
         key,
@@ -209,13 +220,41 @@ def _latest_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
         F.lit(False).alias("__undated"),
         *tags,
         F.lit(1).cast("long").alias("rows"),
-        *[pick[kind](as_column(column)).alias(name) for name, (kind, column) in partials.items() if kind != "sketch"],
+        *[_SINGLE[kind](as_column(column)).alias(name) for name, (kind, column) in partials.items() if kind != "sketch"],
         # single values, to be sketched where they are chosen
         *[as_column(column).cast("string").alias(f"v_{column}") for kind, column in partials.values() if kind == "sketch"],
         "__rank",
     )
 
 
+def _single_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
+    """Every row as a cell of its own, partitioned by key; dated rows have their rank among the newest."""
+    latest, wanted = plan.latest, _columns_of(plan)
+    rows = df.select(*map(as_column, wanted)).repartition(as_column(plan.key))
+    dated = as_column(latest.order).isNotNull() if latest else F.lit(False)
+    rank = F.row_number().over(_newest_first(latest, plan.key)) if latest else F.lit(None).cast("int")
+    return rows.withColumn("__rank", F.when(dated, rank)).select(
+        as_column(plan.key),
+        (_span_index(plan.recency) if plan.recency else F.lit(0)).alias("__span"),
+        (~dated).alias("__undated"),
+        *[_tag(c, v).alias(f"__dim{i}") for i, (c, v) in enumerate(dims.items())],
+        F.lit(1).cast("long").alias("rows"),
+        *[_SINGLE[kind](as_column(column)).alias(name) for name, (kind, column) in partials.items()],
+        "__rank",
+    )
+
+
+def _cells_would_shrink(df: DataFrame, plan: Rollup, dims) -> bool:
+    """False if keys have fewer rows than there can be cells, and none has very many."""
+    per_key = df.groupBy(as_column(plan.key)).agg(F.count(F.lit(1)).alias("n"))
+    seen = per_key.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    cells = len(plan.recency.spans) + 1 if plan.recency else 1
+    for values in dims.values():
+        cells *= len(values) + 2
+    rows, most = seen["rows"] or 0, seen["most"] or 0
+    return rows > seen["keys"] * cells or most > min(MOST_ROWS, MOST_SHARE * rows)
+
+
 def _value(stat: Stat, inside: str | None, dims, always: bool, ranked: bool = False) -> str:
     """A statistic over the cell rows selected by ``inside``, as a SQL expression.
 
@@ -278,26 +317,33 @@ def _is_derived(df: DataFrame) -> bool:
 def roll_up(df: DataFrame, plan: Rollup) -> DataFrame:
     """One row per key with every column of the plan.
 
-    Cells, newest rows and distinct values each read the history. If it is not a plain table its needed columns are
-    written first, so that what it is made of is read and shuffled once.
+    Cells, newest rows and distinct values each read the history, and so does the count of rows per key before them. If
+    it is not a plain table its needed columns are written first, so that what it is made of is read and shuffled once.
     """
     dims = _dimensions(plan)
     cell_parts = _partials(_all_stats(plan) + (list(plan.latest.stats) if plan.latest else []))
-    if (plan.latest or plan.distinct) and _is_derived(df):
-        df = settle(df.select(*map(as_column, _columns_of(plan))), "history")
-    branches = [_cell_rows(df, plan, cell_parts, dims)]
-    if plan.latest:
+    derived = _is_derived(df)
+    if (plan.latest or plan.distinct) and derived:
+        df, derived = settle(df.select(*map(as_column, _columns_of(plan))), "history"), False
+    wide = plan.latest or plan.distinct or plan.recency or dims
+    sketched = any(kind == "sketch" for kind, _ in cell_parts.values())
+    single = bool(wide) and not derived and not sketched and not _cells_would_shrink(df, plan, dims)
+    if single:
+        branches = [_single_rows(df, plan, cell_parts, dims)]
+    else:
+        cells = _cell_rows(df, plan, cell_parts, dims)
+        # narrow rows travel; the wide aggregate below runs after this exchange
+        branches = [cells.repartition(as_column(plan.key)) if wide else cells]
+    # newest rows and distinct counts are partitioned by key already, and so is the union: no row travels again
+    if plan.latest and not single:
         branches.append(_latest_rows(df, plan, cell_parts, dims))
     for column in plan.distinct:
         # grouping by value first keeps a hot key distributed; null forms its own group and counts
         values = df.groupBy(as_column(plan.key), as_column(column).alias("__value")).agg(F.count(F.lit(1)).alias("n"))
         branches.append(values.groupBy(as_column(plan.key)).agg(F.count(F.lit(1)).alias(f"d_{column}")))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
-    if len(branches) > 1 or plan.recency or dims:
-        # narrow rows travel; the wide aggregate below runs after this exchange
-        rows = rows.repartition(as_column(plan.key))
 
-    cell = "__rank IS NULL" if plan.latest else None
+    cell = "__rank IS NULL" if plan.latest and not single else None
     out = [(s.label, _value(s, cell, dims, always=True)) for s in plan.overall]
     out += [(f"{c}_nunique", f"max({_name(f'd_{c}')})") for c in plan.distinct]
     trends: list[tuple[str, str, str]] = []
@@ -312,7 +358,7 @@ def roll_up(df: DataFrame, plan: Rollup) -> DataFrame:
         out += [(f"{split.label}_{s.label}", _value(s, inside, dims, always=False)) for s in split.stats]
     if plan.latest:
         for n in sorted(plan.latest.sizes):
-            inside = f"(__rank <= {n} OR (__undated AND __rank IS NULL))"
+            inside = f"(__rank <= {n} OR (__undated AND __rank IS NULL))"  # a row of distinct counts is neither
             out += [(f"LAST_{n}_{s.label}", _value(s, inside, dims, always=False, ranked=True)) for s in plan.latest.stats]
 
     check_distinct_names(df.sparkSession, [n for n, _ in out])

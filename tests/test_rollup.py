@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.rollup import (
     Latest, Recency, Rollup, Split, Stat, categories, categories_by_recency, child_means, latest_rows, roll_up, share_stats,
 )
+from riskloom.operators import rollup
 from riskloom.plans import histories
 
 
@@ -132,6 +133,55 @@ def test_plan_cuts_rows_before_they_travel(spark):
     assert "partial_count" in text and "Join" not in text
 
 
+def scattered(spark, n=6_000):
+    """Few rows per key, some of them undated, without status or without key."""
+    pdf = frame(3, n)
+    pdf["k"] = np.arange(n) * 7 % 1_500
+    df = spark.createDataFrame(pdf).selectExpr(
+        "CASE WHEN k <> 11 THEN k END AS k", "nanvl(day, null) AS day", "nanvl(amount, null) AS amount", "CASE WHEN loan % 5 <> 0 THEN loan % 3 END AS loan", "status", "loan AS row")
+    return df, Rollup(
+        "k", (Stat("rows", name="n"), Stat("max", "amount"), *share_stats("status", ["A", "B"])),
+        Recency("day", (60, 365), "D", (Stat("rows", name="n"), Stat("sum", "amount"), Stat("min", "amount")), (), {60: share_stats("status", ["A"], "status_60D")}),
+        (Split("status", "A", "A", (Stat("mean", "amount"),)),),
+        Latest("day", (1, 3), (Stat("sum", "amount"), Stat("count", "loan"), Stat("max", "amount"), *share_stats("status", ["C"])), ("row",)), ("loan",),
+    )
+
+
+def test_few_rows_per_key_travel_once(spark, monkeypatch):
+    df, plan = scattered(spark)
+    alone = Rollup(plan.key, plan.overall, plan.recency, plan.splits, plan.latest)
+    text = roll_up(df, alone)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1, text
+    once = roll_up(df, plan)
+    monkeypatch.setattr(rollup, "MOST_ROWS", 0)  # every key counts as one with too many rows
+    cells = roll_up(df, plan)
+    assert "WindowGroupLimit" not in once._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in cells._jdf.queryExecution().executedPlan().toString()
+    one, two = rows(once), rows(cells)
+    assert one.keys() == two.keys() and None in one
+    for k, r in one.items():
+        for c, v in r.items():
+            assert v == two[k][c] or v == pytest.approx(two[k][c]), (k, c)
+
+
+def test_newest_rows_do_not_travel_after_the_union(spark, monkeypatch):
+    monkeypatch.setattr(rollup, "MOST_ROWS", 0)
+    df, plan = scattered(spark)
+    text = roll_up(df, plan)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text[:text.index("Union")], text
+    counts = roll_up(df.repartition(40), plan)
+    assert counts.count() == 1_500 and counts.select("k").distinct().count() == 1_500
+
+
+def test_two_histories_of_one_join_read_it_written(spark, folder):
+    from riskloom.catalog import mapping
+
+    t = mapping.credit_tables(spark, folder)
+    for name, alone in (("installments_payments", mapping.installments), ("credit_card_balance", mapping.card_balance)):
+        assert not rollup._is_derived(t[name])
+        assert sorted(map(str, t[name].collect())) == sorted(map(str, alone(spark, folder).collect()))
+
+
 def test_optional_inputs_and_feature_sets(spark):
     pos = spark.createDataFrame([(1, 5, -1.0, -2.0)], "SK_ID_CURR long, SK_ID_PREV long, MONTHS_BALANCE double, SK_DPD double")
     full = histories.pos_rollup(pos)
