@@ -141,3 +141,20 @@ def test_quantiles_ask_for_one_sketch_per_column(spark, monkeypatch):
     assert len(asked) == 2
     for c, factor in (("v", 1), ("w", 2)):
         assert np.allclose(got[c], factor * np.quantile(values, [0.25, 0.5, 0.75]), rtol=1e-12)
+
+
+def test_values_are_tallied_at_edges_in_few_counts(spark):
+    """Edges of several columns, equal and not a number among them: four counts for each pair, from a row per edge and gap."""
+    nan, inf = float("nan"), float("inf")
+    columns = [[1.0, 1.0, 2.0, 3.0, None, nan, nan, inf], [-inf, -0.0, 0.0, 0.5, 7.0, 7.0, 8.0, None]]
+    edges = [[3.0, 1.0, nan, nan], [0.0, 7.0]]
+    held = spark.createDataFrame(list(zip(*columns)), "h0 double, h1 double")
+    place = lambda v: (1, 0.0) if v != v else (0, v)
+    for tally, values, own in zip(quantiles._tallies(held, edges), columns, edges):
+        at = sorted(place(v) for v in values if v is not None)
+        for low in own:
+            for high in own:
+                a, b = place(low), place(high)
+                if a <= b:
+                    on_high = at.count(b) if b > a else 0
+                    assert tally(low, high) == (sum(v < a for v in at), at.count(a), sum(a < v < b for v in at), on_high)
