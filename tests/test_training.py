@@ -167,3 +167,26 @@ def test_rows_of_one_row_group_are_spread(spark, folder, monkeypatch):
     assert sum(held) == 150 and max(held) <= 30 and len(held) >= 5
     few = spark.range(20)
     assert session.spread(few) is few
+
+
+def test_search_prepares_each_fold_once(data, monkeypatch):
+    """Candidates differ in the model's parameters only; scaling, balance and the rows of a fit are those of the fold."""
+    options = tr.TrainingOptions(folds=2, selection=None, trials=3, search_rate=0.6, parallel=2)
+    fitted, prepare = [], tr.fit_preprocessing
+    monkeypatch.setattr(tr, "fit_preprocessing", lambda *a, **k: fitted.append(1) or prepare(*a, **k))
+    space = {"regParam": {"type": "float", "low": 0.0, "high": 0.5}}
+    best, trials, scored = tr.search(data, FEATURES, "logistic", {"maxIter": 5}, space, options)
+    assert len(fitted) == 2 and trials.count() == 3 and scored.count() == 144
+    # the shared folds give what a candidate gets from folds of its own
+    sample = tr.stratified_sample(data, "TARGET", "SK_ID_CURR", rate=0.6, seed=options.seed)
+    alone = tr.out_of_fold(sample, FEATURES, "logistic", best, options, False)
+    both = scored.join(alone.select("SK_ID_CURR", F.col("score").alias("own")), "SK_ID_CURR")
+    assert both.count() == 144 and both.where(F.abs(F.col("score") - F.col("own")) > 1e-9).count() == 0
+
+
+def test_selector_rows_are_written_before_the_fit(data, monkeypatch):
+    """A boosted selector reads its rows several times; scaling must not run again for each."""
+    labels, settle = [], tr.settle
+    monkeypatch.setattr(tr, "settle", lambda df, label="table": labels.append(label) or settle(df, label))
+    tr.fit_preprocessing(data, FEATURES, OPTIONS)
+    assert labels == ["selector-rows"]
