@@ -117,3 +117,20 @@ def test_closest_equals_brute_force(monkeypatch, kind):
     order = np.argsort(true, axis=1, kind="stable")[:, :6]
     assert (rows == np.repeat(np.arange(90), 6)).all() and (at == order.ravel()).all()
     assert (away == np.take_along_axis(true, order, axis=1).ravel()).all()
+
+
+def test_places_on_segments_are_worked_out_once(spark):
+    """Rows on a way, off it and beyond its end; the place along a way must not be reckoned anew for every number of a vector."""
+    from riskloom.catalog import modelling as mm
+
+    rng = np.random.default_rng(9)
+    at = rng.normal(size=(3, 64))
+    rows = spark.createDataFrame([(i, at[i].tolist()) for i in range(3)], "vec_id long, embedding array<double>")
+    near = spark.createDataFrame([(0, 1), (0, 2), (1, 0)], "query long, neighbor long")
+    way = lambda a, b, u: at[a] + u * (at[b] - at[a])
+    points = [(0, way(0, 1, 0.3)), (0, way(0, 2, 1.0)), (0, way(0, 1, 1.2)), (0, way(0, 1, 0.5) + 0.01), (1, way(1, 0, 0.0)), (1, way(1, 2, 0.5))]
+    made = spark.createDataFrame([(i, True, *map(float, x)) for i, x in points], ["vec_id", "is_synthetic", *mm.FEATURES])
+    found = mm._on_segments(made, rows, near)
+    assert sorted(tuple(r) for r in found.collect()) == [(0, 4, 2), (1, 2, 1)]
+    last = found._jdf.queryExecution().analyzed().aggregateExpressions().mkString()
+    assert last.count("aggregate(") == 3
