@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.text import name, number, text
 from riskloom.operators.gram import strong_pairs
+from riskloom.operators.quality import count_flags
 from riskloom.session import discard
 
 
@@ -74,22 +75,22 @@ def near_constant_columns(df: DataFrame, columns: Sequence[str], threshold: floa
         "count(1) AS rows",
         *[f"percentile_approx(CASE WHEN {name(c)} IS NOT NULL THEN {comparable(c)} END, 0.5D, 100) AS m{i}" for i, c in enumerate(columns)],
     ).first()
-    counts = [f"count_if({name(c)} IS NULL) AS z{i}" for i, c in enumerate(columns)]
+    if not middle["rows"]:
+        return []
+    hits = {}
     for i, c in enumerate(columns):
         found = middle[f"m{i}"]
         if found is not None:
             value = number(found) if isinstance(found, float) else str(int(found))
-            hit = f"{name(c)} IS NOT NULL AND {comparable(c)} = {value}"
-            counts.append(f"count_if({hit}) AS c{i}")
-            if kinds[c] not in exact:
-                one = f"CASE WHEN {hit} THEN {name(c)} END"
-                counts.append(f"min({one}) <=> max({one}) AS same{i}")
-    row, total = df.selectExpr(*counts).first().asDict(), middle["rows"]
-    if not total:
-        return []
+            hits[c] = f"{name(c)} IS NOT NULL AND {comparable(c)} = {value}"
+    counts = count_flags(df, [*[f"{name(c)} IS NULL" for c in columns], *hits.values()])
+    nulls, same = dict(zip(columns, counts)), dict(zip(hits, counts[len(columns):]))
+    shares = {c: max(nulls[c], same.get(c, 0)) / middle["rows"] for c in columns}
     # two values behind one hash are told apart by counting values, which practically never happens
-    mixed = [c for i, c in enumerate(columns) if row.get(f"same{i}") is False]
-    shares = {r["column"]: r["share"] for r in value_shares(df, mixed).collect()} if mixed else {}
-    for i, c in enumerate(columns):
-        shares.setdefault(c, max(row[f"z{i}"], row.get(f"c{i}", 0)) / total)
+    hashed = [c for c, n in same.items() if kinds[c] not in exact and n / middle["rows"] > threshold]
+    if hashed:
+        one = [f"CASE WHEN {hits[c]} THEN {name(c)} END" for c in hashed]
+        alike = df.selectExpr(*[f"min({v}) <=> max({v}) AS same{i}" for i, v in enumerate(one)]).first()
+        mixed = [c for c, same_value in zip(hashed, alike) if not same_value]
+        shares |= {r["column"]: r["share"] for r in value_shares(df, mixed).collect()} if mixed else {}
     return [c for c in columns if shares[c] > threshold]

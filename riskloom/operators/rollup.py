@@ -12,9 +12,10 @@ shares, last-N statistics and distinct counts. It is executed in two levels:
    together once by key, and every output column is a conditional combination
    of those few rows.
 
-Where keys have too few rows for cells to be fewer than rows, and no key has very
-many, the rows themselves take the place of cells and newest rows: they travel by
-key once and are numbered there.
+Where tasks hold too few rows of a key for cells and newest rows to be fewer than
+rows, and no key has very many, the rows themselves travel by key once; they are
+numbered there, and become cells there if that leaves fewer. Columns that a history
+derives row by row (``derive``) are made after that trip.
 
 Nothing is joined back: all windows, splits and last-N blocks of a table come
 out of the same final grouping, already partitioned by key for the merge.
@@ -23,7 +24,7 @@ out of the same final grouping, already partitioned by key for the merge.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
 from riskloom.functions.text import name as _name, text as _text
-from riskloom.session import check_distinct_names, settle
+from riskloom.session import DENSE, check_distinct_names, settle
 
 STATS = ("rows", "count", "sum", "mean", "min", "max", "matches", "share", "approx_distinct")
 OTHER = "__other__"
@@ -40,6 +41,8 @@ OTHER = "__other__"
 SKETCH_BITS = 12
 #: Rows of one key, and its part of all rows, that may meet in one task without being combined first.
 MOST_ROWS, MOST_SHARE = 100_000, 1 / 16
+#: Lots of keys for each time that the rows could hold a key with the most rows, so that a lot of other keys has far fewer.
+LOTS = 8
 
 
 @dataclass(frozen=True)
@@ -172,6 +175,12 @@ def _tag(column: str, values: Sequence[str]) -> Column:
     return F.when(text.isin([str(v) for v in values]), text).when(text.isNotNull(), F.lit(OTHER))
 
 
+def _measures(partials) -> list[Column]:
+    sketch = lambda c: F.hll_sketch_agg(c.cast("string"), SKETCH_BITS)
+    combine = {"sum": lambda c: F.sum(c.cast("double")), "count": F.count, "max": F.max, "min": F.min, "sketch": sketch}
+    return [F.count(F.lit(1)).alias("rows"), *[combine[kind](as_column(column)).alias(name) for name, (kind, column) in partials.items()]]
+
+
 def _cell_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
     keys = [as_column(plan.key)]
     keys.append((_span_index(plan.recency) if plan.recency else F.lit(0)).alias("__span"))
@@ -179,11 +188,7 @@ def _cell_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
     keys.append(undated.alias("__undated"))
     for i, (column, values) in enumerate(dims.items()):
         keys.append(_tag(column, values).alias(f"__dim{i}"))
-    sketch = lambda c: F.hll_sketch_agg(c.cast("string"), SKETCH_BITS)
-    combine = {"sum": lambda c: F.sum(c.cast("double")), "count": F.count, "max": F.max, "min": F.min, "sketch": sketch}
-    measures = [F.count(F.lit(1)).alias("rows")]
-    measures += [combine[kind](as_column(column)).alias(name) for name, (kind, column) in partials.items()]
-    return df.groupBy(*keys).agg(*measures).withColumn("__rank", F.lit(None).cast("int"))
+    return df.groupBy(*keys).agg(*_measures(partials)).withColumn("__rank", F.lit(None).cast("int"))
 
 
 def latest_rows(df: DataFrame, key: str, order: str, n: int, ties: Sequence[str] = ()) -> DataFrame:
@@ -227,32 +232,66 @@ def _latest_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
     )
 
 
-def _single_rows(df: DataFrame, plan: Rollup, partials, dims) -> DataFrame:
-    """Every row as a cell of its own, partitioned by key; dated rows have their rank among the newest."""
-    latest, wanted = plan.latest, _columns_of(plan)
-    rows = df.select(*map(as_column, wanted)).repartition(as_column(plan.key))
-    dated = as_column(latest.order).isNotNull() if latest else F.lit(False)
-    rank = F.row_number().over(_newest_first(latest, plan.key)) if latest else F.lit(None).cast("int")
-    return rows.withColumn("__rank", F.when(dated, rank)).select(
+def _single_rows(df: DataFrame, plan: Rollup, partials, dims, derive, fewer: bool) -> DataFrame:
+    """Every row as a cell of its own, partitioned by key; dated rows have their rank among the newest.
+
+    With ``fewer`` only the newest rows are, and older ones that agree in span and values share a cell.
+    """
+    latest = plan.latest
+    rows = derive(df.repartition(as_column(plan.key))).select(*map(as_column, _columns_of(plan)))
+    if latest:
+        rows = rows.withColumn("__place", F.row_number().over(_newest_first(latest, plan.key)))
+        dated, place = as_column(latest.order).isNotNull(), F.col("__place")
+    else:
+        dated, place = F.lit(False), F.lit(None).cast("int")
+    of_cell = [
         as_column(plan.key),
         (_span_index(plan.recency) if plan.recency else F.lit(0)).alias("__span"),
         (~dated).alias("__undated"),
         *[_tag(c, v).alias(f"__dim{i}") for i, (c, v) in enumerate(dims.items())],
+    ]
+    if fewer:
+        ranked = F.when(dated & (place <= (max(latest.sizes) if latest else 0)), place).alias("__rank")
+        return rows.groupBy(*of_cell, ranked).agg(*_measures(partials))
+    return rows.select(
+        *of_cell,
         F.lit(1).cast("long").alias("rows"),
         *[_SINGLE[kind](as_column(column)).alias(name) for name, (kind, column) in partials.items()],
-        "__rank",
+        F.when(dated, place).alias("__rank"),
     )
 
 
-def _cells_would_shrink(df: DataFrame, plan: Rollup, dims) -> bool:
-    """False if keys have fewer rows than there can be cells, and none has very many."""
-    per_key = df.groupBy(as_column(plan.key)).agg(F.count(F.lit(1)).alias("n"))
-    seen = per_key.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+def _has_hot_key(df: DataFrame, key: str, rows: int) -> bool:
+    """True if a key holds too many rows for one task. Rows are counted by lots of keys, then by key in full lots alone."""
+    most = min(MOST_ROWS, MOST_SHARE * rows)
+    if most < 1:
+        return rows > 0
+    lot = F.pmod(F.xxhash64(as_column(key)), F.lit(int(LOTS * rows / most) + 1))
+    full = [r[0] for r in df.groupBy(lot.alias("lot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).collect()]
+    if not full:
+        return False
+    counted = df.where(lot.isin(full)).groupBy(as_column(key)).agg(F.count(F.lit(1)).alias("n"))
+    return not counted.where(F.col("n") > most).isEmpty()
+
+
+def _trips(df: DataFrame, plan: Rollup, dims) -> tuple[bool, bool]:
+    """Whether rows are to travel as they are, and whether cells would be fewer once they have.
+
+    Before they travel, cells and newest rows are as many as tasks have keys, times the cells of a key. Keys are estimated.
+    """
+    per_task = df.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(F.xxhash64(as_column(plan.key)), SKETCH_BITS).alias("s"))
+    seen = per_task.agg(
+        F.sum("n").alias("rows"), F.sum(F.hll_sketch_estimate("s")).alias("held"), F.hll_sketch_estimate(F.hll_union_agg("s")).alias("keys")).first()
+    rows = seen["rows"] or 0
+    if not rows:
+        return True, False
     cells = len(plan.recency.spans) + 1 if plan.recency else 1
     for values in dims.values():
         cells *= len(values) + 2
-    rows, most = seen["rows"] or 0, seen["most"] or 0
-    return rows > seen["keys"] * cells or most > min(MOST_ROWS, MOST_SHARE * rows)
+    newest = max(plan.latest.sizes) if plan.latest else 0
+    sent = min(rows, seen["held"] * cells) + min(rows, seen["held"] * newest)
+    return rows <= sent and not _has_hot_key(df, plan.key, rows), rows > seen["keys"] * (cells + newest)
 
 
 def _value(stat: Stat, inside: str | None, dims, always: bool, ranked: bool = False) -> str:
@@ -314,22 +353,24 @@ def _is_derived(df: DataFrame) -> bool:
     return bool(re.search(r"\b(Join|Aggregate|Window|Generate)\b", df._jdf.queryExecution().optimizedPlan().toString()))
 
 
-def roll_up(df: DataFrame, plan: Rollup) -> DataFrame:
-    """One row per key with every column of the plan.
+def roll_up(df: DataFrame, plan: Rollup, derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """One row per key with every column of the plan. ``derive`` adds columns to the history, row by row.
 
-    Cells, newest rows and distinct values each read the history, and so does the count of rows per key before them. If
+    Cells, newest rows and distinct values each read the history, and so do the counts of rows and keys before them. If
     it is not a plain table its needed columns are written first, so that what it is made of is read and shuffled once.
     """
     dims = _dimensions(plan)
     cell_parts = _partials(_all_stats(plan) + (list(plan.latest.stats) if plan.latest else []))
-    derived = _is_derived(df)
-    if (plan.latest or plan.distinct) and derived:
-        df, derived = settle(df.select(*map(as_column, _columns_of(plan))), "history"), False
+    plain = not _is_derived(df)
+    raw, df = df, derive(df)
+    if (plan.latest or plan.distinct) and not plain:
+        df = raw = settle(df.select(*map(as_column, _columns_of(plan))), "history", DENSE)
+        derive, plain = lambda df: df, True
     wide = plan.latest or plan.distinct or plan.recency or dims
     sketched = any(kind == "sketch" for kind, _ in cell_parts.values())
-    single = bool(wide) and not derived and not sketched and not _cells_would_shrink(df, plan, dims)
+    single, fewer = _trips(raw, plan, dims) if wide and plain and not sketched else (False, False)
     if single:
-        branches = [_single_rows(df, plan, cell_parts, dims)]
+        branches = [_single_rows(raw, plan, cell_parts, dims, derive, fewer)]
     else:
         cells = _cell_rows(df, plan, cell_parts, dims)
         # narrow rows travel; the wide aggregate below runs after this exchange

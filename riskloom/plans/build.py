@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import as_column
 from riskloom.operators.impute import fit_imputation
-from riskloom.operators.quality import Check, final_table_checks, raise_on_failure, raw_table_checks, settle_with_facts, sparse_columns
+from riskloom.operators.quality import (
+    Check, bit_columns, facts_of_bits, final_table_checks, null_bits, raise_on_failure, raw_table_checks, settle_with_facts, sparse_columns, table_facts,
+)
 from riskloom.plans import fixed_values as fv
 from riskloom.plans.application import BaseOptions, add_row_statistics, fit_base, fit_pruning
 from riskloom.plans.histories import ALL_SETS, all_rollups
-from riskloom.session import discard, settle, spread
+from riskloom.session import DENSE, discard, settle, spread
 
 SPLIT = "__is_train"
 
@@ -44,8 +46,9 @@ def build_features(tables: dict[str, DataFrame], sets: Collection[str] = ALL_SET
     """The whole feature job. Everything fitted is fitted on training rows only.
 
     Train and test rows are merged with the histories together, so each history
-    is rolled up once; the merged table is written before the passes that fit
-    medians, correlations and dominant values read it.
+    is rolled up once. Medians are those of base columns and fitted before the
+    merge, so the table that correlations and dominant values are read from is
+    written filled, and only once if train and test have the same columns.
     """
     options = options or BaseOptions(sets=sets)
     train, test = (spread(tables[name], name) for name in ("application_train", "application_test"))  # the checks and encoders read them often
@@ -58,23 +61,34 @@ def build_features(tables: dict[str, DataFrame], sets: Collection[str] = ALL_SET
     both = train_base.withColumn(SPLIT, F.lit(True)).unionByName(
         test_base.withColumn(SPLIT, F.lit(False)), allowMissingColumns=True
     )
-    # one pass over each written table counts all that checks, flags and the manifest ask for
-    merged, seen = settle_with_facts(merge_rollups(both, rollups, key), "merged", only=SPLIT)
+    merged = merge_rollups(both, rollups, key)
     added = [c for c in merged.columns if c not in both.columns]
     absent_in_test = [c for c in train_base.columns if c not in test_base.columns]
     absent_in_train = [c for c in test_base.columns if c not in train_base.columns]
-    train_full = merged.where(as_column(SPLIT)).drop(SPLIT, *absent_in_train)
-    test_full = merged.where(~as_column(SPLIT)).drop(SPLIT, *absent_in_test)
+    imputation = fit_imputation(merged.drop(SPLIT, *absent_in_train), [key, target], tuple(fv.ROLLUP_PREFIXES.values()), base_rows=train_base)
+
+    def filled(df: DataFrame) -> DataFrame:
+        return add_row_statistics(imputation.apply(df), options)
+
+    if absent_in_test == [target] and not absent_in_train:
+        # all rows are filled alike and written once, with bits that tell which values of the histories were null
+        whole = settle(filled(merged.selectExpr("*", *null_bits(added))), "filled", DENSE)
+        seen = facts_of_bits(whole, added, SPLIT)
+        train_full, test_full = (whole.where(rows).drop(SPLIT, *bit_columns(added)) for rows in (as_column(SPLIT), ~as_column(SPLIT)))
+        test_full = test_full.drop(target)
+    else:
+        merged, seen = settle_with_facts(merged, "merged", only=SPLIT)
+        train_full = settle(filled(merged.where(as_column(SPLIT)).drop(SPLIT, *absent_in_train)), "train", DENSE)
+        test_full = settle(filled(merged.where(~as_column(SPLIT)).drop(SPLIT, *absent_in_test)), "test", DENSE)
+        discard(merged)
     sparse = sparse_columns(train_full, added, sparse_limit, seen)
 
-    imputation = fit_imputation(train_full, [key, target], tuple(fv.ROLLUP_PREFIXES.values()), nulls=seen.nulls)
-    train_full = settle(add_row_statistics(imputation.apply(train_full), options), "train")
-    test_full = add_row_statistics(imputation.apply(test_full), options)
     pruning = fit_pruning(train_full, key, target, correlation, dominance)
-    final_train, of_train = settle_with_facts(pruning.apply(train_full), "final-train", target)
-    final_test, of_test = settle_with_facts(pruning.apply(test_full, without=[target]), "final-test")
+    # some columns of written tables, which need not be written again; one pass over each counts all that the checks and the manifest ask for
+    final_train, final_test = pruning.apply(train_full), pruning.apply(test_full, without=[target])
+    of_train, of_test = table_facts(final_train, target), table_facts(final_test)
     padded = pruning.padded(test_full, without=[target])
-    discard(merged, train_full, *(df for df, name in ((train, "application_train"), (test, "application_test")) if df is not tables[name]))
+    discard(*(df for df, name in ((train, "application_train"), (test, "application_test")) if df is not tables[name]))
     final = final_table_checks(final_train, final_test, key, target, (of_train, of_test))
     raise_on_failure(final, "final table")
     manifest = feature_manifest(

@@ -159,3 +159,26 @@ def test_facts_of_a_written_table(spark):
     assert sparse == q.sparse_columns(settled, ["a", "c"], 0.2) == {"a": 0.25, "c": 1.0}
     _, some = q.settle_with_facts(df, "some", only="part")
     assert some.rows == 600 and some.nulls["a"] == 150 and some.nulls["c"] == 600 and some.invalid == {"b": 24}
+
+
+def test_many_conditions_are_counted_by_place(spark, monkeypatch):
+    """Both ways of counting agree, also on no rows and where a condition is null or never holds."""
+    df = spark.range(500).selectExpr("id", "CASE WHEN id % 4 > 0 THEN id END AS a", "CASE WHEN id % 50 = 0 THEN CAST('NaN' AS DOUBLE) ELSE 1D END AS b", "CAST(id % 3 AS INT) AS TARGET", "id < 100 AS part")
+    flags = ["TRUE", "a IS NULL", "false", "isnan(b)", "a > 250"]
+    assert q.count_flags(df, flags) == [500, 125, 0, 10, 187]
+    few, none, some = q.table_facts(df, "TARGET"), q.table_facts(df.where("false"), "TARGET"), q.table_facts(df, only="part")
+    monkeypatch.setattr(q, "MOST_AGGREGATES", 0)
+    assert q.count_flags(df, flags) == [500, 125, 0, 10, 187]
+    assert few == q.table_facts(df, "TARGET") and none == q.table_facts(df.where("false"), "TARGET") and some == q.table_facts(df, only="part")
+
+
+def test_null_bits_tell_nulls_after_they_are_filled(spark):
+    columns = [f"c{i}" for i in range(70)]
+    df = spark.range(200).selectExpr("id", "id % 5 <> 0 AS part", *[f"CASE WHEN id % {i + 2} <> 0 THEN id END AS {c}" for i, c in enumerate(columns)])
+    wanted = q.table_facts(df, only="part")
+    kept = df.selectExpr("*", *q.null_bits(columns)).na.fill(0)
+    got = q.facts_of_bits(kept, columns, "part")
+    assert got.rows == wanted.rows == 160 and got.nulls == {c: wanted.nulls[c] for c in columns}
+    assert q.sparse_columns(kept, columns, 0.3, got) == q.sparse_columns(df.where("part"), columns, 0.3)
+    empty = q.facts_of_bits(kept.where("id < 0"), columns, "part")
+    assert empty.rows == 0 and not any(empty.nulls.values())

@@ -1,6 +1,7 @@
 """Every registered query with a SQL check agrees with it, and the feature job runs as a whole."""
 
 import pytest
+from pyspark.sql import functions as F
 from sql_check import compare, connect
 
 import __spark_entry__ as contract
@@ -44,3 +45,33 @@ def test_feature_job_stops_on_bad_tables(spark, folder):
     with pytest.raises(ValueError) as e:
         build_features(broken)
     assert "required_columns.application_train" in str(e.value) and "required_columns.bureau" in str(e.value)
+
+
+def test_feature_job_writes_its_rows_once(spark, folder, monkeypatch):
+    """Tables with the same columns are written once, filled; others are filled apart, and both ways agree."""
+    from riskloom.operators import quality
+    from riskloom.plans import build
+
+    written = []
+    for module in (build, quality):
+        monkeypatch.setattr(module, "settle", lambda df, label="table", *codec, settle=module.settle: written.append(label) or settle(df, label, *codec))
+    tables = mapping.credit_tables(spark, folder)
+    once = build_features(tables)
+    assert written == ["filled"]
+    more = dict(tables, application_test=tables["application_test"].withColumn("ONLY_IN_TEST", F.lit(1.0)))
+    apart = build_features(more)
+    assert written == ["filled", "merged", "train", "test"]
+    assert once.sparse == apart.sparse and once.sparse
+    assert once.manifest == apart.manifest
+    for one, two in ((once.train, apart.train), (once.test, apart.test)):
+        assert one.columns == two.columns and dict(one.dtypes) == dict(two.dtypes)
+        near = [F.round(c, 4).alias(c) if t == "double" else c for c, t in one.dtypes]
+        assert one.select(near).exceptAll(two.select(near)).count() == 0 and one.count() == two.count()
+
+
+def test_feature_job_fills_what_test_rows_lack(spark, folder):
+    tables = mapping.credit_tables(spark, folder)
+    out = build_features(dict(tables, application_test=tables["application_test"].drop("AMT_GOODS_PRICE")))
+    assert "AMT_GOODS_PRICE" in out.manifest["dropped_columns"]["missing_columns_added_to_test"]
+    assert out.test.columns == [c for c in out.train.columns if c != "TARGET"]
+    assert {r[0] for r in out.test.select("AMT_GOODS_PRICE").collect()} == {0}

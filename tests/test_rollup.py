@@ -164,6 +164,57 @@ def test_few_rows_per_key_travel_once(spark, monkeypatch):
             assert v == two[k][c] or v == pytest.approx(two[k][c]), (k, c)
 
 
+def many_rows(spark, clustered=False):
+    """Forty rows per key, which tasks hold scattered or all together."""
+    pdf = frame(5, 12_000)
+    pdf["k"] = np.arange(12_000) % 300
+    df = spark.createDataFrame(pdf).selectExpr("k", "nanvl(day, null) AS day", "nanvl(amount, null) AS amount", "loan % 7 AS loan", "status", "loan AS row")
+    plan = Rollup(
+        "k", (Stat("rows", name="n"), Stat("max", "amount"), Stat("mean", "twice"), *share_stats("status", ["A"])),
+        Recency("day", (60, 365), "D", (Stat("rows", name="n"), Stat("sum", "twice"), Stat("min", "amount"))),
+        (Split("status", "A", "A", (Stat("mean", "amount"),)),),
+        Latest("day", (1, 3), (Stat("sum", "twice"), Stat("count", "loan"), Stat("max", "amount"), *share_stats("status", ["A"])), ("row",)), ("loan",),
+    )
+    return df.repartition(8, "k") if clustered else df.repartition(64), plan, lambda d: d.withColumn("twice", F.col("amount") * 2)
+
+
+def test_many_scattered_rows_per_key_travel_once(spark, monkeypatch):
+    """Cells and newest rows would be as many as the rows before the trip; after it, older rows share cells."""
+    df, plan, derive = many_rows(spark)
+    settled = rollup.settle(df)
+    alone = roll_up(settled, Rollup(plan.key, plan.overall, plan.recency, plan.splits, plan.latest), derive)._jdf.queryExecution().executedPlan().toString()
+    assert alone.count("Exchange") == 1 and "WindowGroupLimit" not in alone, alone
+    assert "twice" not in alone[alone.index("Exchange"):], "derived columns are made after the trip"
+    assert rollup._trips(settled, plan, rollup._dimensions(plan)) == (True, True)
+    once = roll_up(settled, plan, derive)
+    monkeypatch.setattr(rollup, "MOST_ROWS", 0)  # every key counts as one with too many rows
+    cells = roll_up(settled, plan, derive)
+    assert "WindowGroupLimit" in cells._jdf.queryExecution().executedPlan().toString()
+    one, two = rows(once), rows(cells)
+    assert len(one) == 300 and one.keys() == two.keys()
+    for k, r in one.items():
+        for c, v in r.items():
+            assert v == two[k][c] or v == pytest.approx(two[k][c]), (k, c)
+
+
+def test_rows_that_tasks_hold_together_become_cells_before_they_travel(spark):
+    df, plan, _ = many_rows(spark, clustered=True)
+    assert rollup._trips(rollup.settle(df), plan, rollup._dimensions(plan))[0] is False
+
+
+def test_hot_keys_are_found_in_full_lots(spark):
+    """A lot with many rows of many keys is no hot key."""
+    df = spark.range(40_000).selectExpr("CASE WHEN id % 10 = 0 THEN 7 WHEN id % 10 = 1 THEN NULL ELSE id % 900 END AS k")
+    assert rollup._has_hot_key(df, "k", 40_000)
+    assert rollup._has_hot_key(df.where("k IS NULL OR k <> 7"), "k", 36_000)
+    rest = df.where("k <> 7")
+    assert not rollup._has_hot_key(rest, "k", rest.count())
+    few = spark.range(40_000).selectExpr("id % 17 AS k")
+    assert not rollup._has_hot_key(few, "k", 40_000)
+    assert rollup._has_hot_key(spark.range(3).selectExpr("1 AS k"), "k", 3)
+    assert not rollup._has_hot_key(few.where("false"), "k", 0)
+
+
 def test_newest_rows_do_not_travel_after_the_union(spark, monkeypatch):
     monkeypatch.setattr(rollup, "MOST_ROWS", 0)
     df, plan = scattered(spark)
