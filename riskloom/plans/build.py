@@ -17,9 +17,11 @@ from riskloom.operators.quality import (
 from riskloom.plans import fixed_values as fv
 from riskloom.plans.application import BaseOptions, add_row_statistics, fit_base, fit_pruning
 from riskloom.plans.histories import ALL_SETS, all_rollups
-from riskloom.session import DENSE, discard, settle, spread
+from riskloom.session import DENSE, discard, partitions_for, settle, spread
 
 SPLIT = "__is_train"
+#: Base rows of one task, with all that their histories add.
+ENTITIES = 20_000
 
 
 @dataclass(frozen=True)
@@ -55,52 +57,53 @@ def build_features(tables: dict[str, DataFrame], sets: Collection[str] = ALL_SET
     checks = raw_table_checks(train, test, tables, fv.REQUIRED_COLUMNS, key, target)
     raise_on_failure(checks, "source table")
 
-    base = fit_base(train, key, target, options)
-    train_base, test_base = base.apply(train), base.apply(test)
-    rollups = all_rollups(tables, sets, options.epsilon)
-    both = train_base.withColumn(SPLIT, F.lit(True)).unionByName(
-        test_base.withColumn(SPLIT, F.lit(False)), allowMissingColumns=True
-    )
-    merged = merge_rollups(both, rollups, key)
-    added = [c for c in merged.columns if c not in both.columns]
-    absent_in_test = [c for c in train_base.columns if c not in test_base.columns]
-    absent_in_train = [c for c in test_base.columns if c not in train_base.columns]
-    imputation = fit_imputation(merged.drop(SPLIT, *absent_in_train), [key, target], tuple(fv.ROLLUP_PREFIXES.values()), base_rows=train_base)
-
-    def filled(df: DataFrame) -> DataFrame:
-        return add_row_statistics(imputation.apply(df), options)
-
-    if absent_in_test == [target] and not absent_in_train:
-        # all rows are filled alike and written once, with bits that tell which values of the histories were null
-        whole = settle(filled(merged.selectExpr("*", *null_bits(added))), "filled", DENSE)
-        seen = facts_of_bits(whole, added, SPLIT)
-        train_full, test_full = (whole.where(rows).drop(SPLIT, *bit_columns(added)) for rows in (as_column(SPLIT), ~as_column(SPLIT)))
-        test_full = test_full.drop(target)
-    else:
-        merged, seen = settle_with_facts(merged, "merged", only=SPLIT)
-        train_full = settle(filled(merged.where(as_column(SPLIT)).drop(SPLIT, *absent_in_train)), "train", DENSE)
-        test_full = settle(filled(merged.where(~as_column(SPLIT)).drop(SPLIT, *absent_in_test)), "test", DENSE)
-        discard(merged)
-    sparse = sparse_columns(train_full, added, sparse_limit, seen)
-
-    pruning = fit_pruning(train_full, key, target, correlation, dominance)
-    # some columns of written tables, which need not be written again; one pass over each counts all that the checks and the manifest ask for
-    final_train, final_test = pruning.apply(train_full), pruning.apply(test_full, without=[target])
-    of_train, of_test = table_facts(final_train, target), table_facts(final_test)
-    padded = pruning.padded(test_full, without=[target])
-    discard(*(df for df, name in ((train, "application_train"), (test, "application_test")) if df is not tables[name]))
-    final = final_table_checks(final_train, final_test, key, target, (of_train, of_test))
-    raise_on_failure(final, "final table")
-    manifest = feature_manifest(
-        final_train, final_test, key, target, sorted(sets), sorted(tables),
-        {
-            "dropped_correlated": sorted(pruning.correlated),
-            "dropped_low_variance": sorted(pruning.near_constant),
-            "missing_columns_added_to_test": padded,
-        },
-        (of_train.rows, of_test.rows),
-    )
-    return FeatureTables(final_train, final_test, checks + final, manifest, sparse)
+    with partitions_for(train.sparkSession, train.count() + test.count(), ENTITIES):
+        base = fit_base(train, key, target, options)
+        train_base, test_base = base.apply(train), base.apply(test)
+        rollups = all_rollups(tables, sets, options.epsilon)
+        both = train_base.withColumn(SPLIT, F.lit(True)).unionByName(
+            test_base.withColumn(SPLIT, F.lit(False)), allowMissingColumns=True
+        )
+        merged = merge_rollups(both, rollups, key)
+        added = [c for c in merged.columns if c not in both.columns]
+        absent_in_test = [c for c in train_base.columns if c not in test_base.columns]
+        absent_in_train = [c for c in test_base.columns if c not in train_base.columns]
+        imputation = fit_imputation(merged.drop(SPLIT, *absent_in_train), [key, target], tuple(fv.ROLLUP_PREFIXES.values()), base_rows=train_base)
+
+        def filled(df: DataFrame) -> DataFrame:
+            return add_row_statistics(imputation.apply(df), options)
+
+        if absent_in_test == [target] and not absent_in_train:
+            # all rows are filled alike and written once, with bits that tell which values of the histories were null
+            whole = settle(filled(merged.selectExpr("*", *null_bits(added))), "filled", DENSE)
+            seen = facts_of_bits(whole, added, SPLIT)
+            train_full, test_full = (whole.where(rows).drop(SPLIT, *bit_columns(added)) for rows in (as_column(SPLIT), ~as_column(SPLIT)))
+            test_full = test_full.drop(target)
+        else:
+            merged, seen = settle_with_facts(merged, "merged", only=SPLIT)
+            train_full = settle(filled(merged.where(as_column(SPLIT)).drop(SPLIT, *absent_in_train)), "train", DENSE)
+            test_full = settle(filled(merged.where(~as_column(SPLIT)).drop(SPLIT, *absent_in_test)), "test", DENSE)
+            discard(merged)
+        sparse = sparse_columns(train_full, added, sparse_limit, seen)
+
+        pruning = fit_pruning(train_full, key, target, correlation, dominance)
+        # some columns of written tables, which need not be written again; one pass over each counts all that the checks and the manifest ask for
+        final_train, final_test = pruning.apply(train_full), pruning.apply(test_full, without=[target])
+        of_train, of_test = table_facts(final_train, target), table_facts(final_test)
+        padded = pruning.padded(test_full, without=[target])
+        discard(*(df for df, name in ((train, "application_train"), (test, "application_test")) if df is not tables[name]))
+        final = final_table_checks(final_train, final_test, key, target, (of_train, of_test))
+        raise_on_failure(final, "final table")
+        manifest = feature_manifest(
+            final_train, final_test, key, target, sorted(sets), sorted(tables),
+            {
+                "dropped_correlated": sorted(pruning.correlated),
+                "dropped_low_variance": sorted(pruning.near_constant),
+                "missing_columns_added_to_test": padded,
+            },
+            (of_train.rows, of_test.rows),
+        )
+        return FeatureTables(final_train, final_test, checks + final, manifest, sparse)
 
 
 def feature_manifest(train: DataFrame, test: DataFrame, key: str, target: str, sets, sources, dropped: dict, rows: tuple[int, int] | None = None) -> dict:

@@ -75,3 +75,19 @@ def test_feature_job_fills_what_test_rows_lack(spark, folder):
     assert "AMT_GOODS_PRICE" in out.manifest["dropped_columns"]["missing_columns_added_to_test"]
     assert out.test.columns == [c for c in out.train.columns if c != "TARGET"]
     assert {r[0] for r in out.test.select("AMT_GOODS_PRICE").collect()} == {0}
+
+
+def test_feature_job_takes_enough_partitions(spark, folder, monkeypatch):
+    """Of few partitions each would hold too many wide rows; the session's own number holds again afterwards."""
+    from riskloom.plans import build
+
+    seen = {}
+    monkeypatch.setattr(build, "ENTITIES", 6)
+    monkeypatch.setattr(build, "settle", lambda df, label="table", *codec, settle=build.settle: seen.update({label: spark.conf.get("spark.sql.shuffle.partitions")}) or settle(df, label, *codec))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    build_features(mapping.credit_tables(spark, folder))
+    assert seen == {"filled": "25"} and before == "8" == spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(build, "fit_base", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        build_features(mapping.credit_tables(spark, folder))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
